@@ -1,0 +1 @@
+"""Training-data operators: each module is one operator, ``queries`` registers them."""
