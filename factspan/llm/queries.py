@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factspan.llm import mixing, sharding
+from factspan.llm import decontaminate, mixing, sharding, simhash
 from factspan.llm.common import table
 
 
@@ -12,8 +12,10 @@ def _over(name, operator):
 
 def queries():
     return {
+        "op3_simhash_near_dups": _over("documents", simhash.op3),
         "op4_mix_sources": _over("documents", mixing.op4),
         "op6_ring_shards": _over("documents", sharding.op6),
+        "op9_decontaminate": lambda spark, sf_dir: decontaminate.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     }
 
 
