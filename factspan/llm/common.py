@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Runs of anything but ASCII white space, the word that every size and shingle counts.
@@ -15,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns as one struct, so that a helper column can't clash with a name of the input."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def keep_ids(df: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
+    """``left_semi`` or ``left_anti`` join of ``df`` with a frame of ids; a null id equals a null id."""
+    rows, ids = df.select(packed(df).alias("row"), F.col(key).alias("key")), ids.toDF("id").distinct()
+    return rows.join(ids, F.col("key").eqNullSafe(F.col("id")), how).select("row.*")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there.
 

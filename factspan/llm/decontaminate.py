@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from factspan.llm.common import keep_ids
+
 #: Tokens that a mask spans, and the positions that each mask looks at (7 of 11). Any single
 #: substitution in 12 tokens or more leaves one of them intact, and most pairs of them do too.
 SPAN = 11
@@ -94,8 +96,7 @@ def contaminated(
 
 def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that overlap an item."""
-    bad = contaminated(docs, benchmark, key=key, **options).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(F.col("_bad")), "left_anti")
+    return keep_ids(docs, key, contaminated(docs, benchmark, key=key, **options).select(key), "left_anti")
 
 
 def op9(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

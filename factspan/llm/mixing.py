@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factspan.llm.common import WORD, cut
+from factspan.llm.common import WORD, cut, packed
 
 
 def words(text: Column) -> Column:
@@ -92,28 +92,37 @@ def mix(
     cells = sources.select("_src", F.explode(F.sequence(F.lit(0), F.floor(F.col("target") / F.col("block_words")).cast("int"))).alias("block"))
     drawn = split_tree(cells, shards, seed).groupBy("_src").agg(F.transform(F.sort_array(F.collect_list(F.struct("block", "shard"))), lambda x: x["shard"]).alias("_shards"))
     sources = sources.join(drawn, "_src")
-    prefix = sums.withColumn("_base", F.sum("words").over(Window.partitionBy("_src").orderBy("_bucket")) - F.col("words")).drop("words")
-    inner = Window.partitionBy("_src", "_bucket").orderBy("_at", "_key", "size", "_uid").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sized.withColumn("_in", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(prefix, ["_src", "_bucket"]).join(sources, "_src")
+    # all that a document needs to know of its source comes with its cell, (source, bucket): the
+    # documents are dealt by cell once, and a source with a third of them is never one group
+    cell = ["_src", "_bucket"]
+    prefix = sums.withColumn("_base", F.sum("words").over(Window.partitionBy("_src").orderBy("_bucket")) - F.col("words"))
+    each = F.array(*[F.lit(e) for e in range(most)])
+    block = lambda e, at: F.least(F.floor((e * F.col("source_size") + at) / F.col("block_words")).cast("int"), F.size("_shards") - 1)
+    cells = (
+        prefix.join(sources, "_src")
+        .withColumn("_first", F.transform(each, lambda e: block(e, F.col("_base"))))
+        .withColumn("_drawn", F.transform(each, lambda e: F.slice("_shards", F.get("_first", e) + 1, block(e, F.col("_base") + F.col("words")) - F.get("_first", e) + 1)))
+        .select(*cell, "_base", "source_size", "target", "block_words", "_first", "_drawn", F.size("_shards").alias("_all"))
+    )
+    inner = Window.partitionBy(*cell).orderBy("_at", "_key", "size", "_uid").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sized.withColumn("_in", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(cells, cell)
     begin = F.col("_base") + F.col("_in")
-    passes = F.filter(F.array(*[F.lit(e) for e in range(most)]), lambda e: e * F.col("source_size") + begin + F.col("size") / 2 <= F.col("target"))
+    passes = F.filter(each, lambda e: e * F.col("source_size") + begin + F.col("size") / 2 <= F.col("target"))
     placed = placed.withColumn("_n", F.when(F.col("source_size") > 0, F.size(passes)).otherwise(1))
     # what whole documents left over or under, and the document that fits it best
-    off = placed.groupBy("_src").agg((F.first("target") - F.sum(F.col("size") * F.col("_n"))).alias("_off"))
+    off = placed.groupBy(*cell).agg(F.first("target").alias("target"), F.sum(F.col("size") * F.col("_n")).alias("got")).groupBy("_src").agg((F.first("target") - F.sum("got")).alias("_off"))
+    placed = placed.join(cells.select(*cell).join(off, "_src"), cell)
     fits = F.when(F.col("_off") > 0, F.col("_n") < most).otherwise(F.col("_n") > 0) & (F.col("size") < 2 * F.abs("_off"))
-    best = (
-        placed.join(off, "_src").where(fits)
-        .groupBy("_src").agg(F.min(F.struct(F.abs(F.col("size") - F.abs("_off")).alias("gap"), "_at", "_key", "_uid", F.signum("_off").cast("int").alias("by"))).alias("b"))
-        .select("b._uid", "b.by")
-    )
-    placed = placed.join(best, "_uid", "left").withColumn("_n", F.col("_n") + F.coalesce("by", F.lit(0)))
-    at = lambda e: F.floor((e * F.col("source_size") + begin) / F.col("block_words")).cast("int")
+    fit = F.struct(F.abs(F.col("size") - F.abs("_off")).alias("gap"), "_at", "_key", F.col("_uid").alias("uid"), F.signum("_off").cast("int").alias("by"), F.col("_bucket").alias("bucket"))
+    best = placed.where(fits).groupBy(*cell).agg(F.min(fit).alias("b")).groupBy("_src").agg(F.min("b").alias("b")).select("_src", F.col("b.bucket").alias("_bucket"), F.col("b.uid").alias("uid"), F.col("b.by").alias("by"))
+    placed = placed.join(best, cell, "left").withColumn("_n", F.col("_n") + F.when(F.col("uid") == F.col("_uid"), F.col("by")).otherwise(0))
     copies = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
+    at = lambda e: F.least(F.floor((e * F.col("source_size") + begin) / F.col("block_words")).cast("int"), F.col("_all") - 1)
     return placed.select(
         F.col("_key").alias(key), "size", "source_size", "target",
         F.col("_n").cast("int").alias("copies"),
         (F.col("_n") * F.col("size")).cast("long").alias("taken"),
-        F.transform(copies, lambda e: F.get("_shards", F.least(at(e), F.size("_shards") - 1))).alias("shards"),
+        F.transform(copies, lambda e: F.get(F.get("_drawn", e), at(e) - F.get("_first", e))).alias("shards"),
         F.xxhash64("_at", F.lit("order")).alias("mix_order"),
     )
 
@@ -123,7 +132,11 @@ def op4(docs: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` as the mix takes them: a row for each copy, none for what it leaves out."""
-    copies = mix(docs, key=key, **options).where("copies > 0").groupBy(F.col(key).alias("_k")).agg(F.max("copies").alias("_copies"))
-    out = docs.join(copies, docs[key].eqNullSafe(F.col("_k")))
-    return out.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    """``docs`` as the mix takes them: a row for each copy, none for what it leaves out.
+
+    Rows that share a key are taken alike, as often as the row of theirs that is taken most.
+    """
+    copies = mix(docs, key=key, **options).where("copies > 0").groupBy(F.col(key).alias("id")).agg(F.max("copies").alias("copies"))
+    rows = docs.select(packed(docs).alias("row"), F.col(key).alias("key"))
+    taken = rows.join(copies, F.col("key").eqNullSafe(F.col("id")))
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

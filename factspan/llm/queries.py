@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factspan.llm import decontaminate, mixing, sharding, simhash
+from factspan.llm import chat, decontaminate, embeddings, extract, mixing, pii, quality, sharding, simhash, toxicity
 from factspan.llm.common import table
 
 
@@ -12,12 +12,18 @@ def _over(name, operator):
 
 def queries():
     return {
+        "op1_chat_format": _over("conversations", chat.op1),
+        "op2_pii": _over("documents", pii.op2),
         "op3_simhash_near_dups": _over("documents", simhash.op3),
         "op4_mix_sources": _over("documents", mixing.op4),
+        "op5_embedding_near_dups": _over("embeddings", embeddings.op5),
         "op6_ring_shards": _over("documents", sharding.op6),
+        "op7_html_text": _over("pages", extract.op7),
+        "op8_quality": lambda spark, sf_dir: quality.op8(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op9_decontaminate": lambda spark, sf_dir: decontaminate.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+        "op10_toxicity": lambda spark, sf_dir: toxicity.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     }
 
 
 def oracle_sql():
-    return {}
+    return {"op1_chat_format": chat.ORACLE}

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from factspan.llm.common import packed
+
 
 def _slot(hashed: Column, slots: int) -> Column:
     return F.shiftrightunsigned(hashed, 64 - (slots.bit_length() - 1)).cast("int")
@@ -124,8 +126,8 @@ def ring_shards(
     if slots & (slots - 1) or not 1 <= shards * vnodes <= slots:
         raise ValueError("slots is a power of two, at least shards * vnodes")
     spark = docs.sparkSession
-    hashed = F.coalesce(F.xxhash64(F.col(key)), F.lit(0)) if key not in docs.columns else F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key))).otherwise(F.xxhash64(F.lit("null"), F.col(text)))
-    keyed = docs.withColumn("_at", hashed).withColumn("_slot", _slot(F.col("_at"), slots))
+    hashed = F.when(F.col(key).isNotNull(), F.xxhash64(F.col(key))).otherwise(F.xxhash64(F.lit("null"), F.col(text)))
+    keyed = docs.select(packed(docs).alias("_row"), F.col(key).alias("_key"), F.crc32(F.col(text)).alias("_crc"), hashed.alias("_at")).withColumn("_slot", _slot(F.col("_at"), slots))
     points = ring(spark, shards, vnodes, slots)
     arcs = slot_arcs(points, slots)
     counts = keyed.groupBy("_slot").agg(F.count("*").alias("_n"))
@@ -137,12 +139,12 @@ def ring_shards(
     )
     pieces = allocate(points, by_slot.groupBy("arc").agg(F.sum("n").alias("own")), shards)
     plan = by_slot.join(F.broadcast(pieces), "arc").select(F.col("slot").alias("_slot"), "_base", F.col("pieces").alias("_pieces"))
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("_slot").orderBy("_at", *([key] if key in docs.columns else []), F.crc32(F.col(text)))) - 1)
+    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy("_slot").orderBy("_at", "_key", "_crc")) - 1)
     placed = ranked.join(F.broadcast(plan), "_slot").withColumn("_rank", F.col("_rank") + F.col("_base"))
     found = F.get(F.filter("_pieces", lambda p: (p["lo"] <= F.col("_rank")) & (F.col("_rank") < p["hi"])), F.lit(0))
     placed = placed.withColumn("_piece", found)
     return placed.select(
-        *[c for c in docs.columns if c not in (shard_col, slot_col)],
+        *[F.col(f"_row.`{c}`") for c in docs.columns if c not in (shard_col, slot_col)],
         F.col("_piece.shard").alias(shard_col),
         (F.col("_piece.offset") + F.col("_rank") - F.col("_piece.lo")).alias(slot_col),
     )

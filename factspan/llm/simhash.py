@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspan.llm.common import connected_components, cut
+from factspan.llm.common import connected_components, cut, keep_ids
 
 BITS = 3
 #: Fingerprints that one bucket compares with each other; no key of the third level can have more.
@@ -191,9 +191,17 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, the one with the smallest key."""
-    kept = components(docs, key, text).where(F.col(key).eqNullSafe(F.col("component"))).select(F.col(key).alias("_kept")).distinct()
-    return docs.join(kept, docs[key].eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([key])
+    """``docs`` with one document of each near-duplicate group, the one with the smallest key.
+
+    Of several rows with that key one stays; rows with a null key can't be named and all stay.
+    """
+    found = cut(components(docs, key, text))
+    gone = found.where(F.col(key).isNotNull() & (F.col(key) != F.col("component"))).select(key)
+    left = keep_ids(docs, key, gone, "left_anti")
+    again = found.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
+    if again.isEmpty():
+        return left
+    return keep_ids(left, key, again, "left_anti").unionByName(keep_ids(left, key, again, "left_semi").dropDuplicates([key]))
 
 
 def op3(docs: DataFrame) -> DataFrame:
