@@ -1 +1 @@
-
+"""Snapshots and exceptions as streams."""
