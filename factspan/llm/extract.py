@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|math|object|textarea|select|title)\b.*?(?:</\1\s*>|\Z)|<[!?][^>]*>?"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)",
     re.S | re.I,
 )
 _ATTR = re.compile(r"([A-Za-z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -191,7 +191,7 @@ def main_text(page: str | None) -> str:
     whole = sum(len(said) for _, said in chosen)
     inside, named, depth = defaultdict(int), {}, {}
     for b, said in chosen:
-        for d, (e, name) in enumerate(zip(b.chain, b.path.split("/"), strict=True)):
+        for d, (e, name) in enumerate(zip(b.chain, b.path.split("/"), strict=False)):
             inside[e] += len(said)
             named[e], depth[e] = name, d
     around = [e for e, n in inside.items() if n >= 0.9 * whole and named[e] not in _LEAVES]

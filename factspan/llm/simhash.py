@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from factspan.llm.common import connected_components, cut, keep_ids
 
 BITS = 3
-#: Fingerprints that one bucket compares with each other; no key of the third level can have more.
+#: Fingerprints that one bucket compares with each other before it is keyed again; no key of the third level can have more.
 BUCKET = 2048
 _PIECE = 1 << 16
 
@@ -112,8 +112,8 @@ def forest(fp: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
 _LINKS = "kind int, a long, b long, seg int, half int"
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (key, fp, seg, half): links of each bucket (kind 0), or its rows if it is too large (kind 1)."""
+def _search(batches: Iterator[pa.RecordBatch], most: float) -> Iterator[pa.RecordBatch]:
+    """Sorted (key, fp, seg, half): links of each bucket (kind 0), or its rows if it has over ``most`` (kind 1)."""
     names = ["kind", "a", "b", "seg", "half"]
 
     def packed(kind, a, b, seg, half):
@@ -132,7 +132,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield packed(0, x[ok], y[ok], 0, 0)
         links = []
         for s, e in zip(begin[width > 2], end[width > 2], strict=True):
-            if e - s > BUCKET:
+            if e - s > most:
                 yield packed(1, key[s:e], fp[s:e], seg[s], half[s])
             else:
                 links += [(fp[s + i], fp[s + j]) for i, j in forest(fp[s:e].view(np.uint64))]
@@ -155,7 +155,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last:
             yield from solve(*[c[:last] for c in cols])
         held = [c[last:] for c in cols]
-        if len(held[0]) > BUCKET:
+        if len(held[0]) > most:
             hot = held[0][0]
             yield packed(1, held[0], held[1], held[2][0], held[3][0])
             held = None
@@ -171,7 +171,8 @@ def links(distinct_fps: DataFrame) -> DataFrame:
         keyed = _keyed(rows, level)
         if level > 1:
             keyed = keyed.dropDuplicates(["key", "fp"])
-        found = cut(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(_search, _LINKS))
+        most = BUCKET if level < 3 else float("inf")
+        found = cut(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _search(b, most), _LINKS))  # noqa: B023
         part = found.where("kind = 0").select(F.col("a").alias("src"), F.col("b").alias("dst"))
         out = part if out is None else out.union(part)
         rows = found.where("kind = 1").select(F.col("b").alias("fp"), F.col("a").alias("key"), "seg", "half")

@@ -55,7 +55,7 @@ def grams(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
         at.append((mixed ^ (mixed >> np.uint32(15)))[inside] % GRAMS)
         of.append(owner[: len(mixed)][inside])
     order = np.argsort(np.concatenate(of), kind="stable")
-    return np.concatenate(at)[order].astype(np.int64), np.concatenate(of)[order]
+    return np.concatenate(at)[order].astype(np.int32), np.concatenate(of)[order].astype(np.int32)
 
 
 def windows(ids: np.ndarray) -> np.ndarray:
@@ -121,6 +121,11 @@ class Network:
         x = np.concatenate([x, np.zeros((1, x.shape[1]), x.dtype)])
         return {s: x @ self.p[f"W{s}"] + self.p[f"b{s}"] for s in "fb"}
 
+    def projected(self, vocabulary: list[str], step: int = 20_000) -> dict[str, np.ndarray]:
+        """``project`` of many words, a part at a time."""
+        parts = [self.project(self.inputs(vocabulary[k : k + step])[2]) for k in range(0, max(1, len(vocabulary)), step)]
+        return {s: np.concatenate([*(p[s][:-1] for p in parts), parts[-1][s][-1:]]) for s in "fb"}
+
     def logits(self, pre: dict[str, np.ndarray], at: np.ndarray, step: int = 4096) -> np.ndarray:
         """The logit of each window (rows of ``at`` index the projected words)."""
         out = []
@@ -166,7 +171,8 @@ class Network:
         dx = dx[:-1]
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
         np.add.at(g["word"], ids, dx[:, :WORD_DIM])
-        gram, of = of_words
+        pairs = np.unique(of_words[1].astype(np.int64) * GRAMS + of_words[0])  # a gram counts once in a word
+        of, gram = pairs // GRAMS, pairs % GRAMS
         top = (p["char"][gram] == x[of, WORD_DIM:]) * dx[of, WORD_DIM:]
         np.add.at(g["char"], gram, top)
         return loss, g
@@ -190,7 +196,8 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 10, rate: float =
     per_label = np.array([(labels == y).sum() for y in (0, 1)])
     word_counts, gram_counts = np.zeros((2, len(distinct) + 1)), np.zeros((2, GRAMS))
     gram, of = grams(distinct) if distinct else (np.zeros(0, np.int64),) * 2
-    begin = np.searchsorted(of, np.arange(len(distinct) + 1))
+    gram, begin = gram.astype(np.int32), np.searchsorted(of, np.arange(len(distinct) + 1))
+    del of
     for ids, y in zip(placed, labels.astype(int), strict=True):
         own = np.unique(ids)
         word_counts[y, own] += 1
@@ -210,7 +217,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 10, rate: float =
     batch = int(np.clip((len(labels) + 2 * clean.sum()) / 48, 16, 256))
     for epoch in range(epochs):
         if epoch % 2 == 0:
-            value = np.where(at >= 0, of_word[at], -9).max(1) if epoch == 0 else net.logits(net.project(net.inputs(distinct)[2]), at)
+            value = np.where(at >= 0, of_word[at], -9).max(1) if epoch == 0 else net.logits(net.projected(distinct), at, 1024)
         order = np.lexsort((-value, owner))  # each text's windows, the most toxic first
         first, second = order[starts], order[starts + np.minimum(1, sizes - 1)]
         other = starts + (rng.random(len(starts)) * sizes).astype(int)
