@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from factspan.functions.json import payload_hash, payload_text
 from factspan.operators.rights import permitted
@@ -30,7 +31,7 @@ def _refusal(code: str, stage: str, message: Column, **detail: Column) -> Column
     return F.struct(F.lit(code).alias("code"), F.lit(stage).alias("stage"), message.alias("message"), F.create_map(*pairs).cast("map<string,string>").alias("detail"))
 
 
-@F.pandas_udf("payload string, payload_hash string")
+@F.pandas_udf(StructType([StructField("payload", StringType()), StructField("payload_hash", StringType())]))
 def _payload(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for s in batches:
         payloads = [{"status": "refused", "refusals": [dict(r.asDict() if hasattr(r, "asDict") else r) for r in refusals], "attribution": [], "omitted_for_rights": []} for refusals in s]
