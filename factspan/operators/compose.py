@@ -56,8 +56,7 @@ def compose(requests: DataFrame, parcels: DataFrame, current: DataFrame, channel
     touched = asked.select("request_id", "parcel_id").join(current.select("parcel_id", F.col("id").alias("fact_id"), "field_key", "licence_id", "snapshot_id"), "parcel_id")
     gate = permitted(touched, channels, "licence_id", channel)
     blocked = gate.where(~F.col("allowed")).groupBy("request_id", "licence_id").agg(F.array_sort(F.collect_set("field_key")).alias("f"))
-    keys = F.array_join("f", ", ")
-    rights = blocked.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("licence_id", _refusal("RIGHTS_BLOCKED", "L8", F.concat(F.lit("licence "), F.col("licence_id"), F.lit(f" forbids {channel} for "), keys), licence_id=F.col("licence_id"), channel=F.lit(channel), field_keys=keys).alias("r")))).alias("b"))
+    rights = blocked.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("licence_id", "f"))).alias("b"))
     counts = touched.groupBy("request_id").agg(F.count("*").alias("n_facts"))
     wanted = F.create_map(*[F.lit(x) for pair in elections.items() for x in pair])[F.col("election")] if elections else F.lit(None).cast("string")
     rule = effective_rules(rules, as_of, ["jurisdiction_id", "rule_key"]).select("jurisdiction_id", "rule_key", F.col("version").alias("rule_version"))
@@ -72,7 +71,9 @@ def compose(requests: DataFrame, parcels: DataFrame, current: DataFrame, channel
         F.when(F.coalesce("n_facts", F.lit(0)) == 0, _refusal("PARCEL_NO_FACTS", "L4", F.lit("no fact is current"), parcel_id=F.col("parcel_id"))),
         election,
     )
-    by_licence = F.coalesce(F.transform("b", lambda x: x["r"]), F.array().cast(f"array<{_REFUSAL}>"))
+    fields = lambda x: F.array_join(x["f"], ", ")
+    told = lambda x: _refusal("RIGHTS_BLOCKED", "L8", F.concat(F.lit("licence "), x["licence_id"], F.lit(f" forbids {channel} for "), fields(x)), licence_id=x["licence_id"], channel=F.lit(channel), field_keys=fields(x))
+    by_licence = F.coalesce(F.transform("b", told), F.array().cast(f"array<{_REFUSAL}>"))
     unknown = F.array(_refusal("PARCEL_REFERENCE_UNKNOWN", "L0", F.lit("no such parcel"), parcel_id=F.col("parcel_id")))
     known = F.col("jurisdiction_id").isNotNull()
     refusals = F.when(~known, unknown).otherwise(F.concat(F.filter(stages, lambda r: r.isNotNull()), by_licence))
