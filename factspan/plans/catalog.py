@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from factspan.functions import json, text, time
-from factspan.operators import audit, current, exceptions, golden, lineage, match, measure, reconcile, rights, rules, spatial, validate
+from factspan.operators import audit, compose, current, exceptions, golden, lineage, match, measure, reconcile, rights, rules, spatial, validate, views
 from factspan.plans import testdata as t
 from factspan.sources import snapshot
 
@@ -353,3 +353,65 @@ def lineage_closure(spark, read):
     k = F.col("p_partkey")
     edges = read("part").where(k > 1).select(k.alias("fact_id"), F.floor(k / 2).alias("input_fact_id"))
     return lineage.closure(edges, edges.where(F.col("fact_id") % 97 == 0).select("fact_id"))
+
+
+@query("""with o as (select o_orderkey fact_id, o_custkey parcel_id, o_orderpriority licence_id, o_orderstatus field_key from orders), ch as (select * from (values ('1-URGENT', true), ('2-HIGH', true), ('3-MEDIUM', false)) t(licence_id, allowed))
+ select parcel_id, count(*) filter (where coalesce(allowed, false)) shown, count(*) filter (where not coalesce(allowed, false)) omitted from o left join ch using (licence_id) group by 1""")
+def facts_by_permission(spark, read):
+    facts = read("orders").select(F.col("o_custkey").alias("parcel_id"), F.col("o_orderpriority").alias("licence_id"))
+    channels = spark.createDataFrame([("1-URGENT", "api", True), ("2-HIGH", "api", True), ("3-MEDIUM", "api", False)], "licence_id string, channel string, allowed boolean")
+    told = rights.permitted(facts, channels, "licence_id", "api")
+    return told.groupBy("parcel_id").agg(F.count_if("allowed").alias("shown"), F.count_if(~F.col("allowed")).alias("omitted"))
+
+
+@query("""with e as (select l_orderkey fact_id, p_size%3 kind, p_partkey from lineitem join part on p_partkey = l_partkey),
+ b as (select fact_id, bool_and(kind <> 0) commercial_use, bool_and(kind <> 1) redistribution, bool_or(kind = 2) attribution from e group by 1),
+ n as (select fact_id, count(distinct kind) n from e group by 1), ch as (select fact_id, c, count(distinct kind) k from e, (select 0 c union all select 1 union all select 2) where (kind + c) % 3 <> 0 group by 1, 2)
+ select b.*, coalesce((select list_sort(list('c'||ch.c)) from ch where ch.fact_id = b.fact_id and ch.k = n.n), []) channels from b join n using (fact_id)""")
+def inherited_licences(spark, read):
+    parts = read("part").select("p_partkey", F.concat(F.lit("k"), (F.col("p_size") % 3).cast("string")).alias("licence_id"))
+    inputs = read("lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("fact_id"), F.col("l_partkey").cast("string").alias("input_fact_id"))
+    fact = parts.select(F.col("p_partkey").cast("string").alias("id"), "licence_id")
+    licence = spark.createDataFrame([("k0", "prohibited", "allowed", "open"), ("k1", "allowed", "prohibited", "open"), ("k2", "allowed", "allowed", "attribution")], "id string, commercial_use string, redistribution string, restriction string")
+    channels = spark.createDataFrame([(f"k{k}", f"c{c}", (k + c) % 3 != 0) for k in range(3) for c in range(3)], "licence_id string, channel string, allowed boolean")
+    return rights.inherited_licence(inputs, fact, licence, channels)
+
+
+@query("""with cur as (select distinct user_id parcel_id, event_type field_key from events where value > 60), need as (select * from (values ('click', false), ('view', false), ('purchase', true)) t(field_key, deferred)),
+ owed as (select c_custkey parcel_id, field_key, deferred from customer, need), lack as (select o.* from owed o left join cur c on c.parcel_id = o.parcel_id and c.field_key = o.field_key where c.parcel_id is null)
+ select parcel_id, coalesce(list_sort(list(field_key) filter (where not deferred)), []) unmet_fields, coalesce(list_sort(list(field_key) filter (where deferred)), []) deferred_fields from lack group by 1""")
+def unmet_fields(spark, read):
+    need = spark.createDataFrame([("click", True, False), ("view", True, False), ("purchase", True, True), ("other", False, False)], "field_key string, required_for_file boolean, phase1_deferred boolean")
+    held = read("events").where("value > 60").select(F.col("user_id").alias("parcel_id"), F.col("event_type").alias("field_key"))
+    return compose.unmet_fields(need, held, read("customer").select(F.col("c_custkey").alias("id")))
+
+
+@query(f"""with {_LEDGER} select field_key, count(*) filter (where coalesce(date_diff('day', cast(retrieved_at as date), date '2024-02-10') > case field_key when 'click' then 20 when 'view' then 30 end, false)) n_stale, count(*) n from ledger group by 1""")
+def stale_facts(spark, read):
+    limit = F.when(F.col("field_key") == "click", 20).when(F.col("field_key") == "view", 30)
+    return t.ledger(read("events")).groupBy("field_key").agg(F.count_if(time.stale(F.lit("2024-02-10").cast("date"), F.col("retrieved_at"), limit)).alias("n_stale"), F.count("*").alias("n"))
+
+
+@query("""select coalesce(e.v, r.v) version, case when r.v is null then 'missing' when e.v is null then 'unexpected' when e.h <> r.h then 'changed' else 'recorded' end state
+ from (select cast(c_custkey as varchar) v, c_nationkey % 3 h from customer where c_custkey % 7 <> 0) e full outer join (select cast(c_custkey as varchar) v, (c_nationkey + case when c_custkey % 11 = 0 then 1 else 0 end) % 3 h from customer where c_custkey % 5 <> 0) r on e.v = r.v""")
+def migration_states(spark, read):
+    c, n = F.col("c_custkey"), F.col("c_nationkey")
+    expected = read("customer").where(c % 7 != 0).select(c.cast("string").alias("version"), (n % 3).cast("string").alias("file_sha256"))
+    recorded = read("customer").where(c % 5 != 0).select(c.cast("string").alias("version"), ((n + F.when(c % 11 == 0, 1).otherwise(0)) % 3).cast("string").alias("file_sha256"))
+    return views.migrations(expected, recorded)
+
+
+@query("""with x as (select user_id * 10 + event_id % 10 id, ts, event_id, case when value > 300 then 'open' when value > 100 then 'condition_cleared' else 'confirmed' end outcome from events)
+ select id, outcome from (select *, row_number() over (partition by id order by ts desc, outcome) rn from x) where rn = 1""")
+def exception_states(spark, read):
+    e, v = read("events"), F.col("value")
+    rows = e.select((F.col("user_id") * 10 + F.col("event_id") % 10).alias("id"), F.col("ts").alias("event_at"), F.when(v > 300, "open").when(v > 100, "condition_cleared").otherwise("confirmed").alias("outcome"))
+    return exceptions.fold(rows).select("id", "outcome")
+
+
+@query("""select l_orderkey k, sum(l_quantity) filter (where l_linenumber < 4) was, sum(l_quantity) filter (where l_linenumber > 2) now,
+ case when count(*) filter (where l_linenumber < 4) = 0 then 'new' when count(*) filter (where l_linenumber > 2) = 0 then 'disappeared' when sum(l_quantity) filter (where l_linenumber < 4) = sum(l_quantity) filter (where l_linenumber > 2) then 'same' else 'changed' end cls
+ from lineitem group by 1 having count(*) filter (where l_linenumber < 4 or l_linenumber > 2) > 0""")
+def reconcile_totals(spark, read):
+    sums = lambda cond: read("lineitem").where(cond).groupBy(F.col("l_orderkey").alias("k")).agg(F.sum("l_quantity").alias("q"))
+    return reconcile.diff(sums("l_linenumber < 4"), sums("l_linenumber > 2"), ["k"], "q")
