@@ -128,18 +128,23 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 def disclosing(found: DataFrame, texts: DataFrame, text: str = "text", generalise_at: float = 0.6, remove_at: float = 0.9, support: int = 3, broadcast_terms: int = 1_000_000) -> DataFrame:
     """(e, t, discloses, action) for the pairs of entity and term that exceed a threshold."""
     near = found.select("row", F.explode("near").alias("x")).select("row", "x.e", "x.t").distinct()
-    pairs = cut(near.groupBy("e", "t").agg(F.count("*").alias("both")).where(F.col("both") >= support))
+    pairs = near.groupBy("e", "t").agg(F.count("*").alias("both")).where(F.col("both") >= support)
     holders = near.select("row", "e").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
+    n = found.count()
+    disclosed = lambda n_t: F.log2(F.lit(float(n)) * F.col("both") / (F.greatest(n_t, "both") * F.col("n_e"))) / F.nullif(F.log2(F.lit(float(n)) / F.col("n_e")), F.lit(0.0))
+    # n(t) is at least the number of documents with t near some entity: a pair that stays below
+    # the threshold even so can't exceed it, and common words are out before texts are read again
+    beside = near.select("row", "t").distinct().groupBy("t").agg(F.count("*").alias("n_beside"))
+    pairs = cut(pairs.join(holders, "e").join(beside, "t").where(disclosed(F.col("n_beside")) >= generalise_at).select("e", "t", "both", "n_e"))
     terms = cut(pairs.select("t").distinct())
-    n, n_terms = found.count(), terms.count()
+    n_terms = terms.count()
     runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(\p{L}{%d,})" % LETTERS), F.lit(1))
     seen = texts.select(F.explode(F.array_distinct(runs)).alias("t"))
     if n_terms > broadcast_terms:
         df = seen.groupBy("t").agg(F.count("*").alias("n_t")).join(terms, "t")
     else:
         df = seen.join(F.broadcast(terms), "t").groupBy("t").agg(F.count("*").alias("n_t"))
-    pmi = F.log2(F.lit(float(n)) * F.col("both") / (F.greatest("n_t", "both") * F.col("n_e")))
-    told = pairs.join(df, "t").join(holders, "e").withColumn("discloses", pmi / F.log2(F.lit(float(n)) / F.col("n_e")))
+    told = pairs.join(df, "t").withColumn("discloses", disclosed(F.col("n_t")))
     action = F.when(F.col("discloses") >= remove_at, "remove").otherwise("generalise")
     return told.where(F.col("discloses") >= generalise_at).select("e", "t", "discloses", action.alias("action"))
 
