@@ -101,3 +101,26 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options)
 
 def op9(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contaminated(docs, benchmark)
+
+
+def _oracle() -> str:
+    """The same as SQL for DuckDB: seeds as lists of tokens instead of hashes, and every step spelled out."""
+    split = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    masks = ", ".join(f"({t}, {list(m)})" for t, m in enumerate(MASKS))
+    seeds = lambda ids, table: f"select {ids}, t, i, list_transform(pos, lambda p: h[i + p]) k from (select *, unnest(range(1, len(h) - {SPAN - 2})) i from {table}, m where len(h) >= {SPAN})"
+    return f"""
+with m(t, pos) as (values {masks}),
+d as (select row_number() over () rid, doc_id, {split} h from documents),
+b as (select h, list_sort(list(distinct item_id)) as items, row_number() over () bid from (select item_id, {split} h from benchmark) where len(h) >= {LEAST} group by h),
+short as (select distinct len(h) n from b where len(h) < {SPAN}),
+ds as ({seeds("rid", "d")} union all select rid, 100 + n, i, h[i:i + n - 1] from (select *, unnest(range(1, len(h) - n + 2)) i from d, short where len(h) >= n)),
+bs as ({seeds("bid", "b")} union all select bid, 100 + len(h), 1, h from b where len(h) < {SPAN}),
+hit as (select distinct rid, bid, ds.i - bs.i as s from ds join bs using (t, k)),
+same as (select rid, doc_id, b.items, b.h bh, list_transform(range(1, len(b.h) + 1), lambda j: case when s + j between 1 and len(d.h) and d.h[greatest(s + j, 1)] = b.h[j] then 1 else 0 end) e
+ from hit join d using (rid) join b using (bid)),
+ok as (select *, list_sum(e) / len(e) as share from same where list_max(list_transform(range(1, len(bh) - least(20, len(bh)) + 2), lambda j: list_sum(e[j:j + least(20, len(bh)) - 1]))) >= 0.8 * least(20, len(bh)))
+select doc_id, list_sort(list_distinct(flatten(list(items)))) as items, cast(len(list_distinct(flatten(list(items)))) as int) n_items, max(share) best from ok group by rid, doc_id
+"""
+
+
+ORACLE = _oracle()

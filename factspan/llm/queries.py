@@ -26,4 +26,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"op1_chat_format": chat.ORACLE}
+    return {"op1_chat_format": chat.ORACLE, "op5_embedding_near_dups": embeddings.ORACLE, "op9_decontaminate": decontaminate.ORACLE}
