@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -184,20 +185,36 @@ def _log_odds(counts: np.ndarray, texts: np.ndarray) -> np.ndarray:
     return np.clip(odds, -3, 4) * np.minimum(1, counts.sum(0) / 8)
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 10, rate: float = 0.01, seed: int = 7) -> Network | float:
+def _signature(ws: list[str]) -> int:
+    """The least hash of the runs of five words: near copies mostly share it, other texts don't."""
+    return min((crc32(" ".join(ws[i : i + 5]).encode()) for i in range(max(1, len(ws) - 4))), default=0)
+
+
+def train(texts: list[str], labels: np.ndarray, epochs: int = 10, rate: float = 0.01, seed: int = 7, distinct_only: bool = True) -> Network | float:
     """A network, or the smoothed share of label 1 if there is nothing to tell apart."""
-    labels = np.asarray(labels, float)
+    labels = all_labels = np.asarray(labels, float)
     if not len(labels) or labels.min() == labels.max():
         return float((labels.sum() + 1) / (len(labels) + 2))
-    split = [words(t) for t in texts]
-    distinct = sorted(set().union(*split))
-    place = {w: i for i, w in enumerate(distinct)}
-    placed = [np.fromiter(map(place.__getitem__, ws), np.int32, len(ws)) for ws in split]
+    # copies of a text would make its own rare words look like evidence: one of them is enough
+    place, placed, kept, seen = {}, [], [], set()
+    for k, t in enumerate(texts):
+        ws = words(t)
+        if distinct_only and (mark := _signature(ws)) in seen:
+            continue
+        seen.add(mark if distinct_only else k)
+        placed.append(np.fromiter((place.setdefault(w, len(place)) for w in ws), np.int32, len(ws)))
+        kept.append(k)
+    labels, distinct = labels[kept], list(place)
+    if labels.min() == labels.max():
+        return train(texts, all_labels, epochs, rate, seed, distinct_only=False)
     per_label = np.array([(labels == y).sum() for y in (0, 1)])
     word_counts, gram_counts = np.zeros((2, len(distinct) + 1)), np.zeros((2, GRAMS))
-    gram, of = grams(distinct) if distinct else (np.zeros(0, np.int64),) * 2
-    gram, begin = gram.astype(np.int32), np.searchsorted(of, np.arange(len(distinct) + 1))
-    del of
+    gram, per_word = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+    for k in range(0, len(distinct), 20_000):  # a part at a time: sorting them takes several times their size
+        at, of = grams(distinct[k : k + 20_000])
+        gram.append(at)
+        per_word.append(np.bincount(of, minlength=len(distinct[k : k + 20_000])))
+    gram, begin = np.concatenate(gram), np.concatenate([[0], np.cumsum(np.concatenate(per_word))])
     for ids, y in zip(placed, labels.astype(int), strict=True):
         own = np.unique(ids)
         word_counts[y, own] += 1
@@ -214,15 +231,15 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 10, rate: float =
     at, owner, starts = np.concatenate(wins), np.repeat(np.arange(len(wins)), sizes), np.concatenate([[0], np.cumsum(sizes)[:-1]])
     rng, moment, step = np.random.default_rng(seed), {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}, 0
     clean = labels == 0
-    batch = int(np.clip((len(labels) + 2 * clean.sum()) / 48, 16, 256))
+    batch = int(np.clip((len(labels) + 3 * clean.sum()) / 48, 16, 256))
     for epoch in range(epochs):
-        if epoch % 2 == 0:
+        if epoch % 2 == 0 or epoch > 6:
             value = np.where(at >= 0, of_word[at], -9).max(1) if epoch == 0 else net.logits(net.projected(distinct), at, 1024)
         order = np.lexsort((-value, owner))  # each text's windows, the most toxic first
-        first, second = order[starts], order[starts + np.minimum(1, sizes - 1)]
-        other = starts + (rng.random(len(starts)) * sizes).astype(int)
-        chosen = np.concatenate([first, second[clean], other[clean]])
-        target = np.concatenate([labels, np.zeros(2 * clean.sum())]).astype(np.float32)
+        best, other = order[starts], starts + (rng.random(len(starts)) * sizes).astype(int)
+        worst = [order[starts + np.minimum(k, sizes - 1)][clean] for k in (1, 2)]
+        chosen = np.concatenate([best, *worst, other[clean]])
+        target = np.concatenate([labels, np.zeros(3 * clean.sum())]).astype(np.float32)
         shuffled = rng.permutation(len(chosen))
         for k in range(0, len(shuffled), batch):
             pick = shuffled[k : k + batch]
