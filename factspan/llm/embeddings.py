@@ -67,7 +67,7 @@ def distinct_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
     """(rep, n, v): each distinct linkable vector, its smallest id and how many rows hold it."""
     v, finite = F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     ok = v.isNotNull() & F.col(key).isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0)
-    return rows.where(ok).groupBy(v.cast("array<double>").alias("v")).agg(F.min(key).alias("rep"), F.count("*").alias("n")).select("rep", "n", "v")
+    return rows.where(ok).groupBy(v.alias("v")).agg(F.min(key).alias("rep"), F.count("*").alias("n")).select("rep", "n", "v")
 
 
 def _find_pivots(vectors: DataFrame, pivots: int, cell: int) -> dict[int, np.ndarray]:
@@ -132,7 +132,7 @@ def links(vectors: DataFrame, cos: float = 0.9, pivots: int = 256, cell: int = B
                         visit = np.where((home[rows] == c) & (own[rows] == k), 0, 1).astype(np.int32)
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), at + k, np.int32)), pa.array(visit), *taken.columns], names=["block", "visit", "rep", "n", "v"])
 
-    dealt = vectors.mapInArrow(deal, "block int, visit int, rep long, n long, v array<double>")
+    dealt = vectors.mapInArrow(deal, f"block int, visit int, rep long, n long, v {vectors.schema['v'].dataType.simpleString()}")
     found = dealt.repartition("block").sortWithinPartitions("block", "visit").mapInArrow(lambda b: _join(b, cos), "kind int, a long, b long")
     return cut(found)
 
@@ -216,7 +216,7 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     counts = found.where("kind = 0").select(F.col("a").alias("rep"), F.col("b").alias("met"))
     parts = connected_components(found.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     told = classes.join(counts, "rep").join(parts, F.col("rep") == F.col("node"), "left").select(F.col("v"), "met", F.coalesce("component", "rep").alias("component"))
-    out = narrow.withColumn("_d", F.col("_v").cast("array<double>")).join(told, F.col("_d") == F.col("v"), "left")
+    out = narrow.join(told, F.col("_v") == F.col("v"), "left")
     linked = F.col("_key").isNotNull()
     component = F.when(linked, F.coalesce("component", "_key"))
     return out.select(
@@ -227,3 +227,13 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
 
 def op5(embeddings: DataFrame) -> DataFrame:
     return near_duplicates(embeddings).withColumnRenamed("component", "component_id")
+
+
+#: Every pair compared, and links followed to their end: the brute force of it, for small tables.
+ORACLE = """
+with recursive v as (select vec_id, cast(embedding as double[]) e from embeddings where len(embedding) > 0
+ and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link as (select a.vec_id a, b.vec_id b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.9),
+reach as (select vec_id a, vec_id root from embeddings union select link.b, reach.root from reach join link on link.a = reach.a)
+select vec_id, (select count(*) from link where link.a = vec_id) n_links, min(root) component_id, vec_id = min(root) kept from embeddings join reach on reach.a = vec_id group by vec_id
+"""
