@@ -27,7 +27,8 @@ def ledger(events: DataFrame) -> DataFrame:
 
 
 def source_ranks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([("s0", "click", 2), ("s1", "click", 1), ("s2", "view", 1)], "source_id string, field_key string, rank int")
+    """A registry of known size, so that its join is planned as a broadcast from the start."""
+    return spark.sql("select * from values ('s0', 'click', 2), ('s1', 'click', 1), ('s2', 'view', 1) as r(source_id, field_key, rank)")
 
 
 def exceptions(events: DataFrame) -> DataFrame:
