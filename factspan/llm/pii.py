@@ -4,16 +4,17 @@ Base spans are e-mail addresses, IPv4 addresses, card numbers (16 to 19 digits,
 numbers, found by pattern in every whole text. The corpus then says which ordinary terms reveal
 them: with N documents, n(e) of them holding entity e, n(t) holding term t, and n(t, e) with t
 near e, the pointwise mutual information log2(N n(t, e) / (n(t) n(e))) is the part of e's
-information log2(N / n(e)) that t discloses. A term near an entity is removed where it discloses
+information log2(N / n(e)) that t discloses. How often e is seen, alone and with t, counts distinct
+contexts (the two terms next to it on each side), so copies of a text, exact or near, are no evidence
+that its words give e away. A term near an entity is removed where it discloses
 ``remove_at`` of it or more, and generalised where it discloses ``generalise_at`` or more.
-Pairs seen in fewer than ``support`` documents are not evidence of either.
+Pairs seen in fewer than ``support`` contexts are not evidence of either.
 
 How it runs: one pass over the texts finds entities and the terms near them; what it gives (a
 few short rows for each entity) is checkpointed, and all statistics and decisions are
-aggregations and joins of those rows. Only n(t) takes a second look at the texts: distinct
-words are matched with the candidate terms where the texts lie and counted; candidates are
-broadcast while their counted number is within ``broadcast_terms``, and joined by a shuffle
-beyond it. No text is shuffled, no group is collected but one document's own spans.
+aggregations and joins of those rows. Only n(t) takes a second look at the texts: their words
+are counted in each task before the counts are shuffled, then joined with the candidate terms.
+No text is shuffled or broadcast, no group is collected but one document's own spans.
 
 Nulls: a null text is the empty text; null ids pass through; repeated rows are documents each.
 Terms are runs of ``LETTERS`` letters or more, lower-cased, within ``NEAR`` code points of the
@@ -81,19 +82,22 @@ def entity(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{plain}") - (1 << 63)
 
 
-def context(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, str, int, int]]:
-    """(entity, term, start, end) for the terms near each span."""
+def context(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str, int, int]]:
+    """(entity, its context, term, start, end) for the terms near each span."""
     out, taken = [], sorted((s, e) for _, s, e in spans)
     begins = [s for s, _ in taken]
     for kind, start, end in spans:
-        who = entity(kind, text[start:end])
+        who, near = entity(kind, text[start:end]), []
         for lo, hi in ((max(0, start - NEAR), start), (end, min(len(text), end + NEAR))):
             for m in _TERM.finditer(text, lo, hi):
                 s, e = m.span()
                 whole = (s > lo or s == 0 or not text[s - 1].isalpha()) and (e < hi or e == len(text) or not text[e].isalpha())
                 k = bisect_right(begins, e - 1) - 1
                 if whole and not (k >= 0 and any(b > s for _, b in taken[max(0, k - 3) : k + 1])):
-                    out.append((who, m[0].lower(), s, e))
+                    near.append((m[0].lower(), s, e))
+        close = [t for t, s, _ in near if s < start][-2:] + [t for t, s, _ in near if s > start][:2]
+        mark = xxhash.xxh64_intdigest(" ".join(close)) - (1 << 63)
+        out += [(who, mark, *x) for x in near]
     return out
 
 
@@ -101,20 +105,20 @@ def _joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-_NEAR_TYPE = "array<struct<e:bigint,t:string,s:int,f:int>>"
+_NEAR_TYPE = "array<struct<e:bigint,c:bigint,t:string,s:int,f:int>>"
 
 
 def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, key, n_<kind>..., base, base_sha256, near): base spans of every text and the terms near them."""
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
-    entry = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.string()), ("s", pa.int32()), ("f", pa.int32())]))
+    entry = pa.list_(pa.struct([("e", pa.int64()), ("c", pa.int64()), ("t", pa.string()), ("s", pa.int32()), ("f", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [(t, base_spans(t)) for t in b.column(2).to_pylist()]
             names = [_joined(s) for _, s in found]
-            near = [[dict(zip("etsf", x, strict=True)) for x in context(t, s)] if s else [] for t, s in found]
+            near = [[dict(zip("ectsf", x, strict=True)) for x in context(t, s)] if s else [] for t, s in found]
             counts = [pa.array([sum(x[0] == k for x in s) for _, s in found], pa.int64()) for k in KINDS]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), *counts, pa.array(names, pa.string()), pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names], pa.string()), pa.array(near, entry)],
@@ -125,25 +129,21 @@ def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return rows.mapInArrow(run, f"row long, _key {kind}, {counts}, base string, base_sha256 string, near {_NEAR_TYPE}").withColumnRenamed("_key", key)
 
 
-def disclosing(found: DataFrame, texts: DataFrame, text: str = "text", generalise_at: float = 0.6, remove_at: float = 0.9, support: int = 3, broadcast_terms: int = 1_000_000) -> DataFrame:
+def disclosing(found: DataFrame, texts: DataFrame, text: str = "text", generalise_at: float = 0.6, remove_at: float = 0.9, support: int = 3) -> DataFrame:
     """(e, t, discloses, action) for the pairs of entity and term that exceed a threshold."""
-    near = found.select("row", F.explode("near").alias("x")).select("row", "x.e", "x.t").distinct()
-    pairs = near.groupBy("e", "t").agg(F.count("*").alias("both")).where(F.col("both") >= support)
-    holders = near.select("row", "e").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
+    near = found.select("row", F.inline("near")).select("row", "e", "c", "t").distinct()
+    pairs = near.select("e", "c", "t").distinct().groupBy("e", "t").agg(F.count("*").alias("both")).where(F.col("both") >= support)
+    holders = near.select("e", "c").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
     n = found.count()
     disclosed = lambda n_t: F.log2(F.lit(float(n)) * F.col("both") / (F.greatest(n_t, "both") * F.col("n_e"))) / F.nullif(F.log2(F.lit(float(n)) / F.col("n_e")), F.lit(0.0))
     # n(t) is at least the number of documents with t near some entity: a pair that stays below
     # the threshold even so can't exceed it, and common words are out before texts are read again
     beside = near.select("row", "t").distinct().groupBy("t").agg(F.count("*").alias("n_beside"))
     pairs = cut(pairs.join(holders, "e").join(beside, "t").where(disclosed(F.col("n_beside")) >= generalise_at).select("e", "t", "both", "n_e"))
-    terms = cut(pairs.select("t").distinct())
-    n_terms = terms.count()
     runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(\p{L}{%d,})" % LETTERS), F.lit(1))
     seen = texts.select(F.explode(F.array_distinct(runs)).alias("t"))
-    if n_terms > broadcast_terms:
-        df = seen.groupBy("t").agg(F.count("*").alias("n_t")).join(terms, "t")
-    else:
-        df = seen.join(F.broadcast(terms), "t").groupBy("t").agg(F.count("*").alias("n_t"))
+    # words are counted where the texts lie and meet as one row a word; only then are candidates picked
+    df = seen.groupBy("t").agg(F.count("*").alias("n_t"))
     told = pairs.join(df, "t").withColumn("discloses", disclosed(F.col("n_t")))
     action = F.when(F.col("discloses") >= remove_at, "remove").otherwise("generalise")
     return told.where(F.col("discloses") >= generalise_at).select("e", "t", "discloses", action.alias("action"))
@@ -153,7 +153,7 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) ->
     """One row per document: ``detect``'s columns and ``terms``, the spans that disclose an entity."""
     found = cut(detect(docs, key, text))
     flagged = disclosing(found, docs, text, **options)
-    spots = found.select("row", F.inline("near")).join(flagged, ["e", "t"]).groupBy("row", "s", "f").agg(F.max(F.struct("discloses", "action")).alias("w"))
+    spots = found.select("row", F.inline("near")).drop("c").join(flagged, ["e", "t"]).groupBy("row", "s", "f").agg(F.max(F.struct("discloses", "action")).alias("w"))
     terms = spots.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "f", F.col("w.action").alias("action")))).alias("terms"))
     return found.drop("near").join(terms, "row", "left")
 

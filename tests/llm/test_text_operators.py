@@ -72,7 +72,7 @@ def test_patterns_take_linear_time():
 
 def test_op2(spark, frame):
     """A term that stands beside one address only, in enough documents, gives it away; common words don't."""
-    near = [(i, f"report about {'Zanzibar' if i < 6 else 'weather'} by joe@x.org today") for i in range(6)]
+    near = [(i, f"{w} report about Zanzibar by joe@x.org {w} today") for i, w in enumerate(["first", "second", "third", "fourth", "fifth", "sixth"])]
     rest = [(100 + i, f"report about weather by p{i}@y.org today") for i in range(40)] + [(200, None), (201, ""), (202, "call +1 555 123 4567, card 4785-3805-9239-1139, host 10.0.0.1"), (None, "x"), (0, near[0][1])]
     df = frame(near + rest, "doc_id long, text string").selectExpr("*", "1 as row", "2 as base")
     got = pii.op2(df).collect()
@@ -81,7 +81,9 @@ def test_op2(spark, frame):
     marked = lambda i, t: [t[int(s):int(e)] for k, s, e in (x.split(":") for x in by[i].spans.split(",") if x) if k == "term"]
     assert marked(1, near[1][1]) == ["Zanzibar"] and marked(100, rest[0][1]) == []
     assert (by[202].n_phone, by[202].n_card, by[202].n_ip) == (1, 1, 1) and by[202].spans == ",".join(f"{k}:{s}:{e}" for k, s, e in base(rest[42][1])) and by[200].spans == ""
-    assert by[1].base_sha256 == hashlib.sha256(b"email:25:34").hexdigest()
+    assert by[1].base_sha256 == hashlib.sha256(f"email:{near[1][1].index('joe')}:{near[1][1].index('joe') + 9}".encode()).hexdigest()
+    copies = frame([(i, "copied words about Ruritania by ann@z.org") for i in range(9)] + rest[:40], "doc_id long, text string")
+    assert not any("term" in r.spans for r in pii.op2(copies).where("doc_id < 9").collect())
     clean = {r.doc_id: r.text for r in pii.sanitised(df.where("doc_id in (1, 202)")).collect()}
     assert "joe@x.org" not in clean[1] and clean[202] == "call [phone], card [card], host [ip]"
     assert pii.op2(df.limit(0)).count() == 0
