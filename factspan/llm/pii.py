@@ -2,23 +2,25 @@ r"""PII: patterns find the protected entities, information theory finds what giv
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers (16 to 19 digits, Luhn) and phone
 numbers, found by pattern in every whole text. The corpus then says which ordinary terms reveal
-them: with N documents, n(e) of them holding entity e, n(t) holding term t, and n(t, e) with t
+them: with N units, n(e) of them holding entity e, n(t) holding term t, and n(t, e) with t
 near e, the pointwise mutual information log2(N n(t, e) / (n(t) n(e))) is the part of e's
-information log2(N / n(e)) that t discloses. How often e is seen, alone and with t, counts distinct
-contexts (the two terms next to it on each side), so copies of a text, exact or near, are no evidence
-that its words give e away. A term near an entity is removed where it discloses
-``remove_at`` of it or more, and generalised where it discloses ``generalise_at`` or more.
-Pairs seen in fewer than ``support`` contexts are not evidence of either.
-
-How it runs: one pass over the texts finds entities and the terms near them; what it gives (a
-few short rows for each entity) is checkpointed, and all statistics and decisions are
-aggregations and joins of those rows. Only n(t) takes a second look at the texts: their words
-are counted in each task before the counts are shuffled, then joined with the candidate terms.
-No text is shuffled or broadcast, no group is collected but one document's own spans.
+information log2(N / n(e)) that t discloses. All four count the same unit: a group of identical or
+near-identical whole texts (SimHash fingerprints linked as in ``simhash``), most often a single
+document, so copies are no evidence and don't dilute any. A term is removed where it discloses
+``remove_at`` of some entity or more, and generalised where it discloses ``generalise_at`` or more,
+wherever it stands in any text. Pairs seen in fewer than ``support`` units are not evidence of either.
+
+How it runs: one pass over the texts finds entities, the terms near them and fingerprints; what it
+gives (a few short rows for each entity) is checkpointed, and candidate pairs come from
+aggregations and joins of those rows; pairs that can't reach a threshold are out early, by lower
+bounds of n(t). A second pass finds the candidate terms in all texts; what it
+finds is checkpointed, and gives both n(t) and the spans. Candidates go to the tasks while
+their counted number is within ``broadcast_terms``; beyond it all words meet them in a shuffle.
+No text is shuffled, no group is collected but one document's own spans.
 
 Nulls: a null text is the empty text; null ids pass through; repeated rows are documents each.
-Terms are runs of ``LETTERS`` letters or more, lower-cased, within ``NEAR`` code points of the
-entity and outside of base spans. Spans count code points, ends are exclusive. Patterns are
+Terms are runs of letters and digits, of any length, lower-cased and outside of base spans; those
+within ``NEAR`` code points of an entity are near it. Spans count code points, ends are exclusive. Patterns are
 applied in forms that take linear time on any text. An empty table gives an empty result.
 """
 
@@ -27,24 +29,28 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspan.llm.common import cut
+from factspan.llm.common import connected_components, cut
+from factspan.llm.simhash import fingerprint, links
 
 KINDS = ("email", "ip", "card", "phone")
-NEAR, LETTERS = 100, 4
+NEAR = 100
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _OTHER = re.compile(r"[^0-9]+")
-_TERM = re.compile(r"[^\W\d_]{%d,}" % LETTERS)
+_TERM = re.compile(r"[^\W_]+")
 
 
 def luhn(digits: str) -> bool:
@@ -82,80 +88,122 @@ def entity(kind: str, value: str) -> int:
     return xxhash.xxh64_intdigest(f"{kind}:{plain}") - (1 << 63)
 
 
-def context(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, str, int, int]]:
-    """(entity, its context, term, start, end) for the terms near each span."""
-    out, taken = [], sorted((s, e) for _, s, e in spans)
-    begins = [s for s, _ in taken]
+def _outside(found: list[tuple[int, int]], spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """Those of ``found`` that overlap none of ``spans``."""
+    taken = sorted((s, e) for _, s, e in spans)
+    begins, reach = [s for s, _ in taken], list(accumulate((e for _, e in taken), max))
+    return [(s, e) for s, e in found if not (k := bisect_right(begins, e - 1)) or reach[k - 1] <= s]
+
+
+def context(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[int, str]]:
+    """(entity, term) for the terms near each span."""
+    out = set()
     for kind, start, end in spans:
         who, near = entity(kind, text[start:end]), []
         for lo, hi in ((max(0, start - NEAR), start), (end, min(len(text), end + NEAR))):
             for m in _TERM.finditer(text, lo, hi):
                 s, e = m.span()
-                whole = (s > lo or s == 0 or not text[s - 1].isalpha()) and (e < hi or e == len(text) or not text[e].isalpha())
-                k = bisect_right(begins, e - 1) - 1
-                if whole and not (k >= 0 and any(b > s for _, b in taken[max(0, k - 3) : k + 1])):
-                    near.append((m[0].lower(), s, e))
-        close = [t for t, s, _ in near if s < start][-2:] + [t for t, s, _ in near if s > start][:2]
-        mark = xxhash.xxh64_intdigest(" ".join(close)) - (1 << 63)
-        out += [(who, mark, *x) for x in near]
+                if (s > lo or s == 0 or not text[s - 1].isalnum()) and (e < hi or e == len(text) or not text[e].isalnum()):
+                    near.append((s, e))
+        out.update((who, text[s:e].lower()) for s, e in _outside(near, spans))
     return out
 
 
+def terms(text: str, wanted: frozenset[str] | None) -> dict[str, list[tuple[int, int]]]:
+    """Where each of the ``wanted`` terms (None: every term) stands outside of base spans."""
+    at = defaultdict(list)
+    low = text.lower()
+    if wanted is not None and wanted.isdisjoint(_TERM.findall(low)) and len(low) == len(text) and "Σ" not in text:  # lower-cased by its neighbours
+        return at
+    found = [m.span() for m in _TERM.finditer(text) if wanted is None or m[0].lower() in wanted]
+    for s, e in _outside(found, base_spans(text)) if found else ():
+        at[text[s:e].lower()].append((s, e))
+    return at
+
+
 def _joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-_NEAR_TYPE = "array<struct<e:bigint,c:bigint,t:string,s:int,f:int>>"
+def _same(text: str) -> Column:
+    """What stands for a whole text in joins, so that copies are one; null is the empty text."""
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
 
 
 def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, key, n_<kind>..., base, base_sha256, near): base spans of every text and the terms near them."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    """(same, key, n_<kind>..., base, base_sha256, fp, near): base spans of every text, its fingerprint and the terms near the spans."""
+    rows = docs.select(_same(text).alias("same"), F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     kind = rows.schema["_key"].dataType.simpleString()
-    entry = pa.list_(pa.struct([("e", pa.int64()), ("c", pa.int64()), ("t", pa.string()), ("s", pa.int32()), ("f", pa.int32())]))
+    entry = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(t, base_spans(t)) for t in b.column(2).to_pylist()]
+            texts = b.column(2).to_pylist()
+            found = [(t, base_spans(t)) for t in texts]
             names = [_joined(s) for _, s in found]
-            near = [[dict(zip("ectsf", x, strict=True)) for x in context(t, s)] if s else [] for t, s in found]
+            near = [[{"e": e, "t": w} for e, w in context(t, s)] if s else [] for t, s in found]
             counts = [pa.array([sum(x[0] == k for x in s) for _, s in found], pa.int64()) for k in KINDS]
+            fps = pa.array(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *counts, pa.array(names, pa.string()), pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names], pa.string()), pa.array(near, entry)],
-                names=["row", "_key", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "near"],
+                [b.column(0), b.column(1), *counts, pa.array(names, pa.string()), pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names], pa.string()), fps, pa.array(near, entry)],
+                names=["same", "_key", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "fp", "near"],
             )
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return rows.mapInArrow(run, f"row long, _key {kind}, {counts}, base string, base_sha256 string, near {_NEAR_TYPE}").withColumnRenamed("_key", key)
+    return rows.mapInArrow(run, f"same string, _key {kind}, {counts}, base string, base_sha256 string, fp long, near array<struct<e:bigint,t:string>>").withColumnRenamed("_key", key)
 
 
-def disclosing(found: DataFrame, texts: DataFrame, text: str = "text", generalise_at: float = 0.6, remove_at: float = 0.9, support: int = 3) -> DataFrame:
-    """(e, t, discloses, action) for the pairs of entity and term that exceed a threshold."""
-    near = found.select("row", F.inline("near")).select("row", "e", "c", "t").distinct()
-    pairs = near.select("e", "c", "t").distinct().groupBy("e", "t").agg(F.count("*").alias("both")).where(F.col("both") >= support)
-    holders = near.select("e", "c").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
-    n = found.count()
-    disclosed = lambda n_t: F.log2(F.lit(float(n)) * F.col("both") / (F.greatest(n_t, "both") * F.col("n_e"))) / F.nullif(F.log2(F.lit(float(n)) / F.col("n_e")), F.lit(0.0))
-    # n(t) is at least the number of documents with t near some entity: a pair that stays below
-    # the threshold even so can't exceed it, and common words are out before texts are read again
-    beside = near.select("row", "t").distinct().groupBy("t").agg(F.count("*").alias("n_beside"))
-    pairs = cut(pairs.join(holders, "e").join(beside, "t").where(disclosed(F.col("n_beside")) >= generalise_at).select("e", "t", "both", "n_e"))
-    runs = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(""))), F.lit(r"(\p{L}{%d,})" % LETTERS), F.lit(1))
-    seen = texts.select(F.explode(F.array_distinct(runs)).alias("t"))
-    # words are counted where the texts lie and meet as one row a word; only then are candidates picked
-    df = seen.groupBy("t").agg(F.count("*").alias("n_t"))
-    told = pairs.join(df, "t").withColumn("discloses", disclosed(F.col("n_t")))
-    action = F.when(F.col("discloses") >= remove_at, "remove").otherwise("generalise")
-    return told.where(F.col("discloses") >= generalise_at).select("e", "t", "discloses", action.alias("action"))
+def places(texts: DataFrame, candidates: DataFrame, broadcast_terms: int = 100_000) -> DataFrame:
+    """(same, t, at): where the candidate terms ``candidates(t)`` stand in each distinct text of ``texts(same, _text)``."""
+    few = candidates.count() <= broadcast_terms
+    wanted = frozenset(r.t for r in candidates.collect()) if few else None
 
-
-def find(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, ts, at = [], [], []
+            for same, said in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for t, spots in terms(said or "", wanted).items():
+                    ids.append(same)
+                    ts.append(t)
+                    at.append([{"s": s, "f": f} for s, f in spots])
+            kind = pa.list_(pa.struct([("s", pa.int32()), ("f", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(ts, pa.string()), pa.array(at, kind)], names=["same", "t", "at"])
+
+    found = texts.mapInArrow(run, "same string, t string, at array<struct<s:int,f:int>>")
+    return (found if few else found.join(candidates, "t").select("same", "t", "at")).dropDuplicates(["same", "t"])
+
+
+def find(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", generalise_at: float = 0.6, remove_at: float = 0.9, support: int = 3, broadcast_terms: int = 100_000, probe: int = 20_000,
+) -> DataFrame:
     """One row per document: ``detect``'s columns and ``terms``, the spans that disclose an entity."""
     found = cut(detect(docs, key, text))
-    flagged = disclosing(found, docs, text, **options)
-    spots = found.select("row", F.inline("near")).drop("c").join(flagged, ["e", "t"]).groupBy("row", "s", "f").agg(F.max(F.struct("discloses", "action")).alias("w"))
-    terms = spots.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("s", "f", F.col("w.action").alias("action")))).alias("terms"))
-    return found.drop("near").join(terms, "row", "left")
+    # units: fingerprints that hang together
+    fps = found.select("fp").distinct()
+    parts = connected_components(links(fps))
+    units = cut(fps.join(parts, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("unit")))
+    n = float(units.select("unit").distinct().count())
+    near = found.where(F.size("near") > 0).select("fp", F.inline("near")).distinct().join(units, "fp").select("unit", "e", "t").distinct()
+    pairs = near.groupBy("e", "t").agg(F.count("*").alias("both")).where(F.col("both") >= support)
+    holders = near.select("unit", "e").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
+    disclosed = lambda n_t: F.log2(F.lit(n) * F.col("both") / (n_t * F.col("n_e"))) / F.nullif(F.log2(F.lit(n) / F.col("n_e")), F.lit(0.0))
+    # n(t) is at least the number of units with t near some entity: a pair that stays below
+    # the threshold even so can't exceed it, and common words are out before texts are read again
+    beside = near.select("unit", "t").distinct().groupBy("t").agg(F.count("*").alias("n_beside"))
+    pairs = cut(pairs.join(holders, "e").join(beside, "t").where(disclosed(F.col("n_beside")) >= generalise_at).select("e", "t", "both", "n_e"))
+    # so is the number among any of the units: one text each of about ``probe`` units rules out more
+    texts = docs.select(_same(text).alias("same"), F.col(text).alias("_text"))
+    in_unit = found.select("same", "fp").distinct().join(units, "fp").select("same", "unit")
+    some = in_unit.groupBy("unit").agg(F.min("same").alias("same")).select("same").where(F.pmod(F.xxhash64("same"), F.lit(1 << 20)) < int(min(1.0, probe / max(1.0, n)) * (1 << 20)))
+    among = places(texts.join(F.broadcast(some), "same", "left_semi"), pairs.select("t").distinct(), broadcast_terms).groupBy("t").agg(F.count("*").alias("n_some"))
+    pairs = cut(pairs.join(among, "t", "left").where(F.col("n_some").isNull() | (disclosed(F.col("n_some")) >= generalise_at)).drop("n_some"))
+    spots = cut(places(texts, pairs.select("t").distinct(), broadcast_terms))
+    df = spots.select("same", "t").join(in_unit, "same").select("unit", "t").distinct().groupBy("t").agg(F.count("*").alias("n_t"))
+    told = pairs.join(df, "t").groupBy("t").agg(F.max(disclosed(F.col("n_t"))).alias("discloses")).where(F.col("discloses") >= generalise_at)
+    action = F.when(F.col("discloses") >= remove_at, "remove").otherwise("generalise")
+    marked = spots.join(told.select("t", action.alias("action")), "t").select("same", "action", F.inline("at"))
+    marked = marked.groupBy("same").agg(F.sort_array(F.collect_list(F.struct("s", "f", "action"))).alias("terms"))
+    return found.drop("near", "fp").join(marked, "same", "left")
 
 
 def all_spans(base: Column, terms: Column) -> Column:
@@ -170,7 +218,7 @@ def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text", **option
     Joins spans to texts by key, so keys are taken to be unique here.
     """
     spans = find(docs, key, text, **options)
-    spans = spans.select(F.col(key).alias("_k"), "base", "terms").where("base <> ''")
+    spans = spans.select(F.col(key).alias("_k"), "base", "terms").where("base <> '' or terms is not null")
     joined = docs.select(F.col(key), F.col(text).alias("_text")).join(spans, F.col(key) == F.col("_k"), "left").select(key, "_text", "base", "terms")
 
     def clean(t, base, terms):

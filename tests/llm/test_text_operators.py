@@ -1,6 +1,7 @@
 """Operators on single texts: chat formatting, PII, HTML text."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -89,6 +90,26 @@ def test_op2(spark, frame):
     assert pii.op2(df.limit(0)).count() == 0
 
 
+def test_op2_counts_one_unit_and_marks_every_occurrence(spark, frame):
+    """Signatures count once a document, copies once in all, and a flagged term is a span wherever it stands."""
+    r = random.Random(3)
+    prose = lambda n=40: " ".join("".join(r.choices("bcdfghklmnprst", k=6)) for _ in range(n))
+    signed = [(i, f"{prose()} yours truly Zanzibar Q7 joe@x.org best wishes") for i in range(5)]
+    other = [(100 + i, f"{prose()} yours truly p{i}@y.org best wishes") for i in range(30)]
+    thrice = [(200 + i, f"{prose()} from Ruritania ann@z.org {prose(2)}") for i in range(3)]
+    copied = [(300 + i, thrice[0][1]) for i in range(40)] + [(400, thrice[0][1] + " again")]
+    far = [(500, f"Zanzibar {prose(60)} q7")]
+    rows = signed + other + thrice + copied + far
+    df = frame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    for options in ({}, {"broadcast_terms": 0}):
+        found = {x.doc_id: [texts[x.doc_id][y.s : y.f] for y in x.terms or []] for x in pii.find(df, **options).collect()}
+        assert len(found) == len(rows)
+        assert all(found[i] == ["Zanzibar", "Q7"] for i, _ in signed) and found[500] == ["Zanzibar", "q7"]
+        assert all("Ruritania" in found[i] for i, _ in thrice + copied) and not any(found[i] for i, _ in other)
+    assert dict(pii.sanitised(df).where("doc_id = 500").collect())[500].count("Zanzibar") == 0
+
+
 ARTICLE = "<h1>On  tests</h1><p>First, a long paragraph with commas, and stops. It goes on.</p><p>Short.<br>Still short.</p><p>Caf&eacute; &amp; more &lt;b&gt;"
 PAGES = {
     "plain": (f"<html><body><nav><a href=/>Home</a></nav><article>{ARTICLE}</article><footer>(c) me, all rights.</footer></body></html>", None),
