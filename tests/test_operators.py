@@ -181,6 +181,15 @@ def test_closure_of_a_graph_with_a_diamond_and_a_cycle(spark, frame):
     assert got == {("d", "b"): 1, ("d", "c"): 1, ("d", "a"): 2, ("x", "y"): 1}
 
 
+def test_closure_goes_to_the_end_or_raises(spark, frame):
+    edges = frame([(i, i - 1) for i in range(1, 54)], "fact_id long, input_fact_id long")
+    seed = frame([(53,)], "fact_id long")
+    assert lineage.closure(edges, seed).count() == 53
+    assert lineage.closure(edges.where("fact_id <= 3"), frame([(3,)], "fact_id long"), max_depth=3).count() == 3
+    with pytest.raises(RuntimeError):
+        lineage.closure(edges, seed, max_depth=3)
+
+
 def test_streams(spark, frame, tmp_path):
     schema = "parcel_id string, reason string, at timestamp, holds boolean"
     frame([("p", "r", T(1), True), ("p", "r", T(2), True), ("p", "r", T(3), False), ("p", "r", T(4), True), ("q", "r", T(1), False)], schema).coalesce(1).write.parquet(f"{tmp_path}/in")
