@@ -2,7 +2,8 @@
 
 A word enters as its own embedding (words of the training sample that occur in two documents or
 more; all others share one) beside its characters: the embeddings of its 3- to 5-grams, of which
-each component's maximum passes. A text is read in windows of ``WINDOW`` words, each overlapping
+each component's maximum passes. Runs of over ``LETTERS`` letters (scripts without spaces) are read
+in pieces that overlap by ``LAP``, to their end. A text is read in windows of ``WINDOW`` words, each overlapping
 the next by ``WINDOW - STRIDE``, to its end; a window goes through a forward and a backward gated recurrent layer, attention weighs their states, and
 the pooled state gives the window's probability. The text's score is its most toxic window's.
 
@@ -31,19 +32,25 @@ from pyspark.sql import functions as F
 
 from factspan.llm.quality import held_out, labelled
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
+#: Letters of a word, and by how many the pieces of a longer run overlap.
+LETTERS, LAP = 40, 20
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION, GRAMS = 8, 8, 8, 8, 1 << 16
 _WORDS = re.compile(r"[^\W\d_]+").findall
 _KEPT = 100_000
 
 
 def words(text: str | None) -> list[str]:
-    return _WORDS((text or "").lower())
+    """The words of a text in order; runs of more than ``LETTERS`` letters as overlapping pieces, each a word."""
+    found = _WORDS((text or "").lower())
+    if max(map(len, found), default=0) <= LETTERS:
+        return found
+    return [w[k : k + LETTERS] for w in found for k in range(0, max(1, len(w) - LAP), LETTERS - LAP)]
 
 
 def grams(vocabulary: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the 3- to 5-grams of words, and the word that each belongs to, word by word."""
-    raw = np.frombuffer("\0".join(["<" + w[:40] + ">" for w in vocabulary]).encode(), np.uint8).astype(np.uint32)
+    raw = np.frombuffer("\0".join(["<" + w + ">" for w in vocabulary]).encode(), np.uint8).astype(np.uint32)
     owner = np.cumsum(raw == 0)
     at, of = [], []
     for n in (3, 4, 5):

@@ -84,6 +84,18 @@ def test_windows_cover_every_word_and_overlap(n):
         assert len(set(a[a >= 0]) & set(b[b >= 0])) == toxicity.WINDOW - toxicity.STRIDE
 
 
+def test_long_runs_are_read_to_their_end():
+    """Whatever stands in a run without spaces lies whole in one of its pieces."""
+    for n in (40, 41, 60, 61, 1000):
+        run = "".join(rng.choices("abcdefgh", k=n))
+        pieces = toxicity.words(run)
+        assert all(len(w) <= toxicity.LETTERS for w in pieces) and all(any(run[k : k + 20] in w for w in pieces) for k in range(n - 19))
+    long = ["x" * 60 + "tail", "x" * 60 + "last"]
+    at, of = toxicity.grams(long)
+    assert set(at[of == 0]) != set(at[of == 1])
+    assert toxicity.STRIDE <= toxicity.WINDOW // 2
+
+
 def insult(text):
     ws = text.split()
     for _ in range(2):
