@@ -161,6 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     picked = known.where(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
     kind = docs.schema[key].dataType.simpleString()
     texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id")
+    texts = texts.groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y"))  # repeated rows are one
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -96,6 +96,18 @@ def test_long_runs_are_read_to_their_end():
     assert toxicity.STRIDE <= toxicity.WINDOW // 2
 
 
+def test_one_row_of_a_picked_id_is_fetched(spark, frame, monkeypatch):
+    fetched = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: fetched.append(len(texts)) or 0.5)
+    docs = frame([(1, prose(9)) for _ in range(200)] + [(i, prose(9)) for i in range(2, 30)], "doc_id long, text string")
+    labels = frame([(i, i % 2, i % 2) for i in range(1, 30)], "doc_id long, toxic int, quality int")
+    toxicity.fit(docs, labels, folds=1000)
+    assert fetched and fetched[0] <= 29
+    monkeypatch.setattr(quality.AdditiveModel, "fit", lambda self, x, y: fetched.append(len(x)) or self)
+    quality.fit(docs, labels, folds=1000)
+    assert fetched[1] <= 29
+
+
 def insult(text):
     ws = text.split()
     for _ in range(2):
