@@ -4,8 +4,9 @@ A page becomes a sequence of blocks, each with its root-to-leaf path of tags. Pe
 outside of links, the punctuation and the link text of all its blocks are summed and divided by
 the number of blocks: paths of running text have long, punctuated blocks, paths of menus short
 ones. Both ratios are fused into one weight, smoothed over the sequence of blocks, and paths
-whose weight exceeds a share of the page's spread are content. The answer is what the smallest
-element around the content holds: the article, with its headings and short paragraphs.
+whose weight exceeds a share of the page's spread are content. All of it is the answer, and with it
+the headings and short paragraphs in the smallest element around all of it, or in an <article> or
+<main> that holds nine tenths of it.
 
 What HTML itself declares to be something else never competes: scripts, styles, forms,
 navigation, page headers and footers, asides, hidden elements, and elements whose class, id or
@@ -189,19 +190,19 @@ def main_text(page: str | None) -> str:
     if not chosen:
         return ""
     whole = sum(len(said) for _, said in chosen)
-    inside, named, depth = defaultdict(int), {}, {}
+    inside, held, named, depth = defaultdict(int), defaultdict(int), {}, {}
     for b, said in chosen:
         for d, (e, name) in enumerate(zip(b.chain, b.path.split("/"), strict=False)):
             inside[e] += len(said)
+            held[e] += 1
             named[e], depth[e] = name, d
-    around = [e for e, n in inside.items() if n >= 0.9 * whole and named[e] not in _LEAVES]
-    if not around:
-        return "\n".join(said for _, said in chosen)
-    # an element that says it is the article, or else the innermost around the content
-    home = max(around, key=lambda e: (named[e] == "article", named[e] == "main", depth[e], -e))
-    in_home = [(b, said) for b, said in found if home in b.chain]
+    # what may be added stands in the innermost element around all that is chosen, or in an
+    # element that says it is the article and holds nine tenths of it
+    around = [e for e, n in inside.items() if named[e] not in _LEAVES and (held[e] == len(chosen) or named[e] in ("article", "main") and n >= 0.9 * whole)]
+    home = max(around, key=lambda e: (named[e] == "article", named[e] == "main", depth[e], -e), default=None)
+    taken = {id(b) for b, _ in chosen}
     # lists of links stay out, wherever they stand
-    return "\n".join(said for b, said in in_home if sums[b.path][3] <= sums[b.path][1] or b.linked < len(said) / 2)
+    return "\n".join(said for b, said in found if id(b) in taken or home in b.chain and (sums[b.path][3] <= sums[b.path][1] or b.linked < len(said) / 2))
 
 
 def extract(pages: DataFrame, page: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

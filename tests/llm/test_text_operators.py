@@ -129,6 +129,13 @@ def test_main_text(name):
     assert extract.main_text(page) == (WANT if want is None else want)
 
 
+def test_all_content_is_kept_beside_one_long_section():
+    section = lambda n, word: "<div>" + f"<p>{(word + ', and so on. ') * 8}</p>" * n + "</div>"
+    for page in (f"<body><div>{section(24, 'long')}{section(1, 'short')}</div></body>", f"<body><div><article>{section(24, 'long')}</article>{section(1, 'short')}</div></body>"):
+        said = extract.main_text(page)
+        assert said.count("long,") == 24 * 8 and said.count("short,") == 8
+
+
 def test_long_and_deep_pages():
     assert extract.main_text("<div>" * 3000 + "word, word." + "</div>" * 3000) == "word, word."
     assert len(extract.main_text("<article>" + "<p>" + "word, " * 10 + "</p>" * 1 + "<p>x.</p>" * 5000 + "</article>").split("\n")) == 5001
