@@ -20,12 +20,6 @@ def packed(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def keep_ids(df: DataFrame, key: str, ids: DataFrame, how: str) -> DataFrame:
-    """``left_semi`` or ``left_anti`` join of ``df`` with a frame of ids; a null id equals a null id."""
-    rows, ids = df.select(packed(df).alias("row"), F.col(key).alias("key")), ids.toDF("id").distinct()
-    return rows.join(ids, F.col("key").eqNullSafe(F.col("id")), how).select("row.*")
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there.
 
@@ -39,6 +33,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """(id, row): every row of ``df`` as one struct, with a number of its own that is written before anything is decided."""
+    return cut(df.select(F.monotonically_increasing_id().alias("id"), packed(df).alias("row")))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of ``edges(src, dst)``; component: its smallest node.
 

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspan.llm.common import keep_ids
+from factspan.llm.common import numbered
 
 #: Tokens that a mask spans, and the positions that each mask looks at (7 of 11). Any single
 #: substitution in 12 tokens or more leaves one of them intact, and most pairs of them do too.
@@ -94,9 +94,11 @@ def contaminated(
     )
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that overlap an item."""
-    return keep_ids(docs, key, contaminated(docs, benchmark, key=key, **options).select(key), "left_anti")
+def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that overlap an item; other rows of the same key stay."""
+    rows = numbered(docs)
+    texts = rows.select("id", F.col("row").getField(text).alias("text"))
+    return rows.join(contaminated(texts, benchmark, key="id", text="text", **options).select("id"), "id", "left_anti").select("row.*")
 
 
 def op9(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factspan.llm.common import WORD, cut, packed
+from factspan.llm.common import WORD, cut, numbered
 
 
 def words(text: Column) -> Column:
@@ -80,10 +80,14 @@ def split_tree(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
 
 def mix(
     docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = (1, 2, 3),
-    most: int = 3, shards: int = 16, blocks: int = 4096, buckets: int = 4096, seed: int = 42,
+    most: int = 3, shards: int = 16, blocks: int = 4096, buckets: int = 4096, seed: int = 42, uid: str | None = None,
 ) -> DataFrame:
-    """One row per document: key, size, source_size, target, copies, taken, shards (one per copy), mix_order."""
-    sized = docs.select(F.col(key).alias("_key"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("_src"), words(F.col(text)).alias("size"), F.xxhash64(F.col(key), F.lit(seed)).alias("_at")).withColumn("_bucket", F.pmod("_at", F.lit(buckets)).cast("int")).withColumn("_uid", F.monotonically_increasing_id())
+    """One row per document: key, size, source_size, target, copies, taken, shards (one per copy), mix_order.
+
+    ``uid`` is a column that numbers the rows, returned beside the others; without it rows are numbered here.
+    """
+    number = F.col(uid) if uid else F.monotonically_increasing_id()
+    sized = docs.select(number.alias("_uid"), F.col(key).alias("_key"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("_src"), words(F.col(text)).alias("size"), F.xxhash64(F.col(key), F.lit(seed)).alias("_at")).withColumn("_bucket", F.pmod("_at", F.lit(buckets)).cast("int"))
     sized = cut(sized)  # texts are read once; ids of rows stay as they are from here on
     sums = sized.groupBy("_src", "_bucket").agg(F.sum("size").alias("words"))
     sources = targets(sums.groupBy("_src").agg(F.sum("words").alias("source_size")), weights, most)
@@ -91,7 +95,7 @@ def mix(
     sources = sources.withColumn("block_words", per)
     cells = sources.select("_src", F.explode(F.sequence(F.lit(0), F.floor(F.col("target") / F.col("block_words")).cast("int"))).alias("block"))
     drawn = split_tree(cells, shards, seed).groupBy("_src").agg(F.transform(F.sort_array(F.collect_list(F.struct("block", "shard"))), lambda x: x["shard"]).alias("_shards"))
-    sources = sources.join(drawn, "_src")
+    sources = cut(sources.join(drawn, "_src"))  # a row per source; the plan of the tree isn't carried on
     # all that a document needs to know of its source comes with its cell, (source, bucket): the
     # documents are dealt by cell once, and a source with a third of them is never one group
     cell = ["_src", "_bucket"]
@@ -119,7 +123,7 @@ def mix(
     copies = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
     at = lambda e: F.least(F.floor((e * F.col("source_size") + begin) / F.col("block_words")).cast("int"), F.col("_all") - 1)
     return placed.select(
-        F.col("_key").alias(key), "size", "source_size", "target",
+        *([F.col("_uid").alias(uid)] if uid else []), F.col("_key").alias(key), "size", "source_size", "target",
         F.col("_n").cast("int").alias("copies"),
         (F.col("_n") * F.col("size")).cast("long").alias("taken"),
         F.transform(copies, lambda e: F.get(F.get("_drawn", e), at(e) - F.get("_first", e))).alias("shards"),
@@ -131,12 +135,9 @@ def op4(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "shards")
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` as the mix takes them: a row for each copy, none for what it leaves out.
-
-    Rows that share a key are taken alike, as often as the row of theirs that is taken most.
-    """
-    copies = mix(docs, key=key, **options).where("copies > 0").groupBy(F.col(key).alias("id")).agg(F.max("copies").alias("copies"))
-    rows = docs.select(packed(docs).alias("row"), F.col(key).alias("key"))
-    taken = rows.join(copies, F.col("key").eqNullSafe(F.col("id")))
-    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+    """``docs`` as the mix takes them: each row as often as the mix takes that row, none for what it leaves out."""
+    rows = numbered(docs)
+    narrow = rows.select("id", *[F.col("row").getField(c).alias(f"_{n}") for n, c in (("key", key), ("source", source), ("text", text))])
+    copies = mix(narrow, key="_key", source="_source", text="_text", uid="id", **options).where("copies > 0").select("id", "copies")
+    return rows.join(copies, "id").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspan.llm.common import connected_components, cut, keep_ids
+from factspan.llm.common import connected_components, cut, numbered
 
 BITS = 3
 #: Fingerprints that one bucket compares with each other before it is keyed again; no key of the third level can have more.
@@ -192,17 +192,15 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one document of each near-duplicate group, the one with the smallest key.
+    """``docs`` with one row of each near-duplicate group, the one with the smallest key.
 
-    Of several rows with that key one stays; rows with a null key can't be named and all stay.
+    Null keys come last, and of rows that share the smallest key the first stays. Rows are told
+    apart by a number of their own, so rows that share a key are judged each by its own text.
     """
-    found = cut(components(docs, key, text))
-    gone = found.where(F.col(key).isNotNull() & (F.col(key) != F.col("component"))).select(key)
-    left = keep_ids(docs, key, gone, "left_anti")
-    again = found.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key)
-    if again.isEmpty():
-        return left
-    return keep_ids(left, key, again, "left_anti").unionByName(keep_ids(left, key, again, "left_semi").dropDuplicates([key]))
+    rows = numbered(docs)
+    name = F.col("row").getField(key)
+    found = components(rows.select(F.struct(name.isNull().alias("none"), name.alias("key"), "id").alias("at"), F.col("row").getField(text).alias("text")), "at", "text")
+    return rows.join(found.where("at.id = component.id").select("at.id"), "id", "left_semi").select("row.*")
 
 
 def op3(docs: DataFrame) -> DataFrame:

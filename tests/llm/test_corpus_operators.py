@@ -217,6 +217,21 @@ def test_op9(spark, frame):
     assert decontaminate.contaminated(df.limit(0), bf).count() == 0 and decontaminate.contaminated(df, bf.limit(0)).count() == 0
 
 
+def test_stages_decide_by_row_not_by_key(spark, frame):
+    """Rows that share a key, or have none, are kept or dropped each for its own text."""
+    a, b, c, d, item = prose(80), prose(80), prose(80), prose(80), prose(40)
+    rows = [(1, a), (2, a), (2, b), (3, c), (3, d), (None, prose(80)), (None, prose(80)), (None, d)]
+    df = frame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.keep_one(df).collect()), key=repr) == sorted([*rows[:1], *rows[2:7]], key=repr)
+    dirty = [(None, item + " " + a), (4, item + " " + b)]
+    clean = [(None, c), (4, d), (5, a)]
+    left = decontaminate.clean(frame(dirty + clean, "doc_id long, text string"), frame([(1, item)], "item_id long, text string"))
+    assert sorted(map(tuple, left.collect()), key=repr) == sorted(clean, key=repr)
+    same = frame([(7, prose(20), "s") for _ in range(40)] + [(None, prose(20), "t") for _ in range(40)], "doc_id long, text string, source string")
+    want = mixing.mix(same).selectExpr("sum(copies) n").first().n
+    assert mixing.mixed_documents(same).count() == want < 80 * 3
+
+
 def test_seeds_tolerate_substitutions():
     """Any one substitution in 12 tokens leaves a mask intact."""
     for at in range(12):
