@@ -1,24 +1,29 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A spaced seed is a mask over ``SPAN`` consecutive tokens that looks at some positions and
-ignores the others, so a passage still hits when the substituted tokens fall on ignored
-positions. Every position of every document and of every benchmark item is hashed under each
-mask; equal hashes are hits. A hit fixes the alignment of document and item (the difference of
-the two positions), and the whole item is then compared token by token along it: an overlap
-counts when some stretch of ``stretch`` tokens (the whole item, if it is shorter) agrees in at
-least ``agree`` of its tokens.
-
-How it runs, all in DataFrame functions: a document becomes an array of token hashes, and each
-mask an array of seed hashes; these are exploded and joined with the benchmark's seeds inside
-one stage, so only hits leave it, each with the few tokens that verification needs. The
-benchmark's seeds are broadcast only while their counted number is within ``broadcast_seeds``;
-beyond it the same join shuffles. Documents' seeds are not shuffled when the benchmark fits.
+A spaced seed is a mask over a few consecutive tokens that looks at some positions and ignores
+the others, so a passage still hits when the substituted tokens fall on ignored positions. Every
+position of every document and of every benchmark item is hashed under each mask; equal hashes
+are hits. A hit fixes the alignment of document and item (the difference of the two positions),
+and the whole item is then compared token by token along it: an overlap counts when some stretch
+of ``stretch`` tokens (the whole item, if it is shorter) agrees in at least ``agree`` of its tokens.
+
+The masks lose nothing at the default ``agree``: whatever fifth of a stretch of 10 to 20 tokens
+is substituted, one of the three ``MASKS`` finds all its looked-at tokens intact somewhere in it
+(a test goes through every pattern), and ``SHORT_MASKS`` do the same for one substitution in 5 to
+9 tokens. So the result is what comparing every item at every position would give.
+
+How it runs, all in DataFrame functions: a document becomes an array of token hashes; its
+positions are exploded, and each mask's hash is an ordinary compiled column of (array, position).
+It meets the benchmark's seeds inside the same stage, so only hits leave it, each with the few
+tokens that verification needs. The benchmark's seeds are broadcast only while their counted
+number is within ``broadcast_seeds``; beyond it the token arrays are written once, only (row,
+position, seed) is shuffled, and hits find their texts again by row.
 
 Tokens are maximal runs of letters and digits, lower-cased. Items that differ in no token are
-searched once and reported together. An item shorter than ``SPAN`` tokens is searched as a whole
-(all positions count); one of fewer than ``LEAST`` tokens says nothing and is never found. Null
-or empty texts match nothing; a null item id is reported as null. Repeated rows each count.
-Empty tables give an empty result.
+searched once and reported together. Items of fewer than ``least`` tokens say nothing and are not
+searched; with a smaller ``least`` they are, those of under 5 tokens by all their positions. Null
+or empty texts match nothing; a null item id is reported as null. Repeated rows each count. Long
+texts are exploded like others, and none is cut. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -26,14 +31,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspan.llm.common import numbered
+from factspan.llm.common import cut, numbered
 
-#: Tokens that a mask spans, and the positions that each mask looks at (7 of 11). Any single
-#: substitution in 12 tokens or more leaves one of them intact, and most pairs of them do too.
-SPAN = 11
-MASKS = ((0, 1, 2, 4, 7, 9, 10), (0, 1, 3, 5, 6, 8, 10), (0, 2, 3, 4, 6, 9, 10))
-#: Items of fewer tokens are not searched.
-LEAST = 5
+#: The positions that each mask looks at. For items of 10 tokens and more, and for shorter ones.
+MASKS = ((0, 1, 2, 3, 4), (0, 1, 2, 4, 5), (0, 1, 4, 6, 7))
+SHORT_MASKS = ((0, 1, 2), (0, 1, 3))
+#: Items of fewer tokens are searched under ``SHORT_MASKS``; those of fewer than ``WHOLE`` by all positions.
+LONG, WHOLE = 10, 5
 
 
 def tokens(text: Column) -> Column:
@@ -41,43 +45,56 @@ def tokens(text: Column) -> Column:
     return F.transform(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(h: Column, span: int, positions: tuple[int, ...], tag: int) -> Column:
-    """The seed hash at every position where the span fits, null at the others."""
-    n = F.size(h)
-    at = lambda i: F.xxhash64(F.lit(tag), *[F.get(h, i + p if p else i) for p in positions])
-    return F.transform(h, lambda _, i: F.when(i + span <= n, at(i)))
-
-
-def items(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
+def items(benchmark: DataFrame, item: str = "item_id", text: str = "text", least: int = 5) -> DataFrame:
     """Distinct token arrays of the benchmark, with the ids that share them."""
-    t = benchmark.select(F.col(item).alias("_item"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("_ih")).where(F.size("_ih") >= LEAST)
+    t = benchmark.select(F.col(item).alias("_item"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("_ih")).where(F.size("_ih") >= max(1, least))
     return t.groupBy("_ih").agg(F.sort_array(F.collect_set("_item")).alias("_items")).withColumn("_id", F.xxhash64("_ih"))
 
 
+def _masks(sizes: list[int]) -> list[tuple[int, tuple[int, ...], int, int]]:
+    """(tag, positions, least and most tokens of the items that are searched under it) for the lengths that occur."""
+    plans = [(t, m, LONG, 1 << 30) for t, m in enumerate(MASKS)] if any(n >= LONG for n in sizes) else []
+    if any(WHOLE <= n < LONG for n in sizes):
+        plans += [(10 + t, m, WHOLE, LONG - 1) for t, m in enumerate(SHORT_MASKS)]
+    return plans + [(20 + n, tuple(range(n)), n, n) for n in sorted(sizes) if n < WHOLE]
+
+
+def _seeds(rows: DataFrame, h: str, plans: list, kept: list[str], by_length: bool = False) -> DataFrame:
+    """``kept``'s columns, _pos and _seed for every position and mask that fits; ``by_length``: only masks meant for that many tokens."""
+    n, k = F.size(h), len(plans)
+    spots = rows.select(*kept, *([h] if h not in kept else []), F.explode(F.when(n > 0, F.sequence(F.lit(0), n * k - 1))).alias("_at"))
+    spots = spots.withColumn("_pos", F.floor(F.col("_at") / k).cast("int")).withColumn("_mask", F.col("_at") % k)
+    seed = F.lit(None).cast("long")
+    for i, (tag, positions, least, most) in reversed(list(enumerate(plans))):
+        fits = F.col("_pos") + positions[-1] < n
+        if by_length:
+            fits = fits & n.between(least, most)
+        looked = F.xxhash64(F.lit(tag), *[F.get(h, F.col("_pos") + p if p else F.col("_pos")) for p in positions])
+        seed = F.when(F.col("_mask") == i, F.when(fits, looked)).otherwise(seed)
+    return spots.select(*kept, "_pos", seed.alias("_seed")).where("_seed is not null")
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
-    stretch: int = 20, agree: float = 0.8, broadcast_seeds: int = 2_000_000,
+    stretch: int = 20, agree: float = 0.8, least: int = 5, broadcast_seeds: int = 2_000_000,
 ) -> DataFrame:
     """One row per document that overlaps an item: key, items, n_items, best (share of the item's tokens that agree)."""
-    found = items(benchmark, item, item_text)
-    facts = found.agg(F.count("*"), F.sum(F.size("_ih")), F.collect_set(F.when(F.size("_ih") < SPAN, F.size("_ih")))).first()
-    short = sorted(facts[2] or [])
-    plans = [(SPAN, m, t) for t, m in enumerate(MASKS)] + [(m, tuple(range(m)), 100 + m) for m in short]
-    few = (facts[1] or 0) * len(plans) <= broadcast_seeds
-
-    spots = found.select("_id", F.size("_ih").alias("_len"), F.posexplode(F.concat(*[F.when((F.size("_ih") == s) | F.lit(s == SPAN), _seeds(F.col("_ih"), s, m, t)).otherwise(F.transform("_ih", lambda _: F.lit(None).cast("long"))) for s, m, t in plans])))
-    seeds = spots.where("col is not null").select("_id", "_len", (F.col("pos") % F.col("_len")).alias("_ip"), F.col("col").alias("_seed"))
+    found = items(benchmark, item, item_text, least)
+    facts = found.agg(F.sum(F.size("_ih")), F.collect_set(F.least(F.size("_ih"), F.lit(LONG)))).first()  # ten lengths at most
+    plans = _masks(facts[1] or []) or [(0, MASKS[0], LONG, 1 << 30)]
+    few = (facts[0] or 0) * len(plans) <= broadcast_seeds
 
+    seeds = _seeds(found.withColumn("_len", F.size("_ih")), "_ih", plans, ["_id", "_len"], by_length=True).withColumnRenamed("_pos", "_ip")
     d = docs.select(F.col(key).alias("_key"), tokens(F.coalesce(F.col(text), F.lit(""))).alias("_h")).withColumn("_row", F.monotonically_increasing_id())
-    d = d.withColumn("_all", F.concat(*[_seeds(F.col("_h"), s, m, t) for s, m, t in plans]))
-    d = d.select("_row", "_key", "_h", F.posexplode("_all").alias("_pos", "_seed")).where("_seed is not null")
-    start = F.col("_pos") % F.size("_h") - F.col("_ip")
-    hits = (
-        d.join(F.broadcast(seeds) if few else seeds, "_seed")
-        .withColumn("_start", start)
-        .select("_row", "_key", "_id", "_start", F.slice("_h", F.greatest(F.lit(0), F.col("_start")) + 1, F.col("_len") + F.least(F.lit(0), F.col("_start"))).alias("_part"))
-    )
-    hits = hits.groupBy("_row", "_id", "_start").agg(F.first("_key").alias("_key"), F.first("_part").alias("_part"))
+    start = (F.col("_pos") - F.col("_ip")).alias("_start")
+    part = F.slice("_h", F.greatest(F.lit(0), F.col("_start")) + 1, F.col("_len") + F.least(F.lit(0), F.col("_start"))).alias("_part")
+    if few:
+        hits = _seeds(d, "_h", plans, ["_row", "_key", "_h"]).join(F.broadcast(seeds), "_seed").select("_row", "_key", "_h", "_id", "_len", start).select("_row", "_key", "_id", "_start", part)
+        hits = hits.groupBy("_row", "_id", "_start").agg(F.first("_key").alias("_key"), F.first("_part").alias("_part"))
+    else:
+        d = cut(d)
+        near = _seeds(d, "_h", plans, ["_row"]).join(seeds, "_seed").select("_row", "_id", "_len", start).distinct()
+        hits = near.join(d, "_row").select("_row", "_key", "_id", "_start", part)
     same = F.transform("_ih", lambda x, k: F.when(F.get("_part", k + F.least(F.lit(0), F.col("_start"))) == x, 1).otherwise(0))
     width = F.least(F.lit(stretch), F.size("_ih"))
     runs = F.transform(F.sequence(F.lit(1), F.size("_same") - width + 1), lambda k: F.aggregate(F.slice("_same", k, width), F.lit(0), lambda a, x: a + x))
@@ -105,24 +122,15 @@ def op9(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return contaminated(docs, benchmark)
 
 
-def _oracle() -> str:
-    """The same as SQL for DuckDB: seeds as lists of tokens instead of hashes, and every step spelled out."""
-    split = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
-    masks = ", ".join(f"({t}, {list(m)})" for t, m in enumerate(MASKS))
-    seeds = lambda ids, table: f"select {ids}, t, i, list_transform(pos, lambda p: h[i + p]) k from (select *, unnest(range(1, len(h) - {SPAN - 2})) i from {table}, m where len(h) >= {SPAN})"
-    return f"""
-with m(t, pos) as (values {masks}),
-d as (select row_number() over () rid, doc_id, {split} h from documents),
-b as (select h, list_sort(list(distinct item_id)) as items, row_number() over () bid from (select item_id, {split} h from benchmark) where len(h) >= {LEAST} group by h),
-short as (select distinct len(h) n from b where len(h) < {SPAN}),
-ds as ({seeds("rid", "d")} union all select rid, 100 + n, i, h[i:i + n - 1] from (select *, unnest(range(1, len(h) - n + 2)) i from d, short where len(h) >= n)),
-bs as ({seeds("bid", "b")} union all select bid, 100 + len(h), 1, h from b where len(h) < {SPAN}),
-hit as (select distinct rid, bid, ds.i - bs.i as s from ds join bs using (t, k)),
-same as (select rid, doc_id, b.items, b.h bh, list_transform(range(1, len(b.h) + 1), lambda j: case when s + j between 1 and len(d.h) and d.h[greatest(s + j, 1)] = b.h[j] then 1 else 0 end) e
- from hit join d using (rid) join b using (bid)),
-ok as (select *, list_sum(e) / len(e) as share from same where list_max(list_transform(range(1, len(bh) - least(20, len(bh)) + 2), lambda j: list_sum(e[j:j + least(20, len(bh)) - 1]))) >= 0.8 * least(20, len(bh)))
-select doc_id, list_sort(list_distinct(flatten(list(items)))) as items, cast(len(list_distinct(flatten(list(items)))) as int) n_items, max(share) best from ok group by rid, doc_id
+#: Without seeds: every item at every place of every text, by counting equal tokens along each alignment.
+ORACLE = r"""
+with d as (select row_number() over () rid, doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') h from documents),
+b as (select h, len(h) n, least(20, len(h)) w, list_sort(list(distinct item_id)) as items, row_number() over () bid
+ from (select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') h from benchmark) where len(h) >= 5 group by h),
+dt as (select rid, unnest(h) t, unnest(range(len(h))) i from d),
+bt as (select bid, n, w, items, unnest(h) t, unnest(range(n)) j from b),
+line as (select rid, bid, i - j s, any_value(n) n, any_value(w) w, any_value(items) items, list(j) js from dt join bt using (t) group by rid, bid, i - j having count(*) >= 0.8 * any_value(w)),
+ok as (select *, len(js) / n as share from line
+ where list_max(list_transform(range(0, n - w + 1), lambda k: len(list_filter(js, lambda j: j >= k and j < k + w)))) >= 0.8 * w)
+select doc_id, list_sort(list_distinct(flatten(list(items)))) as items, cast(len(list_distinct(flatten(list(items)))) as int) n_items, max(share) best from ok join d using (rid) group by rid, doc_id
 """
-
-
-ORACLE = _oracle()

@@ -1,5 +1,6 @@
 """Operators over the whole corpus against brute force."""
 
+import itertools
 import random
 import re
 
@@ -232,8 +233,36 @@ def test_stages_decide_by_row_not_by_key(spark, frame):
     assert mixing.mixed_documents(same).count() == want < 80 * 3
 
 
-def test_seeds_tolerate_substitutions():
-    """Any one substitution in 12 tokens leaves a mask intact."""
-    for at in range(12):
-        starts = [s for s in range(2) for m in decontaminate.MASKS if at - s not in m]
-        assert starts
+def test_masks_lose_no_overlap():
+    """Whichever fifth of a stretch is substituted, some mask finds all its tokens intact in it."""
+    for n in range(decontaminate.WHOLE, 21):
+        masks = decontaminate.MASKS if n >= decontaminate.LONG else decontaminate.SHORT_MASKS
+        for changed in itertools.combinations(range(n), n - -(-4 * n // 5)):
+            assert any(not {s + p for p in m} & {*changed} for m in masks for s in range(n - m[-1])), (n, changed)
+
+
+def test_op9_finds_all_that_brute_force_finds(spark, frame):
+    """Substituted passages of items of every length, at the edges of texts and beside each other."""
+    words, bench, docs = VOCABULARY[:60], [], []
+    for n in [*range(1, 23), 30, 45]:
+        bench.append((n, " ".join(rng.choices(words, k=n))))
+        for share in (0, 0.1, 0.2, 0.3):
+            said = bench[-1][1].split()
+            for i in rng.sample(range(n), int(share * n)):
+                said[i] = "other"
+            lead = rng.choices(words, k=rng.choice([0, 0, 3]))
+            docs.append((len(docs), " ".join([*lead, *said[rng.choice([0, 0, n // 6]) :], *rng.choices(words, k=rng.choice([0, 4]))])))
+
+    def overlaps(h, b):
+        w = min(20, len(b))
+        for s in range(1 - len(b), len(h)):
+            same = [0 <= s + j < len(h) and h[s + j] == x for j, x in enumerate(b)]
+            if any(sum(same[k : k + w]) >= 0.8 * w for k in range(len(b) - w + 1)):
+                return True
+        return False
+
+    df, bf = frame(docs, "doc_id long, text string"), frame(bench, "item_id long, text string")
+    for options in ({}, {"broadcast_seeds": 0}, {"least": 1}):
+        want = {(i, tuple(k for k, b in bench if k >= options.get("least", 5) and overlaps(t.split(), b.split()))) for i, t in docs}
+        got = {(r.doc_id, tuple(r["items"])) for r in decontaminate.contaminated(df, bf, **options).collect()}
+        assert got == {x for x in want if x[1]}
