@@ -2,26 +2,30 @@
 
 1. Targets: sources weigh ``weights`` in turn and share all words; no target passes ``most``
    times its source's words, the excess is shared again by weight (solved in closed form).
-2. Each source is one endless permuted stream of its documents (ordered by a hash); the mix
-   takes its first ``target`` words, to within half a document. A document comes up again each
-   time the stream starts over, so no document exceeds ``most`` times its size. Then one copy
-   of one document per source, the one of the best-fitting size, comes in or goes out to bring
-   the words taken as near to the target as whole documents allow.
-3. The taken streams are cut into blocks of equally many words, about ``blocks`` in all. A tree
-   over the output shards splits the block quotas: at each node the blocks of the left half are
+2. Each source is an endless stream of its documents in permuted order (by a hash), and its quota
+   is as many blocks of that stream, all of one size in words, as make up its target exactly;
+   about ``blocks`` blocks in all. A document comes up again each time the stream starts over, so
+   none exceeds ``most`` times its size.
+3. A tree over the output shards splits the quotas: at each node the blocks of the left half are
    a uniform draw without replacement from the node's blocks, so the counts by source follow
    the multivariate hypergeometric law and every quota is met exactly.
-4. Each shard then draws its quota of each source's permuted blocks, disjoint from the others',
-   and its rows carry ``mix_order``, by which the writer shuffles inside the shard.
-
-What is large: one shuffle of narrow rows (key, source, size, hash) by (source, hash bucket),
-where a source with a third of all rows still spreads over ``buckets`` groups. The stream
-offsets are two-level sums: per bucket, then within the bucket. The tables of sources and of
-blocks have a row per source and per block (a parameter), whatever the input's size.
+4. Each shard then draws its quota of each source's permuted blocks, disjoint from the others'.
+   A copy of a document is taken if some shard drew the block in which its middle word lies; then
+   one copy of one document per source, the one of the best-fitting size, comes in or goes out to
+   bring the words taken as near to the target as whole documents allow.
+5. Every copy has a ``mix_order`` of its own. ``mixed_rows`` deals copies by shard, a shard in
+   ``pieces`` random pieces, and sorts each piece by it: the local shuffle.
+
+What is large: texts are read once, for their sizes; one shuffle of narrow rows by (source, hash
+bucket), where a source with a third of all rows still spreads over ``buckets`` groups. Stream
+offsets are two-level sums: per bucket, then within the bucket. What the best fit needs is summed
+by (source, copies, size). The tables of sources, buckets and blocks don't grow with the input;
+they are written once each, so no plan carries the tree along.
 
 Nulls and ties: a null text has 0 words; a null source is a source of its own, last in order;
-documents of 0 words are taken once for each full pass their stream starts. Repeated rows are
-documents of their own. An empty table gives an empty result. Same input, same mix.
+documents of a source without any words are taken once. Rows with equal hash are ordered by key,
+size and row number; repeated rows are documents of their own, long texts are never cut. An empty
+table gives an empty result. Same input, same mix.
 """
 
 from __future__ import annotations
@@ -56,7 +60,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int
 
 
 def split_tree(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
-    """``blocks(_src, block)`` with the shard that draws it. At most ``blocks`` rows, one partition."""
+    """``blocks(_src, block)`` with the shard that draws it. A row per block, a parameter's number in all, so one partition."""
     tree = blocks.coalesce(1).select("_src", "block", F.lit(0).alias("lo"), F.lit(shards).alias("hi"))
     for depth in range(max(1, (shards - 1).bit_length())):
         node = Window.partitionBy("lo", "hi")
@@ -78,66 +82,88 @@ def split_tree(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     return drawn.join(quota, ["_src", "nth"]).select("_src", "block", "shard")
 
 
+def quotas(sources: DataFrame, blocks: int) -> DataFrame:
+    """``targets``'s rows with ``quota``, how many blocks make up the target, and ``block_words``, the size of each."""
+    per = F.greatest(F.lit(1.0), F.sum("target").over(Window.partitionBy()) / blocks)
+    quota = F.when(F.col("target") > 0, F.greatest(F.lit(1), F.round(F.col("target") / per).cast("int"))).otherwise(0)
+    return sources.withColumn("quota", quota).withColumn("block_words", F.when(F.col("quota") > 0, F.col("target") / F.col("quota")).otherwise(1.0))
+
+
+def draw(sources: DataFrame, shards: int, seed: int) -> DataFrame:
+    """``quotas``'s rows with ``_shards``: for each block of the source's quota, the shard that draws it."""
+    cells = sources.where("quota > 0").select("_src", F.explode(F.sequence(F.lit(0), F.col("quota") - 1)).alias("block"))
+    drawn = split_tree(cells, shards, seed).groupBy("_src").agg(F.transform(F.sort_array(F.collect_list(F.struct("block", "shard"))), lambda x: x["shard"]).alias("_shards"))
+    return sources.join(drawn, "_src", "left").withColumn("_shards", F.coalesce("_shards", F.array().cast("array<int>")))
+
+
 def mix(
     docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", weights: tuple[int, ...] = (1, 2, 3),
     most: int = 3, shards: int = 16, blocks: int = 4096, buckets: int = 4096, seed: int = 42, uid: str | None = None,
 ) -> DataFrame:
-    """One row per document: key, size, source_size, target, copies, taken, shards (one per copy), mix_order.
+    """One row per document: key, size, source_size, target, copies, taken, draws (shard and mix_order of each copy).
 
     ``uid`` is a column that numbers the rows, returned beside the others; without it rows are numbered here.
     """
     number = F.col(uid) if uid else F.monotonically_increasing_id()
     sized = docs.select(number.alias("_uid"), F.col(key).alias("_key"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("_src"), words(F.col(text)).alias("size"), F.xxhash64(F.col(key), F.lit(seed)).alias("_at")).withColumn("_bucket", F.pmod("_at", F.lit(buckets)).cast("int"))
     sized = cut(sized)  # texts are read once; ids of rows stay as they are from here on
-    sums = sized.groupBy("_src", "_bucket").agg(F.sum("size").alias("words"))
+    cell = ["_src", "_bucket"]
+    sums = cut(sized.groupBy(*cell).agg(F.sum("size").alias("words")))
     sources = targets(sums.groupBy("_src").agg(F.sum("words").alias("source_size")), weights, most)
-    per = F.greatest(F.lit(1.0), F.sum("target").over(Window.partitionBy()) / blocks)
-    sources = sources.withColumn("block_words", per)
-    cells = sources.select("_src", F.explode(F.sequence(F.lit(0), F.floor(F.col("target") / F.col("block_words")).cast("int"))).alias("block"))
-    drawn = split_tree(cells, shards, seed).groupBy("_src").agg(F.transform(F.sort_array(F.collect_list(F.struct("block", "shard"))), lambda x: x["shard"]).alias("_shards"))
-    sources = cut(sources.join(drawn, "_src"))  # a row per source; the plan of the tree isn't carried on
+    sources = cut(draw(quotas(sources, blocks), shards, seed))
     # all that a document needs to know of its source comes with its cell, (source, bucket): the
     # documents are dealt by cell once, and a source with a third of them is never one group
-    cell = ["_src", "_bucket"]
-    prefix = sums.withColumn("_base", F.sum("words").over(Window.partitionBy("_src").orderBy("_bucket")) - F.col("words"))
     each = F.array(*[F.lit(e) for e in range(most)])
-    block = lambda e, at: F.least(F.floor((e * F.col("source_size") + at) / F.col("block_words")).cast("int"), F.size("_shards") - 1)
+    block = lambda e, at: F.floor((e * F.col("source_size") + at) / F.col("block_words")).cast("int")
+    first = lambda e: block(e, F.col("_base"))
     cells = (
-        prefix.join(sources, "_src")
-        .withColumn("_first", F.transform(each, lambda e: block(e, F.col("_base"))))
-        .withColumn("_drawn", F.transform(each, lambda e: F.slice("_shards", F.get("_first", e) + 1, block(e, F.col("_base") + F.col("words")) - F.get("_first", e) + 1)))
-        .select(*cell, "_base", "source_size", "target", "block_words", "_first", "_drawn", F.size("_shards").alias("_all"))
+        sums.withColumn("_base", F.sum("words").over(Window.partitionBy("_src").orderBy("_bucket")) - F.col("words"))
+        .join(sources, "_src")
+        .select(*cell, "_base", "source_size", "target", "block_words", F.transform(each, lambda e: F.slice("_shards", first(e) + 1, block(e, F.col("_base") + F.col("words")) - first(e) + 1)).alias("_drawn"))
     )
     inner = Window.partitionBy(*cell).orderBy("_at", "_key", "size", "_uid").rowsBetween(Window.unboundedPreceding, -1)
     placed = sized.withColumn("_in", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(cells, cell)
-    begin = F.col("_base") + F.col("_in")
-    passes = F.filter(each, lambda e: e * F.col("source_size") + begin + F.col("size") / 2 <= F.col("target"))
-    placed = placed.withColumn("_n", F.when(F.col("source_size") > 0, F.size(passes)).otherwise(1))
+    middle = F.col("_base") + F.col("_in") + F.col("size") / 2
+    copies = F.transform(each, lambda e: F.struct(e.alias("e"), F.get(F.get("_drawn", e), block(e, middle) - first(e)).alias("shard")))
+    spare = F.struct(F.lit(0).alias("e"), F.pmod("_at", F.lit(shards)).cast("int").alias("shard"))
+    copies = F.when(F.col("source_size") > 0, F.filter(copies, lambda c: c["shard"].isNotNull())).otherwise(F.array(spare))
+    placed = cut(placed.select("_uid", "_key", "_src", "_at", "size", "source_size", "target", copies.alias("_copies")))
     # what whole documents left over or under, and the document that fits it best
-    off = placed.groupBy(*cell).agg(F.first("target").alias("target"), F.sum(F.col("size") * F.col("_n")).alias("got")).groupBy("_src").agg((F.first("target") - F.sum("got")).alias("_off"))
-    placed = placed.join(cells.select(*cell).join(off, "_src"), cell)
-    fits = F.when(F.col("_off") > 0, F.col("_n") < most).otherwise(F.col("_n") > 0) & (F.col("size") < 2 * F.abs("_off"))
-    fit = F.struct(F.abs(F.col("size") - F.abs("_off")).alias("gap"), "_at", "_key", F.col("_uid").alias("uid"), F.signum("_off").cast("int").alias("by"), F.col("_bucket").alias("bucket"))
-    best = placed.where(fits).groupBy(*cell).agg(F.min(fit).alias("b")).groupBy("_src").agg(F.min("b").alias("b")).select("_src", F.col("b.bucket").alias("_bucket"), F.col("b.uid").alias("uid"), F.col("b.by").alias("by"))
-    placed = placed.join(best, cell, "left").withColumn("_n", F.col("_n") + F.when(F.col("uid") == F.col("_uid"), F.col("by")).otherwise(0))
-    copies = F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1)).otherwise(F.array().cast("array<int>"))
-    at = lambda e: F.least(F.floor((e * F.col("source_size") + begin) / F.col("block_words")).cast("int"), F.col("_all") - 1)
+    alike = placed.groupBy("_src", F.size("_copies").alias("n"), "size").agg(F.first("target").alias("target"), F.count("*").alias("rows"), F.min(F.struct("_at", "_key", "_uid")).alias("who"))
+    off = alike.groupBy("_src").agg((F.first("target") - F.sum(F.col("size") * F.col("n") * F.col("rows"))).alias("off"))
+    fits = F.when(F.col("off") > 0, F.col("n") < most).otherwise(F.col("n") > 0) & (F.col("size") > 0) & (F.col("size") < 2 * F.abs("off"))
+    best = alike.join(off, "_src").where(fits).groupBy("_src").agg(F.min(F.struct(F.abs(F.col("size") - F.abs("off")).alias("gap"), "who", F.signum("off").cast("int").alias("by"))).alias("b"))
+    best = cut(best.select(F.col("b.who._uid").alias("_uid"), F.col("b.by").alias("_by")))
+    more = F.concat("_copies", F.array(F.struct(F.size("_copies").alias("e"), spare["shard"].alias("shard"))))
+    less = F.slice("_copies", F.lit(1), F.greatest(F.lit(0), F.size("_copies") - 1))
+    placed = placed.join(best, "_uid", "left").withColumn("_copies", F.when(F.col("_by") > 0, more).when(F.col("_by") < 0, less).otherwise(F.col("_copies")))
     return placed.select(
         *([F.col("_uid").alias(uid)] if uid else []), F.col("_key").alias(key), "size", "source_size", "target",
-        F.col("_n").cast("int").alias("copies"),
-        (F.col("_n") * F.col("size")).cast("long").alias("taken"),
-        F.transform(copies, lambda e: F.get(F.get("_drawn", e), at(e) - F.get("_first", e))).alias("shards"),
-        F.xxhash64("_at", F.lit("order")).alias("mix_order"),
+        F.size("_copies").alias("copies"),
+        (F.size("_copies") * F.col("size")).cast("long").alias("taken"),
+        F.transform("_copies", lambda c: F.struct(c["shard"].alias("shard"), F.xxhash64("_at", "_uid", c["e"]).alias("mix_order"))).alias("draws"),
     )
 
 
 def op4(docs: DataFrame) -> DataFrame:
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "shards")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", F.col("draws.shard").alias("shards"))
 
 
-def mixed_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
-    """``docs`` as the mix takes them: each row as often as the mix takes that row, none for what it leaves out."""
+def mixed_rows(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", pieces: int = 16, **options) -> DataFrame:
+    """(row, shard, mix_order): each row as often as the mix takes it, dealt by shard and in mixed order within each of its pieces."""
     rows = numbered(docs)
     narrow = rows.select("id", *[F.col("row").getField(c).alias(f"_{n}") for n, c in (("key", key), ("source", source), ("text", text))])
-    copies = mix(narrow, key="_key", source="_source", text="_text", uid="id", **options).where("copies > 0").select("id", "copies")
-    return rows.join(copies, "id").select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    draws = mix(narrow, key="_key", source="_source", text="_text", uid="id", **options).where("copies > 0").select("id", "draws")
+    copies = rows.join(draws, "id").select("row", F.inline("draws"))
+    return copies.repartition("shard", F.pmod("mix_order", F.lit(pieces))).sortWithinPartitions("shard", "mix_order")
+
+
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix takes them, in mixed order: each row as often as shards drew it, none for what no shard drew."""
+    return mixed_rows(docs, **options).select("row.*")
+
+
+def write_mix(docs: DataFrame, path: str, **options) -> None:
+    """The mix as Parquet, a folder for each shard, its files in mixed order."""
+    rows = mixed_rows(docs, **options)
+    rows.select(F.col("shard").alias("_shard"), *[F.col(f"row.`{c}`") for c in docs.columns]).write.partitionBy("_shard").parquet(path)

@@ -112,12 +112,50 @@ def test_op4(spark, frame):
 
 
 def test_splitting_tree_meets_every_quota(spark, frame):
-    blocks = [(s, b) for s, n in (("a", 50), ("b", 7), ("c", 1)) for b in range(n)]
-    got = mixing.split_tree(frame(blocks, "_src string, block int"), 6, 1).collect()
-    assert sorted((r._src, r.block) for r in got) == sorted(blocks)
-    sizes = np.bincount([r.shard for r in got], minlength=6)
-    assert sizes.sum() == 58 and sizes.max() - sizes.min() <= 2
-    assert len({r.shard for r in got if r._src == "b"}) > 1
+    """Every block is drawn once, shards are even, and counts by source follow the hypergeometric law."""
+    n = {"a": 50, "b": 30, "c": 16}
+    blocks = frame([(s, b) for s, k in n.items() for b in range(k)], "_src string, block int").cache()
+    counts = []
+    for seed in range(12):
+        got = mixing.split_tree(blocks, 6, seed).collect()
+        assert sorted((r._src, r.block) for r in got) == [(s, b) for s, k in n.items() for b in range(k)]
+        assert np.bincount([r.shard for r in got]).tolist() == [16] * 6
+        counts += [[sum(r._src == s and r.shard == k for r in got) for s in "abc"] for k in range(6)]
+    x, share = np.array(counts), np.array([50, 30, 16]) / 96
+    assert np.allclose(x.mean(0), 16 * share, atol=0.01)
+    law = 16 * share * (1 - share) * (96 - 16) / 95
+    assert (x.var(0) > 0.5 * law).all() and (x.var(0) < 1.7 * law).all()
+
+
+def test_what_is_taken_is_what_shards_draw(spark, frame):
+    """By hand: a document's copies are those whose middle word lies in a block of the source's quota."""
+    docs = [(i, " ".join("w" * rng.randint(1, 30)), "ab"[i % 3 == 0]) for i in range(300)]
+    df = frame(docs, "doc_id long, text string, source string")
+    options = {"blocks": 40, "buckets": 8, "shards": 5}
+    got = {r.doc_id: r for r in mixing.mix(df, **options).collect()}
+    at = {r.doc_id: r.h for r in df.selectExpr("doc_id", "xxhash64(doc_id, 42) h").collect()}
+    for s in "ab":
+        ids = sorted((i for i, _, x in docs if x == s), key=lambda i: (at[i] % 8, at[i]))
+        size, target, begin, want = got[ids[0]].source_size, got[ids[0]].target, 0, {}
+        for i in ids:
+            want[i] = sum(e * size + begin + got[i].size / 2 < target for e in range(3))
+            begin += got[i].size
+        off = {i: got[i].copies - want[i] for i in ids if got[i].copies != want[i]}
+        assert len(off) <= 1 and begin == size
+        before, after = (abs(target - sum(n * got[i].size for i, n in c.items())) for c in (want, {i: got[i].copies for i in ids}))
+        assert after <= before and (not off or after < before)
+    rows = mixing.mixed_rows(df, **options).collect()
+    draws = sorted((i, d.shard, d.mix_order) for i, r in got.items() for d in r.draws)
+    assert [x[:2] for x in draws] == sorted((r.row.doc_id, r.shard) for r in rows) and {r.shard for r in rows} == set(range(5))
+    assert len({r.mix_order for r in rows}) == len(rows)
+
+
+def test_mix_is_written_by_shard(spark, frame, tmp_path):
+    df = frame([(i, prose(9), "ab"[i % 2]) for i in range(60)], "doc_id long, text string, source string")
+    mixing.write_mix(df, f"{tmp_path}/mix", shards=4)
+    out = spark.read.parquet(f"{tmp_path}/mix")
+    assert set(out.columns) == {*df.columns, "_shard"} and out.count() == mixing.mixed_documents(df, shards=4).count()
+    assert mixing.mixed_documents(df.limit(0)).count() == 0
 
 
 def brute_vectors(rows, cos=0.9):
