@@ -7,8 +7,8 @@ variants with one wildcard position, and every linked pair meets under an equal
 are verified on all 64 bits.
 
 Copies collapse first: the join sees each fingerprint once. A bucket of the join holds distinct
-fingerprints that agree in 31 bits; it gives back a spanning forest of its links, never all its
-pairs. A bucket of more than ``BUCKET`` fingerprints (a huge group of near copies) is not
+fingerprints that agree in 31 bits; of each of its groups it gives back every member with the
+smallest, never all pairs. A bucket of more than ``BUCKET`` fingerprints (a huge group of near copies) is not
 searched but keyed again by the same rule on the bits that are still free: first 16, then 8 of
 the other segment; after that at most 2 ** 11 fingerprints can share a key, so nothing is
 capped and no link is lost. Buckets are read as sorted streams: memory is one bucket's.
@@ -28,19 +28,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspan.llm.common import connected_components, cut, numbered
+from factspan.llm.common import connected_components, cut, numbered, parts
 
 BITS = 3
 #: Fingerprints that one bucket compares with each other before it is keyed again; no key of the third level can have more.
-BUCKET = 2048
+BUCKET = 8192
 _PIECE = 1 << 16
 
 
-def fingerprint(text: str | None, size: int = 3) -> int:
-    """The unsigned 64-bit fingerprint of one text."""
+def fingerprint(text: str | bytes | None, size: int = 3) -> int:
+    """The unsigned 64-bit fingerprint of one text (bytes: in UTF-8)."""
     import xxhash
 
-    words = (text or "").encode().lower().split()
+    words = (text.encode() if isinstance(text, str) else text or b"").lower().split()
     if not words:
         return 0
     line = b" ".join(words)
@@ -62,8 +62,9 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = np.array([fingerprint(t) for t in b.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], names=["_key", "fp"])
+            for part in parts(b):
+                texts = part.column(1).cast(pa.binary()).to_pylist()
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))], names=["_key", "fp"])
 
     return rows.mapInArrow(run, f"_key {kind}, fp long").withColumnRenamed("_key", key)
 
@@ -95,18 +96,22 @@ def _keyed(rows: DataFrame, level: int) -> DataFrame:
     )
 
 
-def forest(fp: np.ndarray, bits: int = BITS) -> list[tuple[int, int]]:
-    """Links that connect all of ``fp`` (unsigned) that are connected by links; at most len - 1."""
-    out, left = [], np.arange(len(fp))
-    while len(left):
-        front, left = left[:1], left[1:]
+def stars(fp: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Of each group of ``fp`` (unsigned, distinct) that links connect: every other member, and the smallest as signed."""
+    members, least, left = [], [], np.sort(fp.view(np.int64))
+    while len(left) > 1:
+        group, front, left = [left[:1]], left[:1], left[1:]
         while len(front) and len(left):
             at, front = front[0], front[1:]
-            near = np.bitwise_count(fp[left] ^ fp[at]) <= bits
+            near = np.bitwise_count((left ^ at).view(np.uint64)) <= bits
             if near.any():
-                out += [(at, int(x)) for x in left[near]]
-                front, left = np.concatenate([front, left[near]]), left[~near]
-    return out
+                group.append(left[near])
+                front, left = np.concatenate([front, group[-1]]), left[~near]
+        if len(group) > 1:
+            members += group[1:]
+            least.append(np.full(sum(map(len, group)) - 1, group[0][0]))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *members]), np.concatenate([none, *least])
 
 
 _LINKS = "kind int, a long, b long, seg int, half int"
@@ -130,14 +135,14 @@ def _search(batches: Iterator[pa.RecordBatch], most: float) -> Iterator[pa.Recor
         ok = np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)) <= BITS
         if ok.any():
             yield packed(0, x[ok], y[ok], 0, 0)
-        links = []
+        found = []
         for s, e in zip(begin[width > 2], end[width > 2], strict=True):
             if e - s > most:
                 yield packed(1, key[s:e], fp[s:e], seg[s], half[s])
             else:
-                links += [(fp[s + i], fp[s + j]) for i, j in forest(fp[s:e].view(np.uint64))]
-        if links:
-            yield packed(0, *np.array(links, np.int64).T, 0, 0)
+                found.append(stars(fp[s:e]))
+        if found:
+            yield packed(0, *(np.concatenate(x) for x in zip(*found, strict=True)), 0, 0)
 
     held, hot = None, None
     for b in batches:
@@ -185,8 +190,8 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     """One row per document: key, fp (signed long), component (smallest key reachable)."""
     fps = cut(fingerprints(docs, key, text))
     groups = fps.groupBy("fp").agg(F.min(key).alias("_least"))
-    parts = connected_components(links(groups.select("fp")))
-    named = groups.join(parts, groups.fp == parts.node, "left").select(groups.fp.alias("fp"), "_least", F.coalesce("component", groups.fp).alias("_part"))
+    named = connected_components(links(groups.select("fp")))
+    named = groups.join(named, groups.fp == named.node, "left").select(groups.fp.alias("fp"), "_least", F.coalesce("component", groups.fp).alias("_part"))
     least = named.groupBy("_part").agg(F.min("_least").alias("component"))
     return fps.join(named.join(least, "_part").select(F.col("fp").alias("_fp"), "component"), F.col("fp") == F.col("_fp")).select(key, "fp", "component")
 
