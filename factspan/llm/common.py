@@ -22,17 +22,18 @@ def packed(df: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, narrow: bool = False) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there.
 
     The folder is the one named in ``spark.checkpoint.dir``, which a cluster shares between
     executors; only a session without that setting (a local test) gets a temporary one.
+    ``narrow``: rows are short, so each core writes a few files instead of one for each shuffle partition.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    return (df.coalesce(4 * context.defaultParallelism) if narrow else df).checkpoint()
 
 
 def numbered(df: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     to the smallest node. Each round is checkpointed, so a lost executor costs one round, and
     only a yes or no per round comes to the driver.
     """
-    e = cut(edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).where("a <> b").distinct())
+    e = cut(edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).where("a <> b").distinct(), narrow=True)
     for _ in range(max_rounds):
         ends = e.select("a", F.lit(1).alias("down"), F.lit(0).alias("up")).union(e.select("b", F.lit(0), F.lit(1)))
         if ends.groupBy("a").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where("down + up > 1 and down > 0").isEmpty():
@@ -68,7 +69,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # small star: neighbours below the node, and the node, go to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("x"))
-        e = cut(small.select("x.a", "x.b").where("a <> b").distinct())
+        e = cut(small.select("x.a", "x.b").where("a <> b").distinct(), narrow=True)
     else:
         raise RuntimeError("components did not settle")
     # a star forest now: every edge leads to the root

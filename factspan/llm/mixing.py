@@ -106,11 +106,11 @@ def mix(
     """
     number = F.col(uid) if uid else F.monotonically_increasing_id()
     sized = docs.select(number.alias("_uid"), F.col(key).alias("_key"), F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit("~")).alias("_src"), words(F.col(text)).alias("size"), F.xxhash64(F.col(key), F.lit(seed)).alias("_at")).withColumn("_bucket", F.pmod("_at", F.lit(buckets)).cast("int"))
-    sized = cut(sized)  # texts are read once; ids of rows stay as they are from here on
+    sized = cut(sized, narrow=True)  # texts are read once; ids of rows stay as they are from here on
     cell = ["_src", "_bucket"]
-    sums = cut(sized.groupBy(*cell).agg(F.sum("size").alias("words")))
+    sums = cut(sized.groupBy(*cell).agg(F.sum("size").alias("words")), narrow=True)
     sources = targets(sums.groupBy("_src").agg(F.sum("words").alias("source_size")), weights, most)
-    sources = cut(draw(quotas(sources, blocks), shards, seed))
+    sources = cut(draw(quotas(sources, blocks), shards, seed), narrow=True)
     # all that a document needs to know of its source comes with its cell, (source, bucket): the
     # documents are dealt by cell once, and a source with a third of them is never one group
     each = F.array(*[F.lit(e) for e in range(most)])
@@ -127,13 +127,13 @@ def mix(
     copies = F.transform(each, lambda e: F.struct(e.alias("e"), F.get(F.get("_drawn", e), block(e, middle) - first(e)).alias("shard")))
     spare = F.struct(F.lit(0).alias("e"), F.pmod("_at", F.lit(shards)).cast("int").alias("shard"))
     copies = F.when(F.col("source_size") > 0, F.filter(copies, lambda c: c["shard"].isNotNull())).otherwise(F.array(spare))
-    placed = cut(placed.select("_uid", "_key", "_src", "_at", "size", "source_size", "target", copies.alias("_copies")))
+    placed = cut(placed.select("_uid", "_key", "_src", "_at", "size", "source_size", "target", copies.alias("_copies")), narrow=True)
     # what whole documents left over or under, and the document that fits it best
     alike = placed.groupBy("_src", F.size("_copies").alias("n"), "size").agg(F.first("target").alias("target"), F.count("*").alias("rows"), F.min(F.struct("_at", "_key", "_uid")).alias("who"))
     off = alike.groupBy("_src").agg((F.first("target") - F.sum(F.col("size") * F.col("n") * F.col("rows"))).alias("off"))
     fits = F.when(F.col("off") > 0, F.col("n") < most).otherwise(F.col("n") > 0) & (F.col("size") > 0) & (F.col("size") < 2 * F.abs("off"))
     best = alike.join(off, "_src").where(fits).groupBy("_src").agg(F.min(F.struct(F.abs(F.col("size") - F.abs("off")).alias("gap"), "who", F.signum("off").cast("int").alias("by"))).alias("b"))
-    best = cut(best.select(F.col("b.who._uid").alias("_uid"), F.col("b.by").alias("_by")))
+    best = cut(best.select(F.col("b.who._uid").alias("_uid"), F.col("b.by").alias("_by")), narrow=True)
     more = F.concat("_copies", F.array(F.struct(F.size("_copies").alias("e"), spare["shard"].alias("shard"))))
     less = F.slice("_copies", F.lit(1), F.greatest(F.lit(0), F.size("_copies") - 1))
     placed = placed.join(best, "_uid", "left").withColumn("_copies", F.when(F.col("_by") > 0, more).when(F.col("_by") < 0, less).otherwise(F.col("_copies")))

@@ -177,7 +177,7 @@ def links(distinct_fps: DataFrame) -> DataFrame:
         if level > 1:
             keyed = keyed.dropDuplicates(["key", "fp"])
         most = BUCKET if level < 3 else float("inf")
-        found = cut(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _search(b, most), _LINKS))  # noqa: B023
+        found = cut(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _search(b, most), _LINKS), narrow=True)  # noqa: B023
         part = found.where("kind = 0").select(F.col("a").alias("src"), F.col("b").alias("dst"))
         out = part if out is None else out.union(part)
         rows = found.where("kind = 1").select(F.col("b").alias("fp"), F.col("a").alias("key"), "seg", "half")
@@ -188,7 +188,7 @@ def links(distinct_fps: DataFrame) -> DataFrame:
 
 def components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, fp (signed long), component (smallest key reachable)."""
-    fps = cut(fingerprints(docs, key, text))
+    fps = cut(fingerprints(docs, key, text), narrow=True)
     groups = fps.groupBy("fp").agg(F.min(key).alias("_least"))
     named = connected_components(links(groups.select("fp")))
     named = groups.join(named, groups.fp == named.node, "left").select(groups.fp.alias("fp"), "_least", F.coalesce("component", groups.fp).alias("_part"))
