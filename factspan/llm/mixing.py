@@ -13,8 +13,8 @@
    A copy of a document is taken if some shard drew the block in which its middle word lies; then
    one copy of one document per source, the one of the best-fitting size, comes in or goes out to
    bring the words taken as near to the target as whole documents allow.
-5. Every copy has a ``mix_order`` of its own. ``mixed_rows`` deals copies by shard, a shard in
-   ``pieces`` random pieces, and sorts each piece by it: the local shuffle.
+5. Every copy has a ``mix_order`` of its own, by which each partition is sorted: the local
+   shuffle. ``write_mix`` deals the copies by shard before, a shard in ``pieces`` random pieces.
 
 What is large: texts are read once, for their sizes; one shuffle of narrow rows by (source, hash
 bucket), where a source with a third of all rows still spreads over ``buckets`` groups. Stream
@@ -149,21 +149,20 @@ def op4(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", F.col("draws.shard").alias("shards"))
 
 
-def mixed_rows(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", pieces: int = 16, **options) -> DataFrame:
-    """(row, shard, mix_order): each row as often as the mix takes it, dealt by shard and in mixed order within each of its pieces."""
+def mixed_rows(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
+    """(row, shard, mix_order): each row as often as the mix takes it."""
     rows = numbered(docs)
     narrow = rows.select("id", *[F.col("row").getField(c).alias(f"_{n}") for n, c in (("key", key), ("source", source), ("text", text))])
     draws = mix(narrow, key="_key", source="_source", text="_text", uid="id", **options).where("copies > 0").select("id", "draws")
-    copies = rows.join(draws, "id").select("row", F.inline("draws"))
-    return copies.repartition("shard", F.pmod("mix_order", F.lit(pieces))).sortWithinPartitions("shard", "mix_order")
+    return rows.join(draws, "id").select("row", F.inline("draws"))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix takes them, in mixed order: each row as often as shards drew it, none for what no shard drew."""
-    return mixed_rows(docs, **options).select("row.*")
+    """``docs`` as the mix takes them: each row as often as shards drew it, none for what no shard drew; in mixed order within a partition."""
+    return mixed_rows(docs, **options).sortWithinPartitions("mix_order").select("row.*")
 
 
-def write_mix(docs: DataFrame, path: str, **options) -> None:
-    """The mix as Parquet, a folder for each shard, its files in mixed order."""
-    rows = mixed_rows(docs, **options)
+def write_mix(docs: DataFrame, path: str, pieces: int = 16, **options) -> None:
+    """The mix as Parquet, a folder for each shard; each of a shard's ``pieces`` random pieces is written in mixed order."""
+    rows = mixed_rows(docs, **options).repartition("shard", F.pmod("mix_order", F.lit(pieces))).sortWithinPartitions("shard", "mix_order")
     rows.select(F.col("shard").alias("_shard"), *[F.col(f"row.`{c}`") for c in docs.columns]).write.partitionBy("_shard").parquet(path)

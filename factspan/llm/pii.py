@@ -2,26 +2,26 @@ r"""PII: patterns find the protected entities, information theory finds what giv
 
 Base spans are e-mail addresses, IPv4 addresses, card numbers (16 to 19 digits, Luhn) and phone
 numbers, found by pattern in every whole text. The corpus then says which ordinary terms reveal
-them: with N units, n(e) of them holding entity e, n(t) holding term t, and n(t, e) with t
+them: with N documents, n(e) of them holding entity e, n(t) holding term t, and n(t, e) with t
 near e, the pointwise mutual information log2(N n(t, e) / (n(t) n(e))) is the part of e's
-information log2(N / n(e)) that t discloses. All four count the same unit: a group of identical or
-near-identical whole texts (SimHash fingerprints linked as in ``simhash``), most often a single
-document, so copies are no evidence and don't dilute any. A term is removed where it discloses
-``remove_at`` of some entity or more, and generalised where it discloses ``generalise_at`` or more,
-wherever it stands in any text. Pairs seen in fewer than ``support`` units are not evidence of either.
-
-How it runs: one pass over the texts finds entities, the terms near them and fingerprints; what it
-gives (a few short rows for each entity) is checkpointed, and candidate pairs come from
-aggregations and joins of those rows; pairs that can't reach a threshold are out early, by lower
-bounds of n(t). A second pass finds the candidate terms in all texts; what it
-finds is checkpointed, and gives both n(t) and the spans. Candidates go to the tasks while
-their counted number is within ``broadcast_terms``; beyond it all words meet them in a shuffle.
-No text is shuffled, no group is collected but one document's own spans.
+information log2(N / n(e)) that t discloses. All four count documents. A term is removed where it
+discloses ``remove_at`` of some entity or more, and generalised where it discloses ``generalise_at``
+or more, wherever it stands in any text. A pair is evidence only if it is seen in ``support``
+different texts at least: groups of identical or near-identical whole texts (SimHash fingerprints
+linked as in ``simhash``) count as one text there, so a passage that is only copied proves nothing.
+
+How it runs: three passes over the texts, none of which shuffles them. The first finds entities,
+and for documents that hold one the terms near it and the fingerprint; pairs are sums of those
+short rows, and pairs that can't reach a threshold are out at once, since n(t) is at least the
+number of documents with t near any entity. The second counts the documents with each remaining
+term, in every task before it is shuffled. The third gives the spans of every document. Terms go
+to the tasks while their counted number is within ``broadcast_terms``; beyond it all terms are
+counted, and what stands where meets the disclosing terms in a shuffle.
 
 Nulls: a null text is the empty text; null ids pass through; repeated rows are documents each.
 Terms are runs of letters and digits, of any length, lower-cased and outside of base spans; those
 within ``NEAR`` code points of an entity are near it. Spans count code points, ends are exclusive. Patterns are
-applied in forms that take linear time on any text. An empty table gives an empty result.
+applied in forms that take linear time on any text, however long. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,17 +29,16 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_right
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from factspan.llm.common import connected_components, cut
+from factspan.llm.common import connected_components, cut, parts
 from factspan.llm.simhash import fingerprint, links
 
 KINDS = ("email", "ip", "card", "phone")
@@ -95,8 +94,8 @@ def _outside(found: list[tuple[int, int]], spans: list[tuple[str, int, int]]) ->
     return [(s, e) for s, e in found if not (k := bisect_right(begins, e - 1)) or reach[k - 1] <= s]
 
 
-def context(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[int, str]]:
-    """(entity, term) for the terms near each span."""
+def context(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[int, str | None]]:
+    """(entity, term) for the terms near each span, and (entity, None) for each entity."""
     out = set()
     for kind, start, end in spans:
         who, near = entity(kind, text[start:end]), []
@@ -105,6 +104,7 @@ def context(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[int, str]
                 s, e = m.span()
                 if (s > lo or s == 0 or not text[s - 1].isalnum()) and (e < hi or e == len(text) or not text[e].isalnum()):
                     near.append((s, e))
+        out.add((who, None))
         out.update((who, text[s:e].lower()) for s, e in _outside(near, spans))
     return out
 
@@ -125,85 +125,123 @@ def _joined(spans) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def _same(text: str) -> Column:
-    """What stands for a whole text in joins, so that copies are one; null is the empty text."""
-    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+_SPOTS = pa.list_(pa.struct([("s", pa.int32()), ("f", pa.int32()), ("action", pa.string())]))
 
 
-def detect(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(same, key, n_<kind>..., base, base_sha256, fp, near): base spans of every text, its fingerprint and the terms near the spans."""
-    rows = docs.select(_same(text).alias("same"), F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    kind = rows.schema["_key"].dataType.simpleString()
-    entry = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.string())]))
+def evidence(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(fp, e, t): for documents that hold entities, the fingerprint with each entity (t is null) and each term near it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(2).to_pylist()
-            found = [(t, base_spans(t)) for t in texts]
-            names = [_joined(s) for _, s in found]
-            near = [[{"e": e, "t": w} for e, w in context(t, s)] if s else [] for t, s in found]
-            counts = [pa.array([sum(x[0] == k for x in s) for _, s in found], pa.int64()) for k in KINDS]
-            fps = pa.array(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *counts, pa.array(names, pa.string()), pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names], pa.string()), fps, pa.array(near, entry)],
-                names=["same", "_key", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "fp", "near"],
-            )
+        for part in (p for b in batches for p in parts(b)):
+            rows = []
+            for said in part.column(0).to_pylist():
+                if spans := base_spans(said or ""):
+                    fp = fingerprint(said)
+                    rows += [(fp - (1 << 64) if fp >> 63 else fp, e, t) for e, t in context(said, spans)]
+            fps, es, ts = zip(*rows, strict=True) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(es, pa.int64()), pa.array(ts, pa.string())], names=["fp", "e", "t"])
 
-    counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return rows.mapInArrow(run, f"same string, _key {kind}, {counts}, base string, base_sha256 string, fp long, near array<struct<e:bigint,t:string>>").withColumnRenamed("_key", key)
+    return docs.select(text).mapInArrow(run, "fp long, e long, t string")
 
 
-def places(texts: DataFrame, candidates: DataFrame, broadcast_terms: int = 100_000) -> DataFrame:
-    """(same, t, at): where the candidate terms ``candidates(t)`` stand in each distinct text of ``texts(same, _text)``."""
-    few = candidates.count() <= broadcast_terms
-    wanted = frozenset(r.t for r in candidates.collect()) if few else None
+def counted(docs: DataFrame, text: str, wanted: frozenset[str] | None, most: int = 200_000) -> DataFrame:
+    """(t, n): how many documents hold each of the ``wanted`` terms (None: each term) outside of base spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, ts, at = [], [], []
-            for same, said in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for t, spots in terms(said or "", wanted).items():
-                    ids.append(same)
-                    ts.append(t)
-                    at.append([{"s": s, "f": f} for s, f in spots])
-            kind = pa.list_(pa.struct([("s", pa.int32()), ("f", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(ts, pa.string()), pa.array(at, kind)], names=["same", "t", "at"])
-
-    found = texts.mapInArrow(run, "same string, t string, at array<struct<s:int,f:int>>")
-    return (found if few else found.join(candidates, "t").select("same", "t", "at")).dropDuplicates(["same", "t"])
-
-
-def find(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", generalise_at: float = 0.6, remove_at: float = 0.9, support: int = 3, broadcast_terms: int = 100_000, probe: int = 20_000,
-) -> DataFrame:
-    """One row per document: ``detect``'s columns and ``terms``, the spans that disclose an entity."""
-    found = cut(detect(docs, key, text))
-    # units: fingerprints that hang together
-    fps = found.select("fp").distinct()
-    parts = connected_components(links(fps))
-    units = cut(fps.join(parts, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("unit")))
-    n = float(units.select("unit").distinct().count())
-    near = found.where(F.size("near") > 0).select("fp", F.inline("near")).distinct().join(units, "fp").select("unit", "e", "t").distinct()
-    pairs = near.groupBy("e", "t").agg(F.count("*").alias("both")).where(F.col("both") >= support)
-    holders = near.select("unit", "e").distinct().groupBy("e").agg(F.count("*").alias("n_e"))
+        seen = Counter()
+        given = lambda: pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], names=["t", "n"])
+        for part in (p for b in batches for p in parts(b)):
+            for said in part.column(0).to_pylist():
+                seen.update(terms(said or "", wanted).keys())
+            if len(seen) > most:
+                yield given()
+                seen.clear()
+        yield given()
+
+    return docs.select(text).mapInArrow(run, "t string, n long").groupBy("t").agg(F.sum("n").alias("n_t"))
+
+
+def disclosing(docs: DataFrame, text: str = "text", generalise_at: float = 0.6, remove_at: float = 0.9, support: int = 3, broadcast_terms: int = 100_000) -> DataFrame:
+    """(t, action): the terms that disclose some entity, and whether they are removed or generalised."""
+    n = float(docs.count())
+    near = cut(evidence(docs, text).groupBy("fp", "e", "t").agg(F.count("*").alias("n")), narrow=True)
+    units = connected_components(links(near.select("fp").distinct()))
+    pairs = near.where("t is not null").join(units, F.col("fp") == F.col("node"), "left").select(F.coalesce("component", "fp").alias("unit"), "e", "t", "n")
+    pairs = pairs.groupBy("unit", "e", "t").agg(F.sum("n").alias("n")).groupBy("e", "t").agg(F.sum("n").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+    holders = near.where("t is null").groupBy("e").agg(F.sum("n").alias("n_e"))
+    # a document with t near several entities counts for the one that it is most often near: a lower bound of n(t)
+    beside = near.where("t is not null").groupBy("e", "t").agg(F.sum("n").alias("n")).groupBy("t").agg(F.max("n").alias("n_beside"))
     disclosed = lambda n_t: F.log2(F.lit(n) * F.col("both") / (n_t * F.col("n_e"))) / F.nullif(F.log2(F.lit(n) / F.col("n_e")), F.lit(0.0))
-    # n(t) is at least the number of units with t near some entity: a pair that stays below
-    # the threshold even so can't exceed it, and common words are out before texts are read again
-    beside = near.select("unit", "t").distinct().groupBy("t").agg(F.count("*").alias("n_beside"))
-    pairs = cut(pairs.join(holders, "e").join(beside, "t").where(disclosed(F.col("n_beside")) >= generalise_at).select("e", "t", "both", "n_e"))
-    # so is the number among any of the units: one text each of about ``probe`` units rules out more
-    texts = docs.select(_same(text).alias("same"), F.col(text).alias("_text"))
-    in_unit = found.select("same", "fp").distinct().join(units, "fp").select("same", "unit")
-    some = in_unit.groupBy("unit").agg(F.min("same").alias("same")).select("same").where(F.pmod(F.xxhash64("same"), F.lit(1 << 20)) < int(min(1.0, probe / max(1.0, n)) * (1 << 20)))
-    among = places(texts.join(F.broadcast(some), "same", "left_semi"), pairs.select("t").distinct(), broadcast_terms).groupBy("t").agg(F.count("*").alias("n_some"))
-    pairs = cut(pairs.join(among, "t", "left").where(F.col("n_some").isNull() | (disclosed(F.col("n_some")) >= generalise_at)).drop("n_some"))
-    spots = cut(places(texts, pairs.select("t").distinct(), broadcast_terms))
-    df = spots.select("same", "t").join(in_unit, "same").select("unit", "t").distinct().groupBy("t").agg(F.count("*").alias("n_t"))
+    pairs = cut(pairs.join(holders, "e").join(beside, "t").where(disclosed(F.col("n_beside")) >= generalise_at).select("e", "t", "both", "n_e"), narrow=True)
+    wanted = pairs.select("t").distinct()
+    few = wanted.count() <= broadcast_terms
+    df = counted(docs, text, frozenset(r.t for r in wanted.collect()) if few else None)
     told = pairs.join(df, "t").groupBy("t").agg(F.max(disclosed(F.col("n_t"))).alias("discloses")).where(F.col("discloses") >= generalise_at)
-    action = F.when(F.col("discloses") >= remove_at, "remove").otherwise("generalise")
-    marked = spots.join(told.select("t", action.alias("action")), "t").select("same", "action", F.inline("at"))
-    marked = marked.groupBy("same").agg(F.sort_array(F.collect_list(F.struct("s", "f", "action"))).alias("terms"))
-    return found.drop("near", "fp").join(marked, "same", "left")
+    return cut(told.select("t", F.when(F.col("discloses") >= remove_at, "remove").otherwise("generalise").alias("action")), narrow=True)
+
+
+def _same(text: str) -> Column:
+    """What stands for a whole text in joins, so that copies are one; null is the empty text."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
+def places(docs: DataFrame, told: DataFrame, text: str = "text") -> DataFrame:
+    """(same, terms): where the terms ``told(t, action)`` stand in each distinct text, by a shuffle of all terms."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for b in batches for p in parts(b)):
+            rows = [(same, t, s, f) for same, said in zip(*(c.to_pylist() for c in part.columns), strict=True) for t, spots in terms(said or "", None).items() for s, f in spots]
+            cols = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols, (pa.binary(), pa.string(), pa.int32(), pa.int32()), strict=True)], names=["same", "t", "s", "f"])
+
+    found = docs.select(_same(text).alias("same"), text).mapInArrow(run, "same binary, t string, s int, f int").join(told, "t").distinct()
+    return found.groupBy("same").agg(F.sort_array(F.collect_list(F.struct("s", "f", "action"))).alias("terms"))
+
+
+def _cleaned(said: str, base: list[tuple[str, int, int]], found: list[dict]) -> str:
+    marks = [(s, e, f"[{k}]") for k, s, e in base] + [(x["s"], x["f"], "" if x["action"] == "remove" else "[term]") for x in found]
+    out, at = [], 0
+    for s, e, mark in sorted(marks):
+        if s >= at:
+            out += [said[at:s], mark]
+        at = max(at, e)
+    return "".join([*out, said[at:]])
+
+
+def find(docs: DataFrame, key: str = "doc_id", text: str = "text", broadcast_terms: int = 100_000, cleaned: bool = False, **thresholds) -> DataFrame:
+    """One row per document: key, n_<kind>..., base, base_sha256, terms (spans that disclose an entity) and, if ``cleaned``, text.
+
+    The cleaned text has base spans replaced by their kind, terms generalised to ``[term]`` or removed.
+    """
+    told = disclosing(docs, text, broadcast_terms=broadcast_terms, **thresholds)
+    few = told.count() <= broadcast_terms
+    actions = {r.t: r.action for r in told.collect()} if few else {}
+    wanted = frozenset(actions)
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    if few:
+        rows = rows.select("_key", "_text", F.lit(None).cast("array<struct<s:int,f:int,action:string>>").alias("_terms"))
+    else:
+        rows = rows.withColumn("_same", _same("_text")).join(places(docs, told, text), F.col("_same") == F.col("same"), "left").select("_key", "_text", F.col("terms").alias("_terms"))
+    kind = rows.schema["_key"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for b in batches for p in parts(b)):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            base = [base_spans(t) for t in texts]
+            names = [_joined(s) for s in base]
+            if few:
+                found = [sorted(({"s": s, "f": f, "action": actions[t]} for t, spots in terms(said, wanted).items() for s, f in spots), key=lambda x: x["s"]) if wanted else [] for said in texts]
+            else:
+                found = [x or [] for x in part.column(2).to_pylist()]
+            counts = [pa.array([sum(x[0] == k for x in s) for s in base], pa.int64()) for k in KINDS]
+            out = [part.column(0), *counts, pa.array(names, pa.string()), pa.array([hashlib.sha256(n.encode()).hexdigest() for n in names], pa.string()), pa.array(found, _SPOTS)]
+            if cleaned:
+                out.append(pa.array(map(_cleaned, texts, base, found), pa.string()))
+            yield pa.RecordBatch.from_arrays(out, names=["_key", *(f"n_{k}" for k in KINDS), "base", "base_sha256", "terms", *["text"] * cleaned])
+
+    counts = ", ".join(f"n_{k} long" for k in KINDS)
+    shape = f"_key {kind}, {counts}, base string, base_sha256 string, terms array<struct<s:int,f:int,action:string>>" + ", text string" * cleaned
+    return rows.mapInArrow(run, shape).withColumnRenamed("_key", key)
 
 
 def all_spans(base: Column, terms: Column) -> Column:
@@ -213,32 +251,8 @@ def all_spans(base: Column, terms: Column) -> Column:
 
 
 def sanitised(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """(key, text) with base spans replaced by their kind, terms generalised or removed.
-
-    Joins spans to texts by key, so keys are taken to be unique here.
-    """
-    spans = find(docs, key, text, **options)
-    spans = spans.select(F.col(key).alias("_k"), "base", "terms").where("base <> '' or terms is not null")
-    joined = docs.select(F.col(key), F.col(text).alias("_text")).join(spans, F.col(key) == F.col("_k"), "left").select(key, "_text", "base", "terms")
-
-    def clean(t, base, terms):
-        marks = [(int(s), int(e), f"[{k}]") for k, s, e in (x.split(":") for x in (base or "").split(",") if x)]
-        marks += [(x["s"], x["f"], "" if x["action"] == "remove" else "[term]") for x in terms or []]
-        out, at = [], 0
-        for s, e, mark in sorted(marks):
-            if s >= at:
-                out += [t[at:s], mark]
-            at = max(at, e)
-        return "".join([*out, t[at:]])
-
-    kind = joined.schema[key].dataType.simpleString()
-
-    def run(batches):
-        for b in batches:
-            texts = [clean(t or "", x, y) for t, x, y in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["k", "text"])
-
-    return joined.mapInArrow(run, f"k {kind}, text string").toDF(key, text)
+    """(key, text) of every row, cleaned."""
+    return find(docs, key, text, cleaned=True, **options).select(key, F.col("text").alias(text))
 
 
 def op2(docs: DataFrame) -> DataFrame:
