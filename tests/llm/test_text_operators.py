@@ -1,6 +1,7 @@
 """Operators on single texts: chat formatting, PII, HTML text."""
 
 import hashlib
+import math
 import random
 import re
 
@@ -136,6 +137,42 @@ def test_all_content_is_kept_beside_one_long_section():
         assert said.count("long,") == 24 * 8 and said.count("short,") == 8
 
 
+LONG = "<p>" + "Words follow words, as they do here, and sentences end. " * 6 + "</p>"
+
+
+@pytest.mark.parametrize("page, kept, gone", [
+    (f"<article>{LONG * 3}<section id='related-work'><p>{'Others did the same, years ago, and better. ' * 8}</p></section></article>", ["Others did"], []),
+    (f"<article>{LONG}<div class='notice'>{LONG}</div>{LONG}<p>End.</p></article>", ["End."], []),
+    (f"<body class='no-sidebar'><div class='notice'>{LONG}<p>Small, but there.</p></div></body>", ["Words follow", "Small, but"], []),
+    (f"<body><div>{LONG * 4}</div><div><p>Copyright 2020</p></div><div class='top-ad'><p>Buy, buy. Now!</p></div></body>", ["Words follow"], ["Buy"]),
+    (f"<body><div>{LONG * 40}</div><div class=comments>{'<p>I, too, agree with it. All of it, truly, and more.</p>' * 3}</div></body>", ["Words follow"], ["I, too"]),
+])
+def test_ratios_decide(page, kept, gone):
+    said = extract.main_text(page)
+    assert all(x in said for x in kept) and not any(x in said for x in gone)
+
+
+def test_path_weights_by_hand(monkeypatch):
+    """The fused weight of each path from its definition, and what becomes of a page without it."""
+    page = f"<body><ul><li><a href=/>One</a><li><a href=/>Two</a></ul><div>{LONG}<p>Short, too.</p></div><footer>Me, myself.</footer></body>"
+    found = [(b, " ".join("".join(b.parts).split())) for b in extract.blocks(page)]
+    own = []
+    for b, _ in found:
+        same = [(x, said) for x, said in found if x.path == b.path]
+        linked = sum(x.linked for x, _ in same)
+        plain, stops = sum(len(said) for _, said in same) - linked, sum(said.count(",") + said.count(".") for _, said in same)
+        own.append(0 if linked > plain else plain / len(same) * (1 + stops / len(same)) * plain / (plain + linked))
+    near = [sum(own[j] * math.exp(-((i - j) ** 2) / 2) for j in range(len(own)) if abs(i - j) <= 2) / sum(math.exp(-((i - j) ** 2) / 2) for j in range(len(own)) if abs(i - j) <= 2) for i in range(len(own))]
+    got = extract.path_weights(found)
+    for i, (b, _) in enumerate(found):
+        around = [near[j] for j, (x, _) in enumerate(found) if x.path == b.path]
+        assert got[b.path] == pytest.approx(b.path[1] * math.sqrt(own[i] * max(own[i], sum(around) / len(around))))
+    text = extract.main_text(page)
+    assert "One" not in text and "Me," not in text and text.endswith("Short, too.")
+    monkeypatch.setattr(extract, "path_weights", lambda found: dict.fromkeys((b.path for b, _ in found), 1.0))
+    assert extract.main_text(page) != text
+
+
 def test_long_and_deep_pages():
     assert extract.main_text("<div>" * 3000 + "word, word." + "</div>" * 3000) == "word, word."
     assert len(extract.main_text("<article>" + "<p>" + "word, " * 10 + "</p>" * 1 + "<p>x.</p>" * 5000 + "</article>").split("\n")) == 5001
