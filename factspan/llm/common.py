@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -26,13 +27,16 @@ def cut(df: DataFrame, narrow: bool = False) -> DataFrame:
     """Write ``df`` to the checkpoint folder and go on from there.
 
     The folder is the one named in ``spark.checkpoint.dir``, which a cluster shares between
-    executors; only a session without that setting (a local test) gets a temporary one.
+    executors. A local session without that setting, as in tests, gets a temporary one; a cluster's is refused.
     ``narrow``: rows are short, so each core writes a few files instead of one for each shuffle partition.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-"))
     return (df.coalesce(4 * context.defaultParallelism) if narrow else df).checkpoint()
 
 

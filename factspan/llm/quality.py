@@ -13,7 +13,8 @@ picks them, Spark reads their texts and computes the features, and the driver re
 
 Nulls: a null text is the empty text; rows without a label, or whose label is null, are not
 learned from; if several labels name one document the largest counts. Without labels, or with
-one class only, every score is the smoothed share of label 1. Repeated rows are scored each.
+one class only, every score is the smoothed share of label 1. Repeated rows are scored each. Long
+texts are read whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations

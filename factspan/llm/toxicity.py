@@ -10,11 +10,12 @@ the pooled state gives the window's probability. The text's score is its most to
 Training is multiple-instance: only texts have labels, so each epoch the best window of a toxic
 text and the worst of the others' windows are what the network learns from. The embeddings'
 first component starts at the log-odds of word or gram between toxic and other texts. At most
-``positives`` and ``negatives`` labelled documents are fetched, one row for each id, both bounds; the rest of the
-work, over all whole texts, runs where the texts lie. In it, each distinct word of a batch
+``positives`` and ``negatives`` labelled documents of ``longest`` bytes are fetched, one row for each id, all three
+bounds; the rest of the work, over all whole texts, runs where the texts lie. In it, each distinct word of a batch
 passes the input layer once, and all windows of many texts step through the network together.
 
-Nulls: a null text is the empty text and is scored as one empty window. Rows without a label
+Nulls: a null text is the empty text and is scored as one empty window. Long texts have as many
+windows as it takes; they are scored whole. An empty table gives an empty result. Rows without a label
 are not learned from; of several labels of one document the largest counts. Without labels of
 both classes every score is the smoothed share of label 1. Repeated rows are scored each.
 """
@@ -298,13 +299,13 @@ class Scorer:
         return _sigmoid(np.concatenate(out).astype(float)) if out else np.zeros(0)
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 3, fold: int = 1, positives: int = 1500, negatives: int = 2000) -> Network | float:
-    """A network from about ``positives`` toxic and ``negatives`` other labelled documents at most."""
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", folds: int = 3, fold: int = 1, positives: int = 1500, negatives: int = 2000, longest: int = 200_000) -> Network | float:
+    """A network from about ``positives`` toxic and ``negatives`` other labelled documents at most, of ``longest`` bytes each at most."""
     known = labelled(labels, key, label, folds, fold)
     n = {r._y: r["count"] for r in known.groupBy("_y").count().collect()}
     part = lambda bound, y: int(min(1.0, bound / max(1, n.get(y, 0))) * (1 << 20))
     picked = known.where(F.pmod(F.xxhash64("_id", F.lit("sample")), F.lit(1 << 20)) < F.when(F.col("_y") == 1, part(positives, 1)).otherwise(part(negatives, 0)))
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(picked), "_id")
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).where(F.coalesce(F.octet_length("_text"), F.lit(0)) <= longest).join(F.broadcast(picked), "_id")
     rows = rows.groupBy("_id").agg(F.min("_text").alias("_text"), F.first("_y").alias("_y")).collect()  # repeated rows are one
     rows.sort(key=lambda r: (r._id, r._text or ""))
     return train([r._text for r in rows], np.array([r._y for r in rows]))

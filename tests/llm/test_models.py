@@ -103,6 +103,8 @@ def test_one_row_of_a_picked_id_is_fetched(spark, frame, monkeypatch):
     labels = frame([(i, i % 2, i % 2) for i in range(1, 30)], "doc_id long, toxic int, quality int")
     toxicity.fit(docs, labels, folds=1000)
     assert fetched and fetched[0] <= 29
+    toxicity.fit(docs.selectExpr("doc_id", "if(doc_id = 5, repeat(text, 1000), text) text"), labels, folds=1000, longest=10_000)
+    assert fetched.pop() == fetched[0] - 1
     monkeypatch.setattr(quality.AdditiveModel, "fit", lambda self, x, y: fetched.append(len(x)) or self)
     quality.fit(docs, labels, folds=1000)
     assert fetched[1] <= 29
