@@ -41,6 +41,11 @@ def codes_valid(refusals: Column, vocabulary: tuple[str, ...]) -> Column:
     return F.coalesce(F.when(F.ltrim(refusals).startswith("["), known), F.lit(False))
 
 
+def election_consistent(election: Column, refusals: Column) -> Column:
+    """A required election is missing, an unsupported one is there; any other refusal says nothing of it."""
+    return ~((has_code(refusals, "ELECTION_REQUIRED") & election.isNotNull()) | (has_code(refusals, "ELECTION_NOT_SUPPORTED") & election.isNull()))
+
+
 def payload_text(payload: dict) -> str:
     """The text over which a payload's hash is taken: sorted keys, ', ' and ': ', ASCII only."""
     return json.dumps(payload, sort_keys=True)

@@ -90,6 +90,23 @@ def conformance(pack: DataFrame, registry: DataFrame, licences: DataFrame, field
     return direct.unionByName(undefined.select("id", F.lit("field_undefined").alias("failure"), F.col("field_key").alias("detail")))
 
 
+def vocabulary_diff(terms: DataFrame, term: str, **held: Column) -> DataFrame:
+    """Terms that some of the vocabularies have and others lack: term, and a flag for each. ``held``: whether a row is of that vocabulary."""
+    flags = terms.groupBy(term).agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(n) for n, c in held.items()])
+    number = sum((F.col(n).cast("int") for n in held), F.lit(0))
+    return flags.where((number > 0) & (number < len(held)))
+
+
+def type_histogram(rows: DataFrame, by: str, json: str) -> DataFrame:
+    """(by, key, kind, n): of which JSON kind each top-level key's values are; null counts as missing."""
+    pairs = rows.select(by, F.explode(F.from_json(json, "map<string,string>")).alias("key", "_v"))
+    kind = (
+        F.when(F.col("_v").isNull(), "missing").when(F.col("_v").isin("true", "false"), "boolean").when(F.col("_v").rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), "number")
+        .when(F.col("_v").startswith("{"), "object").when(F.col("_v").startswith("["), "array").otherwise("string")
+    )
+    return pairs.groupBy(by, "key", kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
 def schema_drift(expected: dict[str, str], tables: dict[str, DataFrame]) -> list[tuple[str, str]]:
     """(table, what differs) between committed schemas (as JSON) and tables."""
     out = [(t, "missing") for t in expected if t not in tables] + [(t, "unexpected") for t in tables if t not in expected]

@@ -32,21 +32,25 @@ def _refusal(code: str, stage: str, message: Column, **detail: Column) -> Column
 
 
 @F.pandas_udf(StructType([StructField("payload", StringType()), StructField("payload_hash", StringType())]))
-def _payload(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _payload(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for s in batches:
-        payloads = [{"status": "refused", "refusals": [dict(r.asDict() if hasattr(r, "asDict") else r) for r in refusals], "attribution": [], "omitted_for_rights": []} for refusals in s]
-        for p in payloads:
-            for r in p["refusals"]:
-                r["detail"] = dict(r["detail"])
+        payloads = []
+        for file in s.to_dict("records"):
+            refusals = [r.asDict() if hasattr(r, "asDict") else dict(r) for r in file["refusals"]]
+            payloads.append({"status": file["status"], "refusals": [r | {"detail": dict(r["detail"])} for r in refusals], "attribution": list(file["attribution"]), "omitted_for_rights": []})
+            if file["status"] != "refused":
+                payloads[-1] |= {"facts": dict(file["facts"]), "unmet_fields": list(file["unmet_fields"])}
         yield pd.DataFrame({"payload": [payload_text(p) for p in payloads], "payload_hash": [payload_hash(p) for p in payloads]})
 
 
-def compose(requests: DataFrame, parcels: DataFrame, current: DataFrame, channels: DataFrame, jurisdictions: DataFrame, rules: DataFrame, as_of: Column, elections: dict[str, str], channel: str) -> tuple[DataFrame, DataFrame]:
+def compose(requests: DataFrame, parcels: DataFrame, current: DataFrame, channels: DataFrame, jurisdictions: DataFrame, rules: DataFrame, as_of: Column, elections: dict[str, str], channel: str, definitions: DataFrame | None = None, licences: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(files, links) for ``requests(request_id, parcel_id, election)``.
 
     Refusals accumulate in a fixed order: unknown parcel (alone, and without a file), geometry
     tier, no facts, election or rule, then one per blocked licence in order. Every fact of the
-    parcel is touched and linked. A request without any refusal composes nothing (status null).
+    parcel is touched and linked. A request without any refusal composes nothing (status null)
+    unless field ``definitions`` are given: then it is composed, or partial if a required field
+    has no current fact, and its payload holds the facts and what ``licences`` ask to attribute.
     elections: election -> rule key.
     """
     if channel not in CHANNELS:
@@ -77,11 +81,24 @@ def compose(requests: DataFrame, parcels: DataFrame, current: DataFrame, channel
     unknown = F.array(_refusal("PARCEL_REFERENCE_UNKNOWN", "L0", F.lit("no such parcel"), parcel_id=F.col("parcel_id")))
     known = F.col("jurisdiction_id").isNotNull()
     refusals = F.when(~known, unknown).otherwise(F.concat(F.filter(stages, lambda r: r.isNotNull()), by_licence))
-    rows = rows.withColumn("refusals", refusals).withColumn("status", F.when(known & (F.size("refusals") > 0), "refused"))
+    none = F.array().cast("array<string>")
+    rows = rows.withColumn("refusals", refusals)
+    status = F.when(known & (F.size("refusals") > 0), "refused")
+    if definitions is None:
+        rows = rows.withColumns({"unmet_fields": none, "facts": F.create_map().cast("map<string,string>"), "attribution": none})
+    else:
+        lacking = unmet_fields(definitions, current, parcels).select("parcel_id", "unmet_fields")
+        credit = (licences if licences is not None else rows.sparkSession.createDataFrame([], "id string, restriction string, attribution_text string")).where("restriction = 'attribution'").select(F.col("id").alias("licence_id"), "attribution_text")
+        told = current.join(credit, "licence_id", "left").groupBy("parcel_id").agg(
+            F.map_from_entries(F.array_sort(F.collect_set(F.struct("field_key", F.col("value").cast("string"))))).alias("facts"), F.array_sort(F.collect_set("attribution_text")).alias("attribution"))
+        rows = rows.join(lacking, "parcel_id", "left").join(told, "parcel_id", "left").withColumns({"unmet_fields": F.coalesce("unmet_fields", none), "attribution": F.coalesce("attribution", none), "facts": F.coalesce("facts", F.create_map().cast("map<string,string>"))})
+        status = F.when(F.size("refusals") > 0, status).when(F.size("unmet_fields") > 0, "partial").otherwise("composed")
+    rows = rows.withColumn("status", status)
     version = ruleset_version(F.col("rule_key"), F.col("rule_version"), F.when(F.col("rule_key").isNull(), election["code"]), F.col("jurisdiction_id"), as_of)
-    rows = rows.withColumn("_p", F.when(F.col("status").isNotNull(), _payload("refusals")))
-    files = rows.select("request_id", "parcel_id", "jurisdiction_id", F.lit(channel).alias("channel"), "election", "status", "refusals", F.col("geometry_tier_enabled").alias("geometry_tier_used"), version.alias("ruleset_version"), F.col("_p.payload").alias("payload"), F.col("_p.payload_hash").alias("payload_hash"))
-    links = touched.join(files.where("status = 'refused'").select("request_id"), "request_id", "left_semi").select("request_id", "fact_id", "snapshot_id", F.lit("input").alias("use"))
+    rows = rows.withColumn("_p", F.when(F.col("status").isNotNull(), _payload(F.struct("status", "refusals", "attribution", "unmet_fields", "facts"))))
+    files = rows.select("request_id", "parcel_id", "jurisdiction_id", F.lit(channel).alias("channel"), "election", "status", "refusals", F.col("geometry_tier_enabled").alias("geometry_tier_used"), version.alias("ruleset_version"), "unmet_fields", F.col("_p.payload").alias("payload"), F.col("_p.payload_hash").alias("payload_hash"))
+    made = files.where("status is not null").select("request_id", F.when(F.col("status") == "refused", "input").otherwise("rendered").alias("use"))
+    links = touched.join(made, "request_id").select("request_id", "fact_id", "snapshot_id", "use")
     return files, links
 
 

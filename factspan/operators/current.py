@@ -33,6 +33,18 @@ def current_fact_at(
     return top_per_group(seen, [entity, field], [F.col(rank), confidence, F.col(retrieved).desc_nulls_last(), F.col(fact)])
 
 
+def live(facts: DataFrame, source: str, *fields: str) -> DataFrame:
+    """What is believed now of these fields, from this source."""
+    return facts.where(F.col("superseded_at").isNull() & (F.col("source_id") == source) & F.col("field_key").isin(*fields))
+
+
+def with_context(current: DataFrame, parcels: DataFrame, snapshots: DataFrame, entity: str = "parcel_id") -> DataFrame:
+    """Current facts with their parcel, and with their snapshot where they have one (derived facts don't)."""
+    where = parcels.select(F.col("id").alias(entity), *[F.col(c).alias(f"parcel_{c}") for c in parcels.columns if c != "id"])
+    what = snapshots.select(F.col("id").alias("snapshot_id"), *[F.col(c).alias(f"snapshot_{c}") for c in snapshots.columns if c != "id"])
+    return current.join(where, entity).join(what, "snapshot_id", "left")
+
+
 def conflict_state(current: DataFrame, entity: str = "parcel_id", field: str = "field_key", value: str = "value", stale: Column | None = None) -> DataFrame:
     """Per entity and field over its visible facts: conflicts, stale, missing or agree."""
     seen = current.groupBy(entity, field).agg(F.count_distinct(value).alias("n_values"), F.min(F.coalesce(stale, F.lit(False)) if stale is not None else F.lit(False)).alias("all_stale"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import json
+import re
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,5 +28,40 @@ def sorted_set(rows: DataFrame, by: str, value: str, name: str) -> DataFrame:
     return rows.groupBy(by).agg(F.sort_array(F.collect_set(value)).alias(name))
 
 
-def sort_lists(c: Column) -> Column:
-    return F.array_sort(c)
+_ID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
+_TIME = re.compile(r"\d{4}-\d\d-\d\d[T ]\d\d:\d\d(?::\d\d(?:\.\d+)?)?(?:Z|[+-]\d\d:?\d\d)?")
+
+
+def normal_form(payload, seen: dict | None = None):
+    """A payload without what differs from run to run: ids by the order of their first appearance, times masked, lists sorted.
+
+    Keys are visited in sorted order, lists in their own; they are sorted by their normal text afterwards.
+    """
+    seen = {} if seen is None else seen
+    if isinstance(payload, dict):
+        return {k: normal_form(payload[k], seen) for k in sorted(payload)}
+    if isinstance(payload, list):
+        return sorted((normal_form(x, seen) for x in payload), key=lambda x: json.dumps(x, sort_keys=True))
+    if isinstance(payload, str):
+        named = _ID.sub(lambda m: f"<UUID:{seen.setdefault(m[0].lower(), len(seen) + 1)}>", payload)
+        return _TIME.sub("<TIME>", named)
+    return payload
+
+
+@F.pandas_udf("string")
+def normalised(payloads: pd.Series) -> pd.Series:
+    """The normal form of JSON texts, as text with sorted keys; null and what is no JSON stay as they are."""
+
+    def one(text):
+        try:
+            return text if text is None else json.dumps(normal_form(json.loads(text)), sort_keys=True)
+        except ValueError:
+            return text
+
+    return payloads.map(one)
+
+
+def linked_facts(links: DataFrame, facts: DataFrame, by: str = "property_file_id") -> DataFrame:
+    """A file's links with the field and value of their facts, one sorted list of 'use field value' per file."""
+    rows = links.join(facts.select(F.col("id").alias("fact_id"), "field_key", "value"), "fact_id")
+    return rows.groupBy(by).agg(F.array_sort(F.collect_list(F.concat_ws(" ", "use", "field_key", F.col("value").cast("string")))).alias("facts"))

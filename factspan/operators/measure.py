@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from factspan.operators.current import top_per_group
-
 
 def ratio(part: Column, whole: Column) -> Column:
     """Four decimals; null if the whole is zero."""
@@ -32,17 +30,32 @@ def with_support(files: DataFrame, support: DataFrame, key: str, requests: Colum
     return files.join(support.groupBy(key).agg(requests.alias("requests"), corrections.alias("corrections")), key, "left")
 
 
+def delivery_rates(files: DataFrame, week: Column, status: str = "status", cost: str = "cost_micros") -> DataFrame:
+    """Per week, of files with their support: the shares that were corrected, refused or partial, requests a file, and the mean cost."""
+    n = F.count("*")
+    share = lambda c, name: ratio(F.count_if(c), n).alias(name)
+    return files.groupBy(week.alias("wk")).agg(
+        n.alias("files"), ratio(F.coalesce(F.sum("requests"), F.lit(0)), n).alias("support_rate"), share(F.col("corrections") > 0, "correction_rate"),
+        share(F.col(status) == "refused", "refusal_rate"), share(F.col(status) == "partial", "partial_rate"), F.round(F.avg(cost), 4).alias("avg_cost_micros"),
+    )
+
+
 def deliveries(files: DataFrame, week: Column, full: Column) -> DataFrame:
     zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
     return files.groupBy(week.alias("wk")).agg(F.count("*").alias("files"), F.count_if(full).alias("full_files"), zero("requests").alias("requests"), zero("corrections").alias("corrections"))
 
 
 def first_within(requests: DataFrame, later: DataFrame, by: str, at: str, request: str, event: str, window: Column) -> DataFrame:
-    """(request, event): the first event of the same subject in [at, at + window), null if none."""
-    r = requests.select(F.col(request), F.col(by), F.col(at).alias("_at"))
-    e = later.select(F.col(event), F.col(by).alias("_by"), F.col(at).alias("_then"))
-    pairs = r.join(e, (F.col(by) == F.col("_by")) & (F.col("_then") >= F.col("_at")) & (F.col("_then") < F.col("_at") + window), "left")
-    return top_per_group(pairs, [request], [F.col("_then"), F.col(event)]).select(request, event)
+    """(request, event): the first event of the same subject in [at, at + window), null if none.
+
+    One pass over each subject's requests and events together, latest first: the event last met
+    is the next one in time, so no request meets more than one.
+    """
+    both = requests.select(F.col(by).alias("_by"), F.col(at).alias("_at"), F.lit(0).alias("_kind"), F.col(request).alias("_request"), F.lit(None).alias("_event"))
+    both = both.unionByName(later.select(F.col(by).alias("_by"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).alias("_request"), F.col(event).alias("_event")))
+    backward = Window.partitionBy("_by").orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("_event").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = both.withColumn("_next", F.last(F.when(F.col("_kind") == 1, F.struct("_at", "_event")), ignorenulls=True).over(backward)).where("_kind = 0")
+    return met.select(F.col("_request").alias(request), F.when(F.col("_next._at") < F.col("_at") + window, F.col("_next._event")).alias(event))
 
 
 def captured(rows: DataFrame, plan: str, customer: str, amount: Column) -> DataFrame:

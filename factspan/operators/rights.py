@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def permitted(rows: DataFrame, channels: DataFrame, licence: str, channel: Column | str) -> DataFrame:
+def permitted(rows: DataFrame, channels: DataFrame, licence: str, channel: str) -> DataFrame:
     """``rows`` with ``allowed``: whether the licence permits the channel; no row means no."""
-    rights = channels.where(F.col("channel") == (F.lit(channel) if isinstance(channel, str) else channel))
+    rights = channels.where(F.col("channel") == F.lit(channel))
     rights = rights.groupBy(F.col("licence_id").alias("_lic")).agg(F.bool_and("allowed").alias("_ok"))
     return rows.join(rights, F.col(licence) == F.col("_lic"), "left").withColumn("allowed", F.coalesce("_ok", F.lit(False))).drop("_lic", "_ok")
 
@@ -19,6 +19,13 @@ def rights_gate(touched: DataFrame, channels: DataFrame, channel: str, by: str =
     return told.groupBy(by, "licence_id", "allowed").agg(F.array_sort(F.collect_set("field_key")).alias("field_keys"))
 
 
+def with_new_channels(licence: DataFrame, channels: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """(licence_id, channel, allowed): what is there, and every licence's new channels, denied until someone allows them."""
+    new = licence.select(F.col("id").alias("licence_id"), F.explode(F.array(*[F.lit(n) for n in names])).alias("channel"), F.lit(False).alias("allowed"))
+    held = channels.select("licence_id", "channel", "allowed")
+    return held.unionByName(new.join(held.select("licence_id", "channel"), ["licence_id", "channel"], "left_anti"))
+
+
 def over_permitted(derived: DataFrame, inputs: DataFrame, input_channels: DataFrame, key: str, channel: str = "channel", licence: str = "licence_id") -> DataFrame:
     """(key, over_permitted): derived things that claim a channel which some input's licence lacks.
 

@@ -53,6 +53,71 @@ def fact_checks(fact: DataFrame) -> DataFrame:
     return fact.select("id", F.explode(broken).alias("violates"))
 
 
+#: Row rules by table and name; a rule that is null holds. The model's constraints.
+TABLE_CHECKS = {
+    "fact_input": {"not_self": "fact_id <> input_fact_id"},
+    "field_definition": {
+        "deferral_reason": "not phase1_deferred or deferral_reason is not null", "deferred_not_required": "not phase1_deferred or not required_for_file",
+        "value_type": "value_type in ('string', 'number', 'boolean', 'date', 'geometry', 'enum', 'object')", "enum_values": "value_type <> 'enum' or enum_values is not null", "unit_for_number": "value_type <> 'number' or unit is not null",
+    },
+    "job_run": {
+        "finished_after_started": "finished_at >= started_at", "metrics_object": "ltrim(metrics) like '{%'", "rows_in": "rows_in >= 0", "rows_out": "rows_out >= 0",
+        "finished_unless_running": "(status = 'running') = (finished_at is null)",
+    },
+    "jurisdiction": {"kind": "kind in ('city', 'county', 'state')"},
+    "licence": {"attribution_text": "restriction <> 'attribution' or attribution_text is not null"},
+    "parcel_exception": {
+        "resolution": "case when outcome = 'open' then resolved_at is null and resolved_by is null else resolved_at is not null and resolved_by is not null end", "resolved_after_detected": "resolved_at >= detected_at",
+    },
+    "property_file": {
+        "partial_declares_gap": "status <> 'partial' or n_unmet > 0 or n_refusals > 0", "refusal_reason": "status <> 'refused' or n_refusals > 0", "refused_not_delivered": "status <> 'refused' or delivered_at is null",
+        "compose_ms": "compose_ms >= 0", "election": "election in ('city', 'state')",
+    },
+    "property_file_fact": {"use": "use in ('rendered', 'gate', 'input')"},
+    "rule": {"effective": "effective_to > effective_from", "version": "version > 0", "review": "case when review_mode = 'independent' then reviewed_by <> authored_by and attestation_uri is null else reviewed_by = authored_by and attestation_uri is not null end"},
+    "schema_migrations": {"sha256": "file_sha256 rlike '^[0-9a-f]{64}$'", "version": "version rlike '^[0-9]{4}$'"},
+    "snapshot": {
+        "byte_size": "byte_size >= 0", "content_hash": "content_hash rlike '^[0-9a-f]{64}$'", "id": "id = source_id || ':sha256:' || content_hash", "media_type": "trim(media_type) <> ''", "object_uri": "trim(object_uri) <> ''",
+    },
+    "source": {
+        "active_phase": "not active or phase_status = 'active'", "active_method": "not active or method in ('direct', 'bulk')", "active_verified": "not active or url_verified_at is not null", "endpoint": "method = 'manual' or endpoint_url is not null",
+    },
+    "source_feature_identity": {
+        "retired_after_seen": "retired_at >= last_seen_at", "seen_order": "last_seen_at >= first_seen_at",
+        "retirement": "(retired_snapshot_id is null) = (retired_at is null) and (retired_at is null) = (retirement_reason is null)",
+    },
+    "source_rank": {"rank": "rank > 0"},
+    "support_request": {"correction": "caused_correction = (correcting_fact_id is not null)"},
+}
+
+
+def table_checks(table: str, rows: DataFrame, key: str) -> DataFrame:
+    """(key, violates): all row rules of a table, one row per breach."""
+    broken = F.filter(F.array(*[F.when(~F.expr(rule), F.lit(name)) for name, rule in TABLE_CHECKS[table].items()]), lambda x: x.isNotNull())
+    return rows.select(key, F.explode(broken).alias("violates"))
+
+
+#: Which columns of a table refer to which of another.
+REFERENCES = {
+    "exception_evidence": [(("exception_id", "parcel_id"), "parcel_exception", ("id", "parcel_id")), (("fact_id", "parcel_id"), "fact", ("id", "parcel_id"))],
+    "fact": [(("parcel_id", "jurisdiction_id"), "parcel", ("id", "jurisdiction_id")), (("snapshot_id", "source_id"), "snapshot", ("id", "source_id")), (("supersedes_fact_id", "parcel_id"), "fact", ("id", "parcel_id")), (("licence_id",), "licence", ("id",)), (("field_key",), "field_definition", ("field_key",))],
+    "fact_input": [(("fact_id",), "fact", ("id",)), (("input_fact_id",), "fact", ("id",))],
+    "licence_channel": [(("licence_id",), "licence", ("id",))],
+    "parcel_exception": [(("parcel_id", "jurisdiction_id"), "parcel", ("id", "jurisdiction_id")), (("reopened_from_id",), "parcel_exception", ("id",))],
+    "property_file": [(("parcel_id", "jurisdiction_id"), "parcel", ("id", "jurisdiction_id"))],
+    "property_file_fact": [(("property_file_id", "parcel_id"), "property_file", ("id", "parcel_id")), (("fact_id", "parcel_id"), "fact", ("id", "parcel_id"))],
+    "snapshot": [(("source_id",), "source", ("id",))],
+    "source_rank": [(("source_id",), "source", ("id",)), (("field_key",), "field_definition", ("field_key",))],
+    "support_request": [(("property_file_id",), "property_file", ("id",)), (("correcting_fact_id",), "fact", ("id",))],
+}
+
+
+def broken_references(tables: dict[str, DataFrame], table: str, key: str) -> DataFrame:
+    """(key, refers_to): rows of a table that refer to what isn't there, for the references to tables at hand."""
+    found = [references(tables[table], list(cols), tables[target], list(to)).select(key, F.lit(target).alias("refers_to")) for cols, target, to in REFERENCES.get(table, []) if target in tables]
+    return reduce(DataFrame.unionByName, found) if found else tables[table].select(key, F.lit(None).cast("string").alias("refers_to")).limit(0)
+
+
 def supersession_targets(fact: DataFrame) -> DataFrame:
     """Facts that supersede one of another entity, field or source, or one that is still live."""
     old = fact.select(F.col("id").alias("supersedes_fact_id"), F.col("parcel_id").alias("_p"), F.col("field_key").alias("_f"), F.col("source_id").alias("_s"), F.col("superseded_at").alias("_end"))

@@ -6,30 +6,22 @@ from pyspark.sql import functions as F
 
 from factspan.functions import json, text, time
 from factspan.operators import audit, compose, current, exceptions, golden, lineage, match, measure, reconcile, rights, rules, spatial, validate, views
+from factspan.plans import registry
 from factspan.plans import testdata as t
+from factspan.plans.registry import query
 from factspan.sources import snapshot
 
-_QUERIES, _SQL = {}, {}
-
-
-def query(sql: str | None):
-    """Register a function of (spark, read), where read(name) is a table, under its own name."""
-
-    def add(f):
-        _QUERIES[f.__name__] = lambda spark, sf_dir: f(spark, lambda name: t.table(spark, sf_dir, name))
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
 
 def queries():
-    return dict(_QUERIES)
+    from factspan.plans import ledger_queries  # noqa: F401  registers its queries
+
+    return dict(registry.QUERIES)
 
 
 def oracle_sql():
-    return dict(_SQL)
+    from factspan.plans import ledger_queries  # noqa: F401
+
+    return dict(registry.SQL)
 
 
 _LEDGER = """ledger as (
@@ -53,14 +45,14 @@ def current_fact_at(spark, read):
     return found.select("entity_id", "field_key", "fact_id", "value")
 
 
-@query(f"""with {_LEDGER} select entity_id, field_key, count(distinct source_id) n_values,
- case when count(distinct source_id) > 1 then 'conflicts' when count(distinct source_id) = 0 then 'missing'
+@query(f"""with {_LEDGER} select entity_id, field_key, count(distinct round(value / 100)) n_values,
+ case when count(distinct round(value / 100)) > 1 then 'conflicts' when count(distinct round(value / 100)) = 0 then 'missing'
  when bool_and(coalesce(date_diff('day', cast(retrieved_at as date), date '2024-01-20') > 9, false)) then 'stale' else 'agree' end conflict
  from ledger where {_VISIBLE} group by 1, 2""")
 def conflict_states(spark, read):
     at = F.lit("2024-01-20").cast("timestamp_ntz")
-    seen = t.ledger(read("events")).where(time.visible(at))
-    return current.conflict_state(seen, "entity_id", "field_key", "source_id", time.stale(at, F.col("retrieved_at"), F.lit(9)))
+    seen = t.ledger(read("events")).where(time.visible(at)).withColumn("value", F.round(F.col("value") / 100))
+    return current.conflict_state(seen, "entity_id", "field_key", "value", time.stale(at, F.col("retrieved_at"), F.lit(9)))
 
 
 @query("""with live as (select o_orderkey k, o_totalprice v from orders where o_orderkey%10<>0),
@@ -253,7 +245,7 @@ def json_key_coverage(spark, read):
 
 @query("select o_orderkey, o_orderdate from orders order by o_orderdate desc, o_orderkey limit 500")
 def recent_topn(spark, read):
-    return read("orders").select("o_orderkey", "o_orderdate").orderBy(F.col("o_orderdate").desc(), "o_orderkey").limit(500)
+    return views.newest(read("orders").select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey", 500)
 
 
 @query("select user_id, event_type, coalesce(props->>'zz','') reason, count(*) n from events group by 1,2,3 having count(*)>1")
@@ -278,12 +270,13 @@ def check_violations(spark, read):
     return validate.check(rows, F.col("v") > 100, "valid_time").select("id", "violates")
 
 
-@query(f"""with {_LEDGER}, n as (select entity_id, field_key, source_id, count(*) n from ledger where superseded_at is null group by 1,2,3) select * from n where n > 1
- union all select entity_id, field_key, '*', count(*) from ledger where superseded_at is null group by 1, 2 having count(*) > 2""")
+@query(f"""with {_LEDGER} select entity_id parcel_id, field_key, coalesce(case when event_id % 10 <> 0 then source_id end, '~derived') source_id, 'm' || cast(event_id % 2 as varchar) method_version, count(*) n
+ from (select *, fact_id event_id from ledger) where superseded_at is null or superseded_at > timestamp '2024-01-25' group by 1, 2, 3, 4 having count(*) > 1""")
 def one_current_violations(spark, read):
-    live = t.ledger(read("events")).where("superseded_at is null")
-    by_source = validate.unique(live, ["entity_id", "field_key", "source_id"])
-    return by_source.unionByName(validate.unique(live, ["entity_id", "field_key"]).where("n > 2").withColumn("source_id", F.lit("*")))
+    live = t.ledger(read("events")).withColumn("superseded_at", F.when(F.col("superseded_at") <= F.lit("2024-01-25").cast("timestamp_ntz"), F.col("superseded_at")))
+    k = F.col("fact_id")
+    rows = live.select(F.col("entity_id").alias("parcel_id"), "field_key", F.when(k % 10 != 0, F.col("source_id")).alias("source_id"), F.concat(F.lit("m"), (k % 2).cast("string")).alias("method_version"), "superseded_at")
+    return validate.one_current_per_source(rows)
 
 
 @query("""with req as (select event_id, user_id, ts from events where event_type='view'), per as (select event_id pid, user_id, ts from events where event_type='purchase') select event_id, pid from (select r.event_id, p.pid, row_number() over (partition by r.event_id order by p.ts, p.pid) rn from req r left join per p on p.user_id=r.user_id and p.ts>=r.ts and p.ts<r.ts+interval '3' day) t where rn=1""")
@@ -343,16 +336,16 @@ def sorted_list_normalise(spark, read):
     return golden.sorted_set(read("events"), "user_id", "event_type", "l")
 
 
-@query("""with recursive nx as (select event_id id, lead(event_id) over (partition by user_id,event_type order by ts,event_id) nxt from events), r as (select id, nxt, 1 as depth from nx where id in (select first_value(event_id) over (partition by user_id,event_type order by ts,event_id) from events) union all select n.id, n.nxt, r.depth+1 from r join nx n on n.id=r.nxt where r.depth<5) select id, depth from r""")
+@query("""with recursive nx as (select event_id id, lead(event_id) over (partition by user_id,event_type order by ts,event_id) nxt from events), r as (select id, nxt, 1 as depth from nx where id in (select first_value(event_id) over (partition by user_id,event_type order by ts,event_id) from events) union all select n.id, n.nxt, r.depth+1 from r join nx n on n.id=r.nxt) select id, depth from r""")
 def lineage_chain(spark, read):
-    return lineage.chain(read("events"), ["user_id", "event_type"], ["ts", "event_id"], "event_id", 5).select(F.col("event_id").alias("id"), "depth")
+    return lineage.chain(read("events"), ["user_id", "event_type"], ["ts", "event_id"], "event_id").select(F.col("event_id").alias("id"), "depth")
 
 
-@query("""with recursive e as (select p_partkey c, p_partkey // 2 p from part where p_partkey > 1), r as (select c seed, p ancestor, 1 depth from e where c % 97 = 0 union all select r.seed, e.p, r.depth + 1 from r join e on e.c = r.ancestor) select seed, ancestor, depth from r""")
+@query("""with recursive e as (select p_partkey c, p_partkey // 2 p from part where p_partkey > 1), r as (select c seed, p ancestor, 1 depth from e union all select r.seed, e.p, r.depth + 1 from r join e on e.c = r.ancestor) select seed, ancestor, depth from r""")
 def lineage_closure(spark, read):
     k = F.col("p_partkey")
     edges = read("part").where(k > 1).select(k.alias("fact_id"), F.floor(k / 2).alias("input_fact_id"))
-    return lineage.closure(edges, edges.where(F.col("fact_id") % 97 == 0).select("fact_id"))
+    return lineage.closure(edges, edges.select("fact_id"))
 
 
 @query("""with o as (select o_orderkey fact_id, o_custkey parcel_id, o_orderpriority licence_id, o_orderstatus field_key from orders), ch as (select * from (values ('1-URGENT', true), ('2-HIGH', true), ('3-MEDIUM', false)) t(licence_id, allowed))

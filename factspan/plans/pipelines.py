@@ -11,10 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from factspan.functions import geo
-from factspan.functions.text import canonical_identifier, derived_id, unresolvable_reason
+from factspan.functions.json import payload_text
+from factspan.functions.text import canonical_identifier, derived_id, snapshot_id, unresolvable_reason
 from factspan.operators import exceptions as exc
 from factspan.operators import match, reconcile, spatial, validate
-from factspan.plans.vocabulary import EXCEPTION, FACT, IDENTITY
+from factspan.operators.current import live
+from factspan.plans.vocabulary import ENUMS, EXCEPTION, FACT, IDENTITY
 from factspan.sources.tables import Tables, facts_as_of_now
 
 SCHEMAS = {
@@ -23,6 +25,9 @@ SCHEMAS = {
     "parcel": "id string, jurisdiction_id string, first_seen_at timestamp",
     "identity_event": IDENTITY + ", event_at timestamp",
     "exception_event": EXCEPTION + ", reason string, event_at timestamp",
+    "snapshot": "id string, source_id string, object_uri string, content_hash string, media_type string, byte_size long, http_status int, fetched_at timestamp",
+    "property_file": "id string, parcel_id string, jurisdiction_id string, channel string, status string, composed_at timestamp, as_of timestamp, ruleset_version string, geometry_tier_used boolean, refusals string, payload string, payload_hash string, unmet_fields array<string>, election string",
+    "property_file_fact": "property_file_id string, fact_id string, use string, parcel_id string",
     "job_run": "id string, job_key string, source_id string, kind string, status string, started_at timestamp, finished_at timestamp, snapshot_id string, rows_in long, metrics string",
 }
 
@@ -37,7 +42,7 @@ class Ledger:
         return facts_as_of_now(self.tables.read("fact"), self.tables.read("fact_supersession"))
 
     def live(self, source: str, *fields: str) -> DataFrame:
-        return self.facts().where(F.col("superseded_at").isNull() & (F.col("source_id") == source) & F.col("field_key").isin(*fields))
+        return live(self.facts(), source, *fields)
 
     def exceptions(self) -> DataFrame:
         return exc.fold(self.tables.read("exception_event"))
@@ -122,11 +127,12 @@ def load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str
     still = still.unionByName(away.select("parcel_id", F.lit("feature_disappeared").alias("reason")))
     closed = exc.close_resolved(own, still, run_ts)
     opened = exc.not_yet_open(unresolved.unionByName(lost), own)
-    identity = events.where("event in ('new', 'reappeared', 'disappeared')").join(ledger.identity().where(F.col("source_id") == source).select("source_feature_id", "first_seen_snapshot_id", "first_seen_at"), "source_feature_id", "left")
+    seen = ["first_seen_snapshot_id", "first_seen_at", "last_seen_snapshot_id", "last_seen_at"]
+    identity = events.join(ledger.identity().where(F.col("source_id") == source).select("source_feature_id", *seen), "source_feature_id", "left")  # a feature seen again is touched too
     out = F.col("event") == "disappeared"
     identity = identity.select(
         F.lit(source).alias("source_id"), "source_feature_id", "parcel_id", F.coalesce("first_seen_snapshot_id", F.lit(snapshot)).alias("first_seen_snapshot_id"), F.coalesce("first_seen_at", run_ts).alias("first_seen_at"),
-        F.lit(snapshot).alias("last_seen_snapshot_id"), run_ts.alias("last_seen_at"), F.when(out, F.lit(snapshot)).alias("retired_snapshot_id"), F.when(out, run_ts).alias("retired_at"), F.when(out, F.lit("absent")).alias("retirement_reason"), run_ts.alias("event_at"))
+        F.when(out, F.col("last_seen_snapshot_id")).otherwise(snapshot).alias("last_seen_snapshot_id"), F.when(out, F.col("last_seen_at")).otherwise(run_ts).alias("last_seen_at"), F.when(out, F.lit(snapshot)).alias("retired_snapshot_id"), F.when(out, run_ts).alias("retired_at"), F.when(out, F.lit("absent")).alias("retirement_reason"), run_ts.alias("event_at"))
     tables = _apply(ledger, steps, source, snapshot, run_ts) | {
         "parcel": events.where("event = 'new'").select(F.col("parcel_id").alias("id"), F.lit(ledger.jurisdiction).alias("jurisdiction_id"), run_ts.alias("first_seen_at")),
         "identity_event": identity,
@@ -179,3 +185,39 @@ def load_permits(ledger: Ledger, permits: DataFrame, parcel_source: str, source:
     steps = reconcile.successors(live, fresh, ["parcel_id", "field_key"], F.lit("world_change"))
     ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"job_run": _job(ledger, "permits", source, snapshot, run, run_ts, permits.count())}, _checks)
     return match.breakdown(matched, "issued")
+
+
+def _shaped(ledger: Ledger, table: str, rows: DataFrame) -> DataFrame:
+    schema = ledger.tables.spark.createDataFrame([], SCHEMAS[table]).schema
+    return rows.select(*[(F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def record_snapshots(ledger: Ledger, fetched: DataFrame, run: str) -> None:
+    """fetched(source_id, object_uri, content_hash, media_type, byte_size, http_status, fetched_at): the snapshots not known yet.
+
+    The id is made of source and content, so fetching the same content again adds nothing.
+    """
+    rows = _shaped(ledger, "snapshot", fetched.withColumn("id", snapshot_id(F.col("source_id"), F.col("content_hash"))))
+    if not validate.table_checks("snapshot", rows, "id").isEmpty():
+        raise ValueError("a snapshot breaks a rule of its table")
+    ledger.tables.commit(run, {"snapshot": reconcile.insert_if_absent(ledger.tables.read("snapshot"), rows, ["id"])}, lambda *_: [])
+
+
+def record_job(ledger: Ledger, job: str, source: str, status: str, run: str, started: Column, finished: Column | None = None, kind: str = "load", metrics: dict | None = None) -> None:
+    """A run that began, was skipped or failed; what loads succeed is committed with their rows."""
+    if status not in ENUMS["job_status"] or (status == "running") != (finished is None):
+        raise ValueError("a run ends unless it is running")
+    row = ledger.tables.spark.range(1).select(F.lit(run).alias("id"), F.lit(job).alias("job_key"), F.lit(source).alias("source_id"), F.lit(kind).alias("kind"), F.lit(status).alias("status"), started.alias("started_at"), (F.lit(None) if finished is None else finished).alias("finished_at"), F.lit(payload_text(metrics) if metrics else None).alias("metrics"))
+    ledger.tables.commit(run, {"job_run": _shaped(ledger, "job_run", row)}, lambda *_: [])
+
+
+def record_files(ledger: Ledger, files: DataFrame, links: DataFrame, run: str, run_ts: Column, as_of: Column) -> None:
+    """What ``compose`` gave: the files that have a status, and a link for every fact that one touched."""
+    made = files.where("status is not null").withColumns({"id": derived_id(F.col("request_id"), run_ts), "composed_at": run_ts, "as_of": as_of, "refusals": F.to_json("refusals")})
+    held = links.join(made.select("request_id", F.col("id").alias("property_file_id"), "parcel_id"), "request_id")
+    rows = {"property_file": _shaped(ledger, "property_file", made), "property_file_fact": _shaped(ledger, "property_file_fact", held)}
+    counted = rows["property_file"].select("id", "status", "election", F.size(F.from_json("refusals", "array<struct<code:string>>")).alias("n_refusals"), F.size("unmet_fields").alias("n_unmet"), F.lit(None).cast("timestamp").alias("delivered_at"), F.lit(0).alias("compose_ms"))
+    broken = validate.table_checks("property_file", counted, "id").where("violates <> 'election'")
+    if not broken.isEmpty():
+        raise ValueError("a file breaks a rule of its table")
+    ledger.tables.commit(run, rows, lambda *_: [])
