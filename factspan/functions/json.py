@@ -31,7 +31,8 @@ _REFUSALS = "array<struct<code:string,stage:string,message:string,detail:string>
 
 def has_code(refusals: Column, code: str) -> Column:
     """Whether a JSON array of refusals holds one with this code."""
-    return F.coalesce(F.exists(F.from_json(refusals, _REFUSALS), lambda r: r["code"] == code), F.lit(False))
+    listed = F.when(F.ltrim(refusals).startswith("["), F.from_json(refusals, _REFUSALS))
+    return F.coalesce(F.exists(listed, lambda r: r["code"] == code), F.lit(False))
 
 
 def codes_valid(refusals: Column, vocabulary: tuple[str, ...]) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from factspan.functions.time import visible
@@ -38,6 +38,14 @@ def live(facts: DataFrame, source: str, *fields: str) -> DataFrame:
     return facts.where(F.col("superseded_at").isNull() & (F.col("source_id") == source) & F.col("field_key").isin(*fields))
 
 
+def register_visible_at(spark: SparkSession, view: str, name: str) -> None:
+    """A temporary SQL table function ``name(at)``: the rows of a view of facts that are visible at a time."""
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(view).schema)
+    condition = "{start} <= at and ({end} is null or {end} > at)"
+    seen = " and ".join(condition.format(start=f"v.{a}", end=f"v.{b}") for a, b in (("recorded_at", "superseded_at"), ("effective_from", "effective_to")))
+    spark.sql(f"create or replace temporary function {name}(at timestamp_ntz) returns table ({shape}) return select v.* from {view} v where {seen}")
+
+
 def with_context(current: DataFrame, parcels: DataFrame, snapshots: DataFrame, entity: str = "parcel_id") -> DataFrame:
     """Current facts with their parcel, and with their snapshot where they have one (derived facts don't)."""
     where = parcels.select(F.col("id").alias(entity), *[F.col(c).alias(f"parcel_{c}") for c in parcels.columns if c != "id"])
