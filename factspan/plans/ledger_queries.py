@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from factspan.functions import geo, json, text, time
 from factspan.operators import audit, compose, current, derive, exceptions, golden, measure, reconcile, rights, rules, validate, views
+from factspan.plans import pipelines
 from factspan.plans import testdata as t
-from factspan.plans.catalog import _LEDGER, _VISIBLE
+from factspan.plans.catalog import _APN, _LEDGER, _RAW, _VISIBLE, _parcels, _permits
 from factspan.plans.registry import query
 from factspan.plans.vocabulary import REFUSAL_CODES
 
@@ -394,3 +395,52 @@ def current_fact_sql(spark, read):
     t.ledger(read("events")).createOrReplaceTempView("ledger_facts")
     current.register_visible_at(spark, "ledger_facts", "visible_at")
     return spark.sql("select source_id, field_key, count(*) n, count_if(superseded_at is null) live from visible_at(timestamp_ntz '2024-01-20') group by all")
+
+
+_ACTION = "case when l.v is null then 'insert' when n.v is null then 'retire' when l.v = n.v then 'keep' else 'supersede' end"
+
+
+@query(f"""with c as (select c_custkey k, cast(c_custkey as varchar) f, case when c_custkey % 6 = 0 then ' ' when c_custkey % 9 = 0 then '?' else 'A' || c_custkey end raw, 'p' || c_custkey known, sha256('src' || chr(31) || c_custkey) h from customer),
+ x as (select *, case when k % 5 <> 0 then known else substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) end p, case when k % 5 = 0 then 'new' when k % 7 = 0 and k % 11 = 0 then null when k % 7 = 0 then 'disappeared' when k % 11 = 0 then 'reappeared' else 'seen' end e from c where not (k % 5 = 0 and k % 7 = 0)),
+ fresh as (select p, 'apn' f, '{{"v":"' || raw || '"}}' v from x where e is not null and e <> 'disappeared' and raw not in (' ', '?') union all select p, 'geometry', 'g' || k from x where e is not null and e <> 'disappeared' union all select p, 'source_parcel_id', '{{"v":"' || f || '"}}' from x where e is not null and e <> 'disappeared'),
+ live as (select p, 'apn' f, '{{"v":"A' || (k - k % 2) || '"}}' v, e from x where k % 5 <> 0 union all select p, 'geometry', 'g' || k, e from x where k % 5 <> 0)
+ select coalesce(l.p, n.p) parcel_id, coalesce(l.f, n.f) field_key, {_ACTION} "action" from (select * from live where e is distinct from 'disappeared') l full join fresh n on l.p = n.p and l.f = n.f
+ union all select p, 'exception', 'unresolvable_' || case raw when ' ' then 'blank' else 'placeholder' end from x where e is not null and e <> 'disappeared' and raw in (' ', '?') union all select p, 'exception', 'feature_disappeared' from x where e = 'disappeared'""")
+def parcel_reconciliation(spark, read):
+    k, c = F.col("c_custkey"), read("customer")
+    apn = F.when(k % 6 == 0, " ").when(k % 9 == 0, "?").otherwise(F.concat(F.lit("A"), k.cast("string")))
+    features = c.where(k % 7 != 0).select(k.cast("string").alias("feature_id"), apn.alias("apn"), F.concat(F.lit("g"), k.cast("string")).alias("geometry"))
+    known = c.where(k % 5 != 0).withColumn("parcel_id", F.concat(F.lit("p"), k.cast("string")))
+    identity = known.select(k.cast("string").alias("source_feature_id"), "parcel_id", F.when(k % 11 == 0, _day("2024-01-01")).alias("retired_at"))
+    value = F.array(F.struct(F.lit("apn").alias("field_key"), F.concat(F.lit('{"v":"A'), (k - k % 2).cast("string"), F.lit('"}')).alias("value")), F.struct(F.lit("geometry").alias("field_key"), F.concat(F.lit("g"), k.cast("string")).alias("value")))
+    found = pipelines.parcel_changes(features, identity, known.select("parcel_id", k.alias("id"), F.inline(value)), "src")
+    told = found["unresolved"].unionByName(found["lost"]).select("parcel_id", F.lit("exception").alias("field_key"), F.col("reason").alias("action"))
+    return found["steps"].select("parcel_id", "field_key", "action").unionByName(told)
+
+
+@query(f"""with z as (select s_suppkey zid, case when s_suppkey % 9 = 0 then null else 'Z' || (s_suppkey % 4) end zoning, (s_suppkey * 7) % 90 * 1.0 x0, (s_suppkey * 13) % 90 * 1.0 y0 from supplier),
+ p as (select c_custkey pid, (c_custkey * 31) % 1000 / 10.0 + 0.05 x, (c_custkey * 17) % 1000 / 10.0 + 0.05 y from customer),
+ cand as (select p.pid, z.zid, z.zoning from p left join z on p.x > z.x0 and p.x < z.x0 + 12 and p.y > z.y0 and p.y < z.y0 + 12),
+ cls as (select pid, count(distinct zoning) n, count(zid) m, min(zoning) zoning from cand group by 1),
+ n as (select pid p, '{{"v":"' || zoning || '"}}' v from cls where n = 1), l as (select c_custkey p, '{{"v":"Z1"}}' v from customer where c_custkey % 2 = 0)
+ select coalesce(l.p, n.p) parcel_id, {_ACTION} "action" from l full join n on l.p = n.p
+ union all select pid, case when n = 0 then 'no_containing_district' when n > 1 then 'multiple_containing_districts' else 'multiple_polygons_agree' end from cls where n <> 1 or m > 1""")
+def zoning_reconciliation(spark, read):
+    points = t.places(read("customer")).withColumnRenamed("pid", "parcel_id")
+    zones = t.squares(read("supplier")).withColumnRenamed("zid", "zone_id").withColumn("abbreviation", F.lit(None).cast("string"))
+    live = read("customer").where("c_custkey % 2 = 0").selectExpr("c_custkey parcel_id", "'zoning.district' field_key", "c_custkey id", """'{"v":"Z1"}' value""")
+    steps, told = pipelines.zoning_changes(points, zones, live, cell=1.0)
+    return steps.select("parcel_id", "action").unionByName(told.select("parcel_id", F.col("reason").alias("action")))
+
+
+@query(f"""with parcels as ({_APN}), permits as (select {_RAW} raw, o_orderdate d from orders), canon as (select trim(case when substr(trim(raw), 1, 1) = '''' then substr(trim(raw), 2) else trim(raw) end) apn, d from permits),
+ one as (select apn, min(pid) pid from parcels group by apn having count(*) = 1), first as (select pid, min(cast(d as date)) d from canon join one using (apn) where apn <> '' group by 1),
+ l as (select c_custkey p, 'permits.active' f, 'true' v from customer where c_custkey % 3 = 0 union all select c_custkey, 'permits.series_earliest', '{{"v":"1995-01-01"}}' from customer where c_custkey % 3 = 0),
+ n as (select coalesce(pid, c_custkey) p, 'permits.active' f, case when pid is null then 'false' else 'true' end v from first full join (select * from customer where c_custkey % 3 = 0) on c_custkey = pid union all select pid, 'permits.series_earliest', '{{"v":"' || cast(d as varchar) || '"}}' from first)
+ select coalesce(l.p, n.p) parcel_id, coalesce(l.f, n.f) field_key, n.v as value, {_ACTION} "action" from l full join n on l.p = n.p and l.f = n.f""")
+def permit_reconciliation(spark, read):
+    permits = _permits(read).select("raw", F.col("d").cast("date").alias("issued"))
+    held = F.array(*[F.struct(F.lit(k).alias("field_key"), F.lit(v).alias("value")) for k, v in (("permits.active", "true"), ("permits.series_earliest", '{"v":"1995-01-01"}'))])
+    live = read("customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("parcel_id"), F.col("c_custkey").alias("id"), F.inline(held))
+    steps, _ = pipelines.permit_changes(permits, _parcels(read).withColumnRenamed("pid", "parcel_id"), live)
+    return steps.select("parcel_id", "field_key", "value", "action")

@@ -98,29 +98,60 @@ def _job(ledger: Ledger, job: str, source: str, snapshot: str, run: str, run_ts:
     return ledger.tables.spark.range(1).select(F.lit(run).alias("id"), F.lit(job).alias("job_key"), F.lit(source).alias("source_id"), F.lit("load").alias("kind"), F.lit("succeeded").alias("status"), run_ts.alias("started_at"), run_ts.alias("finished_at"), F.lit(snapshot).alias("snapshot_id"), F.lit(rows_in).cast("long").alias("rows_in"), F.lit(None).cast("string").alias("metrics"))
 
 
-def load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str, run: str, run_ts: Column) -> None:
-    """features(feature_id, apn, geometry as JSON text): parcels, identities, their facts and gaps.
+def parcel_changes(features: DataFrame, identity: DataFrame, live_facts: DataFrame, source: str) -> dict[str, DataFrame]:
+    """What a snapshot of features(feature_id, apn, geometry) changes, given the source's identities and live facts.
 
-    A feature id may not be blank or repeated: the load fails. A feature that comes back is the
-    same parcel. An identifier that can no longer be resolved ends without a successor and
-    leaves a coverage gap; one that can be again is a new fact and closes the gap.
+    events: every feature with what became of it; here: the features of the snapshot with their
+    parcel; steps: what happens to each fact; unresolved and lost: the exceptions it calls for.
     """
     rows = features.select(F.trim("feature_id").alias("source_feature_id"), canonical_identifier(F.col("apn")).alias("apn"), unresolvable_reason(F.col("apn")).alias("problem"), "geometry")
-    bad = rows.where("source_feature_id is null or source_feature_id = ''")
-    if not bad.isEmpty() or not validate.unique(rows, ["source_feature_id"]).isEmpty():
-        raise ValueError("a feature id is blank or repeated")
-    events = reconcile.identity_events(ledger.identity().where(F.col("source_id") == source), rows, ["source_feature_id"])
-    parcel = F.coalesce("parcel_id", derived_id(F.lit(source), F.col("source_feature_id")))
-    events = events.withColumn("parcel_id", parcel)
+    events = reconcile.identity_events(identity, rows, ["source_feature_id"])
+    events = events.withColumn("parcel_id", F.coalesce("parcel_id", derived_id(F.lit(source), F.col("source_feature_id"))))
     here = rows.join(events.where("event <> 'disappeared'"), "source_feature_id")
     value = {"apn": F.when(F.col("problem").isNull(), F.to_json(F.struct(F.col("apn").alias("v")))), "geometry": F.col("geometry"), "source_parcel_id": F.to_json(F.struct(F.col("source_feature_id").alias("v")))}
     fresh = here.select("parcel_id", F.explode(F.array(*[F.struct(F.lit(k).alias("field_key"), v.alias("value")) for k, v in value.items()])).alias("f")).select("parcel_id", "f.*").where("value is not null")
-    live = ledger.live(source, *value)
     gone = events.where("event = 'disappeared'").select("parcel_id")
     # facts of features that went away stay believed; only what the snapshot speaks of is compared
-    steps = reconcile.successors(live.join(gone, "parcel_id", "left_anti").select("parcel_id", "field_key", "id", "value"), fresh, ["parcel_id", "field_key"], F.lit("unknown"))
+    steps = reconcile.successors(live_facts.join(gone, "parcel_id", "left_anti").select("parcel_id", "field_key", "id", "value"), fresh, ["parcel_id", "field_key"], F.lit("unknown"))
     unresolved = here.where("problem is not null").select("parcel_id", F.concat(F.lit("unresolvable_"), F.col("problem")).alias("reason"), F.lit("coverage_gap").alias("type"), F.lit("warning").alias("severity"))
     lost = gone.select("parcel_id", F.lit("feature_disappeared").alias("reason"), F.lit("record_to_ground").alias("type"), F.lit("warning").alias("severity"))
+    return {"events": events, "here": here, "steps": steps, "unresolved": unresolved, "lost": lost}
+
+
+def zoning_changes(points: DataFrame, polygons: DataFrame, live_facts: DataFrame, cell: float = 0.01) -> tuple[DataFrame, DataFrame]:
+    """(steps, told): what happens to each parcel's district facts, and what there is to say of its match."""
+    pairs = spatial.point_in_polygon(points, polygons, "geom", "x", "y", cell=cell)
+    found = spatial.classify(points, pairs, "parcel_id", "zone_id", "zoning", "abbreviation")
+    text = lambda c: F.to_json(F.struct(F.col(c).alias("v")))
+    fresh = found.where("kind = 'matched'").select("parcel_id", F.explode(F.array(F.struct(F.lit("zoning.district").alias("field_key"), text("zoning").alias("value")), F.struct(F.lit("zoning.district_verbatim").alias("field_key"), F.when(F.col("abbreviation").isNotNull(), text("abbreviation")).alias("value")))).alias("f")).select("parcel_id", "f.*").where("value is not null")
+    steps = reconcile.successors(live_facts.select("parcel_id", "field_key", "id", "value"), fresh, ["parcel_id", "field_key"], F.lit("unknown"))
+    reason = F.when(F.col("kind") == "zero_match", "no_containing_district").when(F.col("kind") == "ambiguous", "multiple_containing_districts").when(F.col("anomaly_ids").isNotNull(), "multiple_polygons_agree")
+    told = found.withColumn("reason", reason).where("reason is not null").select("parcel_id", "reason", F.lit("cross_source").alias("type"), F.when(F.col("kind") == "matched", "info").otherwise("warning").alias("severity"))
+    return steps, told
+
+
+def permit_changes(permits: DataFrame, apn: DataFrame, live_facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(steps, matched) for permits(raw, issued) and apn(parcel_id, apn): a parcel that drops out turns from true to false, once."""
+    matched = match.match(permits, "raw", apn, "apn", "parcel_id")
+    first = matched.where("cls = 'matched'").groupBy(F.col("entity").alias("parcel_id")).agg(F.min("issued").alias("first"))
+    both = live_facts.where("field_key = 'permits.active'").select("parcel_id").join(first, "parcel_id", "full")
+    value = {"permits.active": F.when(F.col("first").isNotNull(), "true").otherwise("false"), "permits.series_earliest": F.when(F.col("first").isNotNull(), F.to_json(F.struct(F.col("first").cast("string").alias("v"))))}
+    fresh = both.select("parcel_id", F.explode(F.array(*[F.struct(F.lit(k).alias("field_key"), v.alias("value")) for k, v in value.items()])).alias("f")).select("parcel_id", "f.*").where("value is not null")
+    return reconcile.successors(live_facts.select("parcel_id", "field_key", "id", "value"), fresh, ["parcel_id", "field_key"], F.lit("world_change")), matched
+
+
+def load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str, run: str, run_ts: Column) -> None:
+    """features(feature_id, apn, geometry as JSON text): parcels, identities, their facts and gaps.
+
+    A feature id may not be blank or repeated: the load fails. A feature that comes back is the
+    same parcel. An identifier that can no longer be resolved ends without a successor and
+    leaves a coverage gap; one that can be again is a new fact and closes the gap.
+    """
+    ids = features.select(F.trim("feature_id").alias("feature_id"))
+    if not ids.where("feature_id is null or feature_id = ''").isEmpty() or not validate.unique(ids, ["feature_id"]).isEmpty():
+        raise ValueError("a feature id is blank or repeated")
+    changes = parcel_changes(features, ledger.identity().where(F.col("source_id") == source), ledger.live(source, "apn", "geometry", "source_parcel_id"), source)
+    events, here, steps, unresolved, lost = (changes[k] for k in ("events", "here", "steps", "unresolved", "lost"))
     own = ledger.exceptions().where("detector_key = 'parcels'")
     still = unresolved.select("parcel_id", "reason").unionByName(lost.select("parcel_id", "reason"))
     away = ledger.identity().where((F.col("source_id") == source) & F.col("retired_at").isNotNull()).join(here.select("source_feature_id"), "source_feature_id", "left_anti")
@@ -155,14 +186,7 @@ def load_zoning(ledger: Ledger, polygons: DataFrame, parcel_source: str, source:
     It depends on parcels too, so an unchanged snapshot is reconciled all the same.
     """
     points = centroids(ledger, parcel_source)
-    pairs = spatial.point_in_polygon(points, polygons, "geom", "x", "y", cell=0.01)
-    found = spatial.classify(points, pairs, "parcel_id", "zone_id", "zoning", "abbreviation")
-    text = lambda c: F.to_json(F.struct(F.col(c).alias("v")))
-    fresh = found.where("kind = 'matched'").select("parcel_id", F.explode(F.array(F.struct(F.lit("zoning.district").alias("field_key"), text("zoning").alias("value")), F.struct(F.lit("zoning.district_verbatim").alias("field_key"), F.when(F.col("abbreviation").isNotNull(), text("abbreviation")).alias("value")))).alias("f")).select("parcel_id", "f.*").where("value is not null")
-    live = ledger.live(source, "zoning.district", "zoning.district_verbatim").select("parcel_id", "field_key", "id", "value")
-    steps = reconcile.successors(live, fresh, ["parcel_id", "field_key"], F.lit("unknown"))
-    reason = F.when(F.col("kind") == "zero_match", "no_containing_district").when(F.col("kind") == "ambiguous", "multiple_containing_districts").when(F.col("anomaly_ids").isNotNull(), "multiple_polygons_agree")
-    told = found.withColumn("reason", reason).where("reason is not null").select("parcel_id", "reason", F.lit("cross_source").alias("type"), F.when(F.col("kind") == "matched", "info").otherwise("warning").alias("severity"))
+    steps, told = zoning_changes(points, polygons, ledger.live(source, "zoning.district", "zoning.district_verbatim"))
     own = ledger.exceptions().where("detector_key = 'zoning'")
     closed = exc.close_resolved(own, told, run_ts)
     opened = exc.not_yet_open(told, own)
@@ -175,14 +199,7 @@ def load_permits(ledger: Ledger, permits: DataFrame, parcel_source: str, source:
     A parcel that drops out of the list turns from true to false, once; its earliest date ends.
     """
     apn = ledger.live(parcel_source, "apn").select("parcel_id", F.get_json_object("value", "$.v").alias("apn"))
-    matched = match.match(permits, "raw", apn, "apn", "parcel_id")
-    first = matched.where("cls = 'matched'").groupBy(F.col("entity").alias("parcel_id")).agg(F.min("issued").alias("first"))
-    active = ledger.live(source, "permits.active").select("parcel_id", F.col("value").alias("was"))
-    both = active.join(first, "parcel_id", "full")
-    value = {"permits.active": F.when(F.col("first").isNotNull(), "true").otherwise("false"), "permits.series_earliest": F.to_json(F.struct(F.col("first").cast("string").alias("v")))}
-    fresh = both.select("parcel_id", F.explode(F.array(*[F.struct(F.lit(k).alias("field_key"), (v if k == "permits.active" else F.when(F.col("first").isNotNull(), v)).alias("value")) for k, v in value.items()])).alias("f")).select("parcel_id", "f.*").where("value is not null")
-    live = ledger.live(source, *value).select("parcel_id", "field_key", "id", "value")
-    steps = reconcile.successors(live, fresh, ["parcel_id", "field_key"], F.lit("world_change"))
+    steps, matched = permit_changes(permits, apn, ledger.live(source, "permits.active", "permits.series_earliest"))
     ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"job_run": _job(ledger, "permits", source, snapshot, run, run_ts, permits.count())}, _checks)
     return match.breakdown(matched, "issued")
 
