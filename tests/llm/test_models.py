@@ -133,6 +133,67 @@ def test_op10(spark, frame):
     assert toxicity.op10(df.limit(0), labels).count() == 0
 
 
+def test_quality_scores_by_hand():
+    """The sum of one looked-up value per feature and pair, for each row by itself."""
+    g = np.random.default_rng(2)
+    x = g.random((500, 4))
+    model = quality.AdditiveModel().fit(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0.8).astype(float), rounds=20)
+    bin_of = lambda edges, v: sum(v >= e for e in edges)
+    for row, got in zip(x[:50], model.score(x[:50])):
+        total = model.base + sum(t[bin_of(e, v)] for e, t, v in zip(model.edges, model.tables, row))
+        total += sum(t[bin_of(ei, row[i])][bin_of(ej, row[j])] for i, j, ei, ej, t in model.pairs)
+        assert got == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_toxicity_scores_by_hand():
+    """One word after the other through both layers, attention over their states, the largest window counts."""
+    g = np.random.default_rng(4)
+    net = toxicity.Network(VOCABULARY[:50], g.standard_normal(50), g.standard_normal(toxicity.GRAMS), kind=np.float64)
+    sig, p, h = lambda v: 1 / (1 + np.exp(-v)), net.p, toxicity.HIDDEN
+    texts = [prose(n) for n in (3, 40, 100)] + [""]
+
+    def of_word(w):
+        at, _ = toxicity.grams([w])
+        return np.concatenate([p["word"][net.index.get(w, 0)], p["char"][at].max(0)])
+
+    def window(ws):
+        states = {}
+        for side in "fb":
+            now, states[side] = np.zeros(h), []
+            for w in ws if side == "f" else ws[::-1]:
+                i, r = of_word(w) @ p[f"W{side}"] + p[f"b{side}"], now @ p[f"U{side}"]
+                z, reset = sig(i[:h] + r[:h]), sig(i[h : 2 * h] + r[h : 2 * h])
+                now = now + z * (np.tanh(i[2 * h :] + reset * r[2 * h :]) - now)
+                states[side].append(now)
+        both = np.concatenate([states["f"], states["b"][::-1]], axis=1)
+        e = np.exp(np.tanh(both @ p["A"]) @ p["v"])
+        return (e / e.sum()) @ both @ p["o"] + p["c"][0]
+
+    got = toxicity.Scorer(net).score(texts)
+    for t, s in zip(texts[:3], got):
+        ws = toxicity.words(t)
+        starts = range(0, max(1, len(ws) - toxicity.WINDOW + toxicity.STRIDE), toxicity.STRIDE)
+        assert s == pytest.approx(sig(max(window(ws[k : k + toxicity.WINDOW]) for k in starts)), rel=1e-4)
+
+
+def test_stages_take_any_rows(spark, tmp_path, frame):
+    """Nulls, empty and repeated rows, ties, clashing names and empty tables go through every stage."""
+    import corpus_pipeline
+
+    text = [prose(40) for _ in range(6)]
+    docs = [(i, text[i % 6], "en", "s", 1) for i in range(24)] + [(None, None, None, None, None), (None, text[0], None, "s", 0), (1, "", "en", None, 0), (1, text[1], "en", "s", 1), (2, "w " * 30_000, "en", "t", 5)]
+    df = frame(docs, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *[f"{k} as {c}" for k, c in enumerate(("id", "_key", "_text", "_row", "size", "copies", "fp", "node", "_uid", "_at"))])
+    frame([(i, 1, 0) for i in range(9)] + [(None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    frame([(1, prose(30)), (None, None), (2, "")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns[: len(df.columns)] == df.columns, name
+        assert {r.doc_id for r in out.select("doc_id").collect()} <= {r[0] for r in docs}, name
+        assert stage(spark, df.limit(0), str(tmp_path)).count() == 0, name
+    kept = corpus_pipeline.STAGES[1][1](spark, df, str(tmp_path)).collect()
+    assert len({r.text for r in kept}) == len(kept)
+
+
 def test_pipeline(spark, tmp_path, frame):
     import corpus_pipeline
 
