@@ -9,6 +9,7 @@ All file access goes through Hadoop's file system, so the root may be in any sto
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -17,10 +18,13 @@ from pyspark.sql import functions as F
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint in the folder that spark.checkpoint.dir names; a temporary one only if it is unset."""
+    """Checkpoint in the folder that spark.checkpoint.dir names; a local session without it gets a temporary one, a cluster's is refused."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
 
