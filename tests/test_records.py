@@ -1,0 +1,100 @@
+"""Snapshots, files and job runs as committed; normal forms; validity of rings."""
+
+import json
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from factspan.functions import geo
+from factspan.operators import compose, golden, measure
+from factspan.plans.pipelines import SCHEMAS, Ledger, load_parcels, record_files, record_job, record_snapshots
+from factspan.sources.tables import Tables
+
+def at():
+    return F.lit("2026-01-01 00:00:00").cast("timestamp")
+
+
+@pytest.fixture
+def ledger(spark):
+    return Ledger(Tables(spark, tempfile.mkdtemp(prefix="spark-"), SCHEMAS), "here")
+
+
+def test_snapshots_are_recorded_once(spark, ledger):
+    fetched = spark.createDataFrame([("s", "sha256/aa", "a" * 64, "text/html", 5, 200)], "source_id string, object_uri string, content_hash string, media_type string, byte_size long, http_status int").withColumn("fetched_at", at())
+    record_snapshots(ledger, fetched, "1")
+    record_snapshots(ledger, fetched, "2")
+    assert [r.id for r in ledger.tables.read("snapshot").collect()] == ["s:sha256:" + "a" * 64]
+    with pytest.raises(ValueError):
+        record_snapshots(ledger, fetched.withColumn("byte_size", F.lit(-1)), "3")
+
+
+def test_job_runs_have_every_state(ledger):
+    record_job(ledger, "fetch", "s", "running", "1", at())
+    record_job(ledger, "fetch", "s", "failed", "2", at(), at(), metrics={"b": 1, "a": {"n": 2}})
+    rows = {r.id: r for r in ledger.tables.read("job_run").collect()}
+    assert rows["1"].finished_at is None and rows["2"].metrics == '{"a": {"n": 2}, "b": 1}'
+    with pytest.raises(ValueError):
+        record_job(ledger, "fetch", "s", "succeeded", "3", at())
+
+
+def test_files_are_composed_partial_or_refused_and_recorded(spark, ledger):
+    frame = spark.createDataFrame
+    requests = frame([("r1", "p1", "city"), ("r2", "p2", "city"), ("r3", "p3", "city"), ("r4", "none", "city")], "request_id string, parcel_id string, election string")
+    parcels = frame([(p, "j") for p in ("p1", "p2", "p3")], "id string, jurisdiction_id string")
+    current = frame([("f1", "p1", "apn", '"1"', "open"), ("f2", "p1", "zone", '"R"', "cc"), ("f3", "p2", "zone", '"R"', "open"), ("f4", "p3", "apn", '"3"', "shut")], "id string, parcel_id string, field_key string, value string, licence_id string").withColumn("snapshot_id", F.lit("s"))
+    channels = frame([("open", "api", True), ("cc", "api", True), ("shut", "api", False)], "licence_id string, channel string, allowed boolean")
+    places = frame([("j", True)], "id string, geometry_tier_enabled boolean")
+    rule = frame([("j", "r", 2)], "jurisdiction_id string, rule_key string, version int").withColumns({"effective_from": at(), "effective_to": F.lit(None).cast("timestamp")})
+    need = frame([("apn", True, False)], "field_key string, required_for_file boolean, phase1_deferred boolean")
+    licences = frame([("cc", "attribution", "by them")], "id string, restriction string, attribution_text string")
+    files, links = compose.compose(requests, parcels, current, channels, places, rule, at(), {"city": "r"}, "api", need, licences)
+    got = {r.request_id: r for r in files.collect()}
+    assert {k: r.status for k, r in got.items()} == {"r1": "composed", "r2": "partial", "r3": "refused", "r4": None}
+    told = json.loads(got["r1"].payload)
+    assert told["attribution"] == ["by them"] and told["facts"] == {"apn": '"1"', "zone": '"R"'} and list(got["r2"].unmet_fields) == ["apn"]
+    record_files(ledger, files, links, "1", at(), at())
+    kept = ledger.tables.read("property_file").collect()
+    use = ledger.tables.read("property_file_fact").groupBy("use").count().collect()
+    assert len(kept) == 3 and dict(map(tuple, use)) == {"rendered": 3, "input": 1}
+
+
+def test_a_feature_seen_again_is_touched(spark, ledger):
+    shape = json.dumps({"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]})
+    for n, ids in enumerate((("1", "2"), ("1",))):
+        rows = spark.createDataFrame([(i, i + "00", shape) for i in ids], "feature_id string, apn string, geometry string")
+        load_parcels(ledger, rows, "src", f"snap{n}", str(n), F.lit(f"2026-01-0{n + 1}").cast("timestamp"))
+    seen = {r.source_feature_id: r for r in ledger.identity().collect()}
+    assert seen["1"].last_seen_snapshot_id == "snap1" and seen["1"].first_seen_snapshot_id == "snap0" and seen["1"].retired_at is None
+    assert seen["2"].last_seen_snapshot_id == "snap0" and seen["2"].retired_snapshot_id == "snap1"
+
+
+def test_normal_form():
+    a, b = "0A" * 4 + "-0000-0000-0000-" + "1" * 12, "0b" * 4 + "-0000-0000-0000-" + "2" * 12
+    got = golden.normal_form({"z": [b, {"x": a.lower()}], "a": a, "at": "2026-01-01T10:00:00Z and 2026-01-02 11:00", "n": [2, None, 1]})
+    assert got == {"a": "<UUID:1>", "at": "<TIME> and <TIME>", "n": [1, 2, None], "z": ["<UUID:2>", {"x": "<UUID:1>"}]}
+
+
+def test_first_within_by_hand(spark, frame):
+    import random
+
+    r = random.Random(1)
+    requests = [(i, r.randint(0, 3), r.randint(0, 30)) for i in range(60)]
+    later = [(100 + i, r.randint(0, 3), r.randint(0, 30)) for i in range(40)]
+    got = dict(map(tuple, measure.first_within(frame(requests, "q long, u int, t int"), frame(later, "e long, u int, t int"), "u", "t", "q", "e", F.lit(3)).collect()))
+    for q, u, t in requests:
+        hits = [(t2, e) for e, u2, t2 in later if u2 == u and t <= t2 < t + 3]
+        assert got[q] == (min(hits)[1] if hits else None)
+
+
+SQUARE = [[0, 0], [9, 0], [9, 9], [0, 9], [0, 0]]
+inner = lambda x, d: [[x, x], [x + d, x], [x + d, x + d], [x, x + d], [x, x]]
+
+
+@pytest.mark.parametrize("rings, fault", [
+    ([SQUARE], None), ([SQUARE, inner(2, 2)], None), ([SQUARE, inner(0, 2)], "rings_cross"), ([SQUARE, inner(8, 4)], "rings_cross"), ([SQUARE, inner(20, 2)], "hole_outside_shell"),
+    ([SQUARE, [[0, 5], [3, 4], [3, 6], [0, 5]]], None), ([[[0, 0], [9, 0], [9, 9], [4, 0], [0, 9], [0, 0]]], "self_intersection"), ([[[0, 0], [9, 0], [5, 0], [5, 5], [0, 0]]], "self_intersection"),
+    ([SQUARE[:-1]], "ring_not_closed"), ([SQUARE[:2]], "too_few_points"),
+])
+def test_validity_of_rings(rings, fault):
+    assert geo._fault([rings]) == fault
