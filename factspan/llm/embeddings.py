@@ -7,17 +7,22 @@ within r of the range that the cell's members span, and if it is within r of the
 between the two pivots; exactly then it is copied there. So every vector meets all its partners
 in its own cell, cells join without each other, and the links of a vector are counted at home.
 
-Copies collapse first, so the join sees each distinct vector once, with its number of copies. A
-cell's members are taken in blocks of ``BLOCK``; Spark sorts each block's members before the
-vectors that visit it, and the visitors stream past: memory is one block and one batch, however
-full a cell is. Single precision only preselects, by a margin over its rounding error; every link
-is decided in double precision. A block gives back counts and links that connect what it found
-connected, at most one per visitor and member, never all pairs of a group.
-
-The pivots (at most ``pivots``, a parameter) are the only vectors that the driver sees. How much
-is copied depends on the data: clustered vectors stay near home, while directions without any
-structure in many dimensions are within reach of most cells, and their join tends to n * n / 2
-products, done as matrix products. Caps would lose links, so there are none.
+Cells are split again by pivots of their own, members and visitors alike, until they hold
+``SPREAD`` blocks of ``BLOCK`` members at most, so the number of pivots grows with the vectors and
+no table of all pivots exists: a cell's pivots and ranges travel in front of its rows, once for
+each ``64 * BLOCK`` members. A cell that its pivots can't split (many vectors of one direction), or
+that is still full after ``levels``, is joined in as many blocks as it needs, each met by all its rows.
+
+Copies collapse first, so the join sees each distinct vector once, with its number of copies.
+Spark sorts each block's members before the vectors that visit it, and the visitors stream past:
+memory is one block and one batch, however full a cell is. Single precision only preselects, by a
+margin over its rounding error; every link is decided in double precision. A block gives back
+counts and links that connect what it found connected, at most one per visitor and member, never
+all pairs of a group.
+
+No vector comes to the driver. How much is copied depends on the data: clustered vectors stay near
+home, while directions without any structure in many dimensions are within reach of most cells, and
+their join tends to n * n / 2 products, done as matrix products. Caps would lose links, so there are none.
 
 Vectors that are null, empty, zero, or hold a null or non-finite component, link with nothing and
 are components of their own, as are rows with a null id (their component is null). Vectors of
@@ -27,15 +32,18 @@ different lengths never link. Repeated ids count once for each row. Empty tables
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from factspan.llm.common import connected_components, cut
 
 BLOCK = 4096
+#: A cell of so many blocks is joined as it is.
+SPREAD = 4
 _MARGIN = 1e-4
 
 
@@ -70,69 +78,122 @@ def distinct_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.where(ok).groupBy(v.alias("v")).agg(F.min(key).alias("rep"), F.count("*").alias("n")).select("rep", "n", "v")
 
 
-def _find_pivots(vectors: DataFrame, pivots: int, cell: int) -> dict[int, np.ndarray]:
-    """Unit vectors by length: a share of the vectors picked by hash, ``pivots`` at most in all."""
-    n = vectors.count()
-    k = max(1, min(pivots, -(-n // cell)))
-    rows = vectors.orderBy(F.xxhash64("v")).limit(k).select("v").collect()
-    found: dict[int, list] = {}
-    for r in rows:
-        found.setdefault(len(r.v), []).append(r.v)
-    return {d: _unit(np.array(x, float)) for d, x in found.items()}
-
-
-def links(vectors: DataFrame, cos: float = 0.9, pivots: int = 256, cell: int = BLOCK) -> DataFrame:
-    """(kind, a, b): kind 0: vector ``a`` has links with ``b`` rows; kind 1: vectors a and b link."""
-    pivot, r = _find_pivots(vectors, pivots, cell), float(np.sqrt(2 - 2 * cos)) + 1e-9
-
-    def ranges(batches):
-        """(length, cell, members and [lo, hi] to each pivot) of a part of the vectors."""
-        seen: dict[tuple[int, int], list] = {}
-        for b, u in _by_length(batches, 2):
-            p = pivot.get(u.shape[1])
-            d = _distances(u, p) if p is not None else np.zeros((len(u), 1))
-            home = d.argmin(1)
-            for c in np.unique(home):
-                own, (n, lo, hi) = d[home == c], seen.get((u.shape[1], int(c)), (0, np.inf, -np.inf))
-                seen[u.shape[1], int(c)] = (n + len(own), np.minimum(lo, own.min(0)), np.maximum(hi, own.max(0)))
-        for (d, c), (n, lo, hi) in seen.items():
-            yield pa.RecordBatch.from_pydict({"d": pa.array([d] * len(lo), pa.int32()), "c": pa.array([c] * len(lo), pa.int32()), "p": pa.array(range(len(lo)), pa.int32()), "n": pa.array([n] * len(lo), pa.int64()), "lo": lo, "hi": hi})
-
-    parts = vectors.mapInArrow(ranges, "d int, c int, p int, n long, lo double, hi double")
-    spans: dict[int, dict[int, tuple]] = {}
-    # at most pivots ** 2 rows
-    for x in parts.groupBy("d", "c", "p").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("d", "c", "p").collect():
-        n, lo, hi = spans.setdefault(x.d, {}).setdefault(x.c, (x.n, [], []))
-        lo.append(x.lo)
-        hi.append(x.hi)
-    first, total = {}, 0
-    for d, cells in spans.items():
-        for c, (n, _, _) in cells.items():
-            first[d, c] = (total, -(-n // BLOCK))
-            total += first[d, c][1]
-
-    def deal(batches):
-        """Each vector to its block (visit 0) and to the other blocks where it may have partners (visit 1)."""
-        for b, u in _by_length(batches, 2):
-            d, p = u.shape[1], pivot.get(u.shape[1])
-            dist = _distances(u, p) if p is not None else np.zeros((len(u), 1))
-            home, reps = dist.argmin(1), b.column(0).to_numpy()
-            mixed = (reps.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-            for c, (_, lo, hi) in spans[d].items():
-                near = ((dist >= np.array(lo) - r) & (dist <= np.array(hi) + r)).all(1)
+_ROW = "cell string, m long, stuck boolean, visit int, rep long, n long, v "
+
+
+def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[int, np.ndarray], dict[int, dict], pa.RecordBatch]]:
+    """Sorted rows of groups, each with its cell, the cell's pivots and its spans, which stand before its rows."""
+    now, pivot, spans = None, {}, {}
+    for b in batches:
+        names, kinds = np.array(b.column(0).to_pylist(), dtype=object), b.column(1).to_numpy()
+        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]) | (kinds[1:] != kinds[:-1])) + 1).tolist(), len(names)] if len(names) else []
+        for s, e in pairwise(cuts):
+            part = b.slice(s, e - s)
+            if names[s] != now:
+                now, pivot, spans = names[s], {}, {}
+            if kinds[s] == 0:
+                for x in part.column(4).to_pylist():
+                    pivot.setdefault(len(x), []).append(x)
+            elif kinds[s] == 1:
+                for at, d, w, m in zip(*(part.column(c).to_pylist() for c in (2, 3, 4, 6)), strict=True):
+                    spans.setdefault(d, {})[at] = (m, *np.split(np.array(w), 2))
+            else:
+                pivot = {d: _unit(np.array(x)) if isinstance(x, list) else x for d, x in pivot.items()}
+                yield part.column(5)[0].as_py(), pivot, spans, part.select(range(5, 12))
+
+
+def _reach(pivot: dict[int, np.ndarray], u: np.ndarray) -> np.ndarray:
+    p = pivot.get(u.shape[1])
+    return np.zeros((len(u), 1)) if p is None else _distances(u, p)
+
+
+def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cell, size, at, m, lo, hi): members that a pivot is nearest to, and the range of their distances to each pivot."""
+    seen: dict[tuple[int, int], tuple] = {}
+
+    def told(cell):
+        for (d, c), (m, lo, hi) in seen.items():
+            yield pa.RecordBatch.from_pylist([{"cell": cell, "size": d, "at": c, "m": m, "lo": lo.tolist(), "hi": hi.tolist()}], schema=pa.schema([("cell", pa.string()), ("size", pa.int32()), ("at", pa.int32()), ("m", pa.int64()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))]))
+        seen.clear()
+
+    now = None
+    for cell, pivot, _, rows in _in_groups(batches):
+        if cell != now:
+            yield from told(now)
+            now = cell
+        for _, u in _by_length([rows], 6):
+            dist = _reach(pivot, u)
+            home = dist.argmin(1)
+            for c in np.unique(home).tolist():
+                own, (m, lo, hi) = dist[home == c], seen.get((u.shape[1], c), (0, np.inf, -np.inf))
+                seen[u.shape[1], c] = (m + len(own), np.minimum(lo, own.min(0)), np.maximum(hi, own.max(0)))
+    yield from told(now)
+
+
+def _deal(batches: Iterator[pa.RecordBatch], r: float) -> Iterator[pa.RecordBatch]:
+    """Each row to the cell of its nearest pivot, and as a visitor to the others where it may have partners."""
+    for cell, pivot, spans, rows in _in_groups(batches):
+        for b, u in _by_length([rows], 6):
+            d, p, dist = u.shape[1], pivot.get(u.shape[1]), _reach(pivot, u)
+            cells = spans.get(d, {})  # a length that only visitors have meets nobody
+            if not cells:
+                continue
+            at = np.array(sorted(cells))
+            home = at[dist[:, at].argmin(1)]
+            visit, was = b.column(3).to_numpy(), b.column(1).to_numpy()
+            nearest = dist[np.arange(len(u)), home] ** 2
+            for c, (m, lo, hi) in cells.items():
+                near = home == c
                 if p is not None:
-                    apart = np.maximum(np.linalg.norm(p[home] - p[c], axis=1), 1e-12)
-                    near &= (home == c) | (dist[:, c] ** 2 - dist[np.arange(len(u)), home] ** 2 <= 2 * apart * r + 1e-9)
-                at, blocks = first[d, c]
-                own = (mixed % np.uint64(blocks)).astype(np.int64)
-                for k in range(blocks):
-                    rows = np.flatnonzero(near)
-                    if len(rows):
-                        taken = b.take(pa.array(rows))
-                        visit = np.where((home[rows] == c) & (own[rows] == k), 0, 1).astype(np.int32)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), at + k, np.int32)), pa.array(visit), *taken.columns], names=["block", "visit", "rep", "n", "v"])
-
-    dealt = vectors.mapInArrow(deal, f"block int, visit int, rep long, n long, v {vectors.schema['v'].dataType.simpleString()}")
+                    near |= dist[:, c] ** 2 - nearest <= 2 * np.linalg.norm(p[home] - p[c], axis=1) * r + 1e-7
+                k = np.flatnonzero(near)
+                k = k[(home[k] == c) | ((dist[k] >= lo - r) & (dist[k] <= hi + r)).all(1)]
+                if len(k):
+                    taken, n = b.take(pa.array(k)), len(k)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([f"{cell}/{d}.{c}"] * n), pa.array(np.full(n, m, np.int64)), pa.array(was[k] == m), pa.array(np.where((home[k] == c) & (visit[k] == 0), 0, 1).astype(np.int32)), *taken.columns[4:]],
+                        names=["cell", "m", "stuck", "visit", "rep", "n", "v"],
+                    )
+
+
+def _split(rows: DataFrame, r: float, pivots: int, block: int) -> DataFrame:
+    """Rows of full cells in the cells of those cells' own pivots."""
+    many, k = F.ceil(F.col("m") / (64 * block)), F.least(F.lit(pivots), F.ceil(F.col("m") / block))
+    salts = F.explode(F.sequence(F.lit(0).cast("long"), many - 1))
+    share = F.pmod(F.xxhash64("v"), F.lit(1 << 40)) / float(1 << 40)  # a few times as many as needed, before any sorting
+    order = Window.partitionBy("cell").orderBy(F.xxhash64("v"), "rep")
+    picked = rows.where("visit = 0").where(share * F.col("m") < 4 * k).withColumn("at", F.row_number().over(order) - 1).where(F.col("at") < k)
+    empty = [F.lit(None).cast(t).alias(c) for c, t in (("visit", "int"), ("rep", "long"), ("n", "long"), ("v", rows.schema["v"].dataType))]
+    group = lambda salt: F.concat_ws("#", "cell", salt)
+    heads = picked.select("cell", "m", "at", F.col("v").cast("array<double>").alias("w"), salts.alias("salt")).select(group("salt").alias("grp"), F.lit(0).alias("kind"), "at", F.lit(0).alias("size"), "w", "cell", "m", F.lit(False).alias("stuck"), *empty)
+    body = rows.select(group(F.pmod(F.xxhash64("rep"), many)).alias("grp"), F.lit(2).alias("kind"), F.lit(0).alias("at"), F.lit(0).alias("size"), F.lit(None).cast("array<double>").alias("w"), "cell", "m", "stuck", "visit", "rep", "n", "v")
+    in_order = lambda df: df.repartition("grp").sortWithinPartitions("grp", "kind", "at")
+    found = in_order(heads.unionByName(body.where("visit = 0"))).mapInArrow(_ranges, "cell string, size int, at int, m long, lo array<double>, hi array<double>")
+    one = found.select("cell", "size", "at", "m", F.posexplode(F.arrays_zip("lo", "hi"))).groupBy("cell", "size", "at", "pos").agg(F.sum("m").alias("m"), F.min("col.lo").alias("lo"), F.max("col.hi").alias("hi"))
+    side = lambda c: F.transform("x", lambda x: x[c])
+    spans = one.groupBy("cell", "size", "at").agg(F.max("m").alias("own"), F.array_sort(F.collect_list(F.struct("pos", "lo", "hi"))).alias("x")).withColumn("w", F.concat(side("lo"), side("hi")))
+    wide = cut(spans.select("cell", "size", "at", "own", "w"), narrow=True)
+    parent = wide.groupBy("cell").agg(F.sum("own").alias("m"))
+    told = wide.join(parent, "cell").select("cell", "size", "at", "own", "w", salts.alias("salt")).select(group("salt").alias("grp"), F.lit(1).alias("kind"), "at", "size", "w", "cell", F.col("own").alias("m"), F.lit(False).alias("stuck"), *empty)
+    return in_order(heads.unionByName(told).unionByName(body)).mapInArrow(lambda b: _deal(b, r), _ROW + rows.schema["v"].dataType.simpleString())
+
+
+def links(vectors: DataFrame, cos: float = 0.9, pivots: int = 256, block: int = BLOCK, spread: int = SPREAD, levels: int = 8) -> DataFrame:
+    """(kind, a, b): kind 0: vector ``a`` has links with ``b`` more rows; kind 1: vectors a and b link."""
+    r = float(np.sqrt(2 - 2 * cos)) + 1e-7
+    full = (F.col("m") > spread * block) & ~F.col("stuck")
+    rows = vectors.select(F.size("v").cast("string").alias("cell"), F.lit(vectors.count()).cast("long").alias("m"), F.lit(False).alias("stuck"), F.lit(0).alias("visit"), "rep", "n", "v")
+    ready = []  # a table of several lengths counts them together here, and each length alone from the first level on
+    for _ in range(levels):
+        if rows.where(full).isEmpty():
+            break
+        ready.append(rows.where(~full))
+        rows = cut(_split(rows.where(full), r, pivots, block))
+    for part in ready:
+        rows = rows.unionByName(part)
+    blocks = F.greatest(F.ceil(F.col("m") / block), F.lit(1))
+    dealt = rows.select("cell", "visit", "rep", "n", "v", F.pmod(F.xxhash64("rep"), blocks).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("k"))
+    dealt = dealt.select(F.concat_ws("#", "cell", "k").alias("block"), F.when(F.col("k") == F.col("own"), F.col("visit")).otherwise(1).alias("visit"), "rep", "n", "v")
     found = dealt.repartition("block").sortWithinPartitions("block", "visit").mapInArrow(lambda b: _join(b, cos), "kind int, a long, b long")
     return cut(found)
 
@@ -162,11 +223,15 @@ def _join(batches: Iterator[pa.RecordBatch], cos: float) -> Iterator[pa.RecordBa
                     if len(roots) > 1:
                         block["root"][np.isin(block["root"], roots)] = roots[0]
 
+    def gathered(block, least=1):
+        if block and len(block.get("edges", ())) >= least:
+            yield packed(1, *zip(*block["edges"], strict=True))
+            block["edges"] = []
+
     def done(block):
         if block and "unit" in block:
             yield packed(0, block["rep"], block["met"])
-            if block["edges"]:
-                yield packed(1, *zip(*block["edges"], strict=True))
+            yield from gathered(block)
 
     def begin(block):
         block["rep"], block["n"], x = (np.concatenate(y) for y in zip(*block["parts"], strict=True))
@@ -177,9 +242,9 @@ def _join(batches: Iterator[pa.RecordBatch], cos: float) -> Iterator[pa.RecordBa
 
     now, block = None, None
     for b in batches:
-        ids = b.column(0).to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(ids)) + 1).tolist(), len(ids)] if len(ids) else []
-        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+        ids = np.array(b.column(0).to_pylist(), dtype=object)
+        cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)] if len(ids) else []
+        for s, e in pairwise(cuts):
             part = b.slice(s, e - s)
             if ids[s] != now:
                 if block and "unit" not in block and block["parts"]:
@@ -195,6 +260,7 @@ def _join(batches: Iterator[pa.RecordBatch], cos: float) -> Iterator[pa.RecordBa
                 if "unit" not in block:
                     begin(block)
                 meet(block, rep[m:], n[m:], x[m:])
+                yield from gathered(block, 1 << 16)
     if block and "unit" not in block and block["parts"]:
         begin(block)
     yield from done(block)

@@ -177,19 +177,38 @@ def brute_vectors(rows, cos=0.9):
     return sorted((keys[i], int(counts[i]), least[part[i]]) for i in range(len(rows)))
 
 
-@pytest.mark.parametrize("cell, block", [(4096, 4096), (12, 5)])
-def test_op5(spark, frame, monkeypatch, cell, block):
-    monkeypatch.setattr(embeddings, "BLOCK", block)
+@pytest.mark.parametrize("options", [{}, {"block": 5, "spread": 1}, {"block": 3, "spread": 2, "pivots": 2}, {"block": 3, "spread": 1, "levels": 0}])
+def test_op5(spark, frame, options):
     g = np.random.default_rng(3)
     centers = g.standard_normal((8, 6))
     vectors = [(c + s * g.standard_normal(6)).astype(np.float32).tolist() for c in centers for s in (0.05, 0.1, 0.2, 0.4, 0.4)]
     rows = list(enumerate(vectors + [vectors[0], vectors[0], [0.0] * 6, [], None, [1.0, None, 0.0, 0.0, 0.0, 0.0], [float("nan")] * 6, [float("inf")] + [0.0] * 5, [1.0, 2.0], [2.0, 4.0], [1e-30] * 6, [3e30] * 6]))
     df = frame([(k, None if v is None else v, 0) for k, v in rows], "vec_id long, embedding array<float>, label int").selectExpr("*", "1 as rep", "2 as n")
-    got = sorted((r.vec_id, r.n_links, r.component, r.kept) for r in embeddings.near_duplicates(df, cell=cell).collect())
+    got = sorted((r.vec_id, r.n_links, r.component, r.kept) for r in embeddings.near_duplicates(df, **options).collect())
     assert [x[:3] for x in got] == brute_vectors(rows) and all(x[3] == (x[0] == x[2]) for x in got)
     assert embeddings.op5(df.limit(0)).count() == 0
 
 
+def test_cells_split_level_by_level(spark, frame):
+    """Pivots of pivots find what brute force finds; clustered vectors go to few cells, a single direction to blocks."""
+    g = np.random.default_rng(5)
+    spread = [(c + 0.15 * g.standard_normal(8)).tolist() for c in g.standard_normal((60, 8)) for _ in range(6)]
+    one_way = [[float(k), 0.0, float(k), 0.0, 0.0, 0.0, 0.0, 0.0] for k in range(1, 60)]
+    rows = list(enumerate(spread + one_way))
+    df = frame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component) for r in embeddings.near_duplicates(df, block=8, spread=2, pivots=3).collect())
+    assert got == brute_vectors(rows)
+    tight = frame([(i, (c + 1e-3 * g.standard_normal(32)).tolist()) for i, c in enumerate(np.repeat(g.standard_normal((64, 32)), 8, axis=0))], "vec_id long, embedding array<double>")
+    classes = embeddings.distinct_vectors(tight, "vec_id", "embedding").selectExpr("''  as cell", "512L as m", "false as stuck", "0 as visit", "rep", "n", "v")
+    r = float(np.sqrt(0.02)) + 1e-7
+    first = embeddings._split(classes, r, 8, 32)
+    second = embeddings._split(first, r, 8, 8)
+    for level in (first, second):
+        assert level.where("visit = 0").count() == level.where("visit = 0").select("rep").distinct().count() == 512
+        assert level.count() < 512 * level.select("cell").distinct().count() / 4
+    assert second.select("cell").distinct().count() > first.select("cell").distinct().count()
+
+
 def test_op6(spark, frame):
     docs = [(i, "x" * (i % 7) + "é") for i in range(333)] + [(None, None), (None, None), (5, "again"), (5, "again"), (-1, None)]
     df = frame(docs, "doc_id long, text string").selectExpr("*", "7 as shard", "'s' as slot", "1 as _slot", "2 as _row")
