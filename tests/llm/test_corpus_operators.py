@@ -205,8 +205,8 @@ def test_cells_split_level_by_level(spark, frame):
     second = embeddings._split(first, r, 8, 8)
     for level in (first, second):
         assert level.where("visit = 0").count() == level.where("visit = 0").select("rep").distinct().count() == 512
-        assert level.count() < 512 * level.select("cell").distinct().count() / 4
-    assert second.select("cell").distinct().count() > first.select("cell").distinct().count()
+    few, many = first.select("cell").distinct().count(), second.select("cell").distinct().count()
+    assert many > 2 * few and second.count() < 2 * first.count() < 512 * few  # copies don't grow with the cells
 
 
 def test_op6(spark, frame):
