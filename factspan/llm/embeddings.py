@@ -10,7 +10,7 @@ in its own cell, cells join without each other, and the links of a vector are co
 Cells are split again by pivots of their own, members and visitors alike, until they hold
 ``SPREAD`` blocks of ``BLOCK`` members at most, so the number of pivots grows with the vectors and
 no table of all pivots exists: a cell's pivots and ranges travel in front of its rows, once for
-each ``64 * BLOCK`` members. A cell that its pivots can't split (many vectors of one direction), or
+each ``4 * BLOCK`` members. A cell that its pivots can't split (many vectors of one direction), or
 that is still full after ``levels``, is joined in as many blocks as it needs, each met by all its rows.
 
 Copies collapse first, so the join sees each distinct vector once, with its number of copies.
@@ -158,7 +158,7 @@ def _deal(batches: Iterator[pa.RecordBatch], r: float) -> Iterator[pa.RecordBatc
 
 def _split(rows: DataFrame, r: float, pivots: int, block: int) -> DataFrame:
     """Rows of full cells in the cells of those cells' own pivots."""
-    many, k = F.ceil(F.col("m") / (64 * block)), F.least(F.lit(pivots), F.ceil(F.col("m") / block))
+    many, k = F.ceil(F.col("m") / (4 * block)), F.least(F.lit(pivots), F.ceil(F.col("m") / block))
     salts = F.explode(F.sequence(F.lit(0).cast("long"), many - 1))
     share = F.pmod(F.xxhash64("v"), F.lit(1 << 40)) / float(1 << 40)  # a few times as many as needed, before any sorting
     order = Window.partitionBy("cell").orderBy(F.xxhash64("v"), "rep")
