@@ -14,7 +14,8 @@ from factspan.operators.current import top_per_group
 _SUBJECT = ["parcel_id", "reason"]
 
 
-def _same(a: str, b: str, keys: list[str]) -> Column:
+def same(a: str, b: str, keys: list[str]) -> Column:
+    """Whether the rows aliased ``a`` and ``b`` agree in all keys, null with null."""
     out = F.lit(True)
     for k in keys:
         out = out & F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}"))
@@ -29,7 +30,7 @@ def close_resolved(exceptions: DataFrame, still_true: DataFrame, at: Column, by:
     """Open exceptions whose condition no longer holds, cleared. Nothing still true clears all."""
     keys = subject or _SUBJECT
     open_ = exceptions.where("outcome = 'open'").alias("e")
-    gone = open_.join(still_true.select(*keys).distinct().alias("s"), _same("e", "s", keys), "left_anti")
+    gone = open_.join(still_true.select(*keys).distinct().alias("s"), same("e", "s", keys), "left_anti")
     return _resolved(gone, "condition_cleared", at, by)
 
 
@@ -52,14 +53,14 @@ def relink_reopened(open_: DataFrame, closed: DataFrame, order: list[Column], su
     """(key, prior): open exceptions with the latest closed one of the same subject; first-ever ones are absent."""
     keys = subject or _SUBJECT
     last = latest_closed(closed, keys, order).select(*keys, F.col(key).alias("prior")).alias("c")
-    return open_.alias("o").join(last, _same("o", "c", keys)).select(f"o.{key}", "prior")
+    return open_.alias("o").join(last, same("o", "c", keys)).select(f"o.{key}", "prior")
 
 
 def not_yet_open(found: DataFrame, exceptions: DataFrame, subject: list[str] | None = None) -> DataFrame:
     """Findings without an open exception of the same subject; of several alike, one."""
     keys = subject or _SUBJECT
     open_ = exceptions.where("outcome = 'open'").select(*keys).distinct().alias("x")
-    return found.dropDuplicates(keys).alias("f").join(open_, _same("f", "x", keys), "left_anti")
+    return found.dropDuplicates(keys).alias("f").join(open_, same("f", "x", keys), "left_anti")
 
 
 def fold(events: DataFrame, key: str = "id", order: str = "event_at") -> DataFrame:

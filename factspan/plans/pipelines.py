@@ -17,7 +17,7 @@ from factspan.operators import exceptions as exc
 from factspan.operators import match, reconcile, spatial, validate
 from factspan.operators.current import live
 from factspan.plans.vocabulary import ENUMS, EXCEPTION, FACT, IDENTITY
-from factspan.sources.tables import Tables, facts_as_of_now
+from factspan.sources.tables import Tables, cut, facts_as_of_now
 
 SCHEMAS = {
     "fact": FACT,
@@ -77,20 +77,48 @@ class Ledger:
 
 
 def _apply(ledger: Ledger, steps: DataFrame, source: str, snapshot: str, run_ts: Column) -> dict[str, DataFrame]:
-    """Facts and supersessions that ``successors``' instructions ask for."""
+    """Facts and supersessions that ``successors``' instructions ask for, decided once."""
+    steps = cut(steps)
     return {
         "fact": ledger.new_facts(steps.where("action in ('insert', 'supersede')"), source, snapshot, run_ts),
         "fact_supersession": steps.where("action in ('supersede', 'retire')").select(F.col("live_id").alias("fact_id"), run_ts.alias("superseded_at")),
     }
 
 
+def _touched(fact: DataFrame, staged: DataFrame, ended: DataFrame) -> DataFrame:
+    """Committed facts that a run may bring into conflict: of an entity and field it writes, or named by it."""
+    keys = staged.select("parcel_id", "field_key").distinct()
+    ids = staged.select(F.col("supersedes_fact_id").alias("id")).union(ended.select("fact_id")).where("id is not null").distinct()
+    return fact.join(keys, ["parcel_id", "field_key"], "left_semi").unionByName(fact.join(keys, ["parcel_id", "field_key"], "left_anti").join(ids, "id", "left_semi"))
+
+
+def _breaches(fact: DataFrame, events: DataFrame) -> dict[str, DataFrame]:
+    open_ = exc.fold(events).where("outcome = 'open'")
+    return {
+        "one_current_per_source": validate.one_current_per_source(fact), "fact_checks": validate.fact_checks(fact), "supersession_targets": validate.supersession_targets(fact),
+        "one_open_exception": validate.one_open_exception(open_, ["parcel_id", "detector_key"], F.col("reason")),
+    }
+
+
+def audit_ledger(tables: Tables) -> dict[str, DataFrame]:
+    """The breaches of every rule over all committed rows: none in a ledger that only loads have written."""
+    return _breaches(facts_as_of_now(tables.read("fact"), tables.read("fact_supersession")), tables.read("exception_event"))
+
+
 def _checks(tables: Tables, run: str) -> list[str]:
-    """What must hold over committed rows and this run's together."""
-    runs = [*tables.runs(), run]
-    fact = facts_as_of_now(tables.read("fact", runs), tables.read("fact_supersession", runs))
-    found = {"one_current_per_source": validate.one_current_per_source(fact), "fact_checks": validate.fact_checks(fact), "supersession_targets": validate.supersession_targets(fact)}
-    open_ = exc.fold(tables.read("exception_event", runs)).where("outcome = 'open'")
-    found["one_open_exception"] = validate.one_open_exception(open_, ["parcel_id", "detector_key"], F.col("reason"))
+    """What a run breaks: its rows together with the committed rows it touches, so that only these are shuffled.
+
+    Rows that no run touches were checked when they, or what they are at odds with, were committed.
+    """
+    staged, ended = tables.read("fact", [run]), tables.read("fact_supersession", [run])
+    rows = _touched(tables.read("fact"), staged, ended).unionByName(staged)
+    log = tables.read("fact_supersession", [*tables.runs(), run])
+    fact = cut(facts_as_of_now(rows, log.join(rows.select(F.col("id").alias("fact_id")), "fact_id", "left_semi")))
+    told, subject = tables.read("exception_event", [run]), ["parcel_id", "detector_key"]
+    events = tables.read("exception_event").alias("e").join(told.select(*subject).distinct().alias("s"), exc.same("e", "s", subject), "left_semi").unionByName(told)
+    found = _breaches(fact, events)
+    # what an earlier fact supersedes was checked with its own run and need not be among these rows
+    found["supersession_targets"] = found["supersession_targets"].join(staged.select("id"), "id", "left_semi")
     return [name for name, rows in found.items() if not rows.isEmpty()]
 
 
@@ -150,6 +178,7 @@ def load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str
     ids = features.select(F.trim("feature_id").alias("feature_id"))
     if not ids.where("feature_id is null or feature_id = ''").isEmpty() or not validate.unique(ids, ["feature_id"]).isEmpty():
         raise ValueError("a feature id is blank or repeated")
+    known = ledger.tables.runs()
     changes = parcel_changes(features, ledger.identity().where(F.col("source_id") == source), ledger.live(source, "apn", "geometry", "source_parcel_id"), source)
     events, here, steps, unresolved, lost = (changes[k] for k in ("events", "here", "steps", "unresolved", "lost"))
     own = ledger.exceptions().where("detector_key = 'parcels'")
@@ -170,7 +199,7 @@ def load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str
         "exception_event": ledger.exception_events(opened, closed, "parcels", "1", run_ts),
         "job_run": _job(ledger, "parcels", source, snapshot, run, run_ts, features.count()),
     }
-    ledger.tables.commit(run, tables, _checks)
+    ledger.tables.commit(run, tables, _checks, known)
 
 
 def centroids(ledger: Ledger, source: str) -> DataFrame:
@@ -185,12 +214,12 @@ def load_zoning(ledger: Ledger, polygons: DataFrame, parcel_source: str, source:
 
     It depends on parcels too, so an unchanged snapshot is reconciled all the same.
     """
-    points = centroids(ledger, parcel_source)
+    known, points = ledger.tables.runs(), centroids(ledger, parcel_source)
     steps, told = zoning_changes(points, polygons, ledger.live(source, "zoning.district", "zoning.district_verbatim"))
     own = ledger.exceptions().where("detector_key = 'zoning'")
     closed = exc.close_resolved(own, told, run_ts)
     opened = exc.not_yet_open(told, own)
-    ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"exception_event": ledger.exception_events(opened, closed, "zoning", "2", run_ts), "job_run": _job(ledger, "zoning", source, snapshot, run, run_ts, polygons.count())}, _checks)
+    ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"exception_event": ledger.exception_events(opened, closed, "zoning", "2", run_ts), "job_run": _job(ledger, "zoning", source, snapshot, run, run_ts, polygons.count())}, _checks, known)
 
 
 def load_permits(ledger: Ledger, permits: DataFrame, parcel_source: str, source: str, snapshot: str, run: str, run_ts: Column) -> DataFrame:
@@ -198,9 +227,10 @@ def load_permits(ledger: Ledger, permits: DataFrame, parcel_source: str, source:
 
     A parcel that drops out of the list turns from true to false, once; its earliest date ends.
     """
+    known = ledger.tables.runs()
     apn = ledger.live(parcel_source, "apn").select("parcel_id", F.get_json_object("value", "$.v").alias("apn"))
     steps, matched = permit_changes(permits, apn, ledger.live(source, "permits.active", "permits.series_earliest"))
-    ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"job_run": _job(ledger, "permits", source, snapshot, run, run_ts, permits.count())}, _checks)
+    ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"job_run": _job(ledger, "permits", source, snapshot, run, run_ts, permits.count())}, _checks, known)
     return match.breakdown(matched, "issued")
 
 

@@ -33,11 +33,45 @@ def verify(spark: SparkSession, path: str, content_hash: str, byte_size: int) ->
         raise ValueError(f"{path} is not the snapshot that was recorded")
 
 
-def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """A FeatureCollection as rows: the properties named in the DDL, geometry_type, coordinates (JSON)."""
-    schema = f"features array<struct<properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>>"
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
-    return rows.select(F.inline("features")).select("properties.*", F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("coordinates"))
+def verified_text(spark: SparkSession, path: str, content_hash: str, byte_size: int) -> DataFrame:
+    """(value): the file as text, from the very bytes that are hashed; the scan fails if they aren't the snapshot's."""
+    right = (F.col("content_hash") == content_hash) & (F.col("byte_size") == byte_size)
+    fault = F.raise_error(F.concat("path", F.lit(" is not the snapshot that was recorded"))).cast("string")
+    return fetched(spark, path).select(F.when(right, F.decode("content", "UTF-8")).otherwise(fault).alias("value"))
+
+
+def _feature(properties: str) -> str:
+    return f"struct<properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>"
+
+
+def _columns(feature: DataFrame) -> DataFrame:
+    return feature.select("properties.*", F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("coordinates"))
+
+
+def read_geojson(spark: SparkSession, path: str, properties: str, content_hash: str | None = None, byte_size: int | None = None) -> DataFrame:
+    """A FeatureCollection as rows: the properties named in the DDL, geometry_type, coordinates (JSON).
+
+    One document is one task, and at most 2 GB; ``read_features`` takes large ones apart. With a
+    hash and size the bytes parsed are the bytes verified.
+    """
+    text = spark.read.text(path, wholetext=True) if content_hash is None else verified_text(spark, path, content_hash, byte_size)
+    document = F.from_json(F.regexp_replace("value", r"^\x{feff}", ""), f"features array<{_feature(properties)}>", {"mode": "FAILFAST"})
+    return _columns(text.select(F.inline(document["features"])))
+
+
+def read_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
+    """The same rows from files with each feature on a line of its own, split among as many tasks as the size asks for.
+
+    Such are newline-delimited features, with or without record separators, and collections that
+    were written a feature a line. Lines that name no feature open or close the collection; a line
+    with a part of a feature, or with a whole collection, is an error.
+    """
+    line = F.regexp_replace("value", r"^[\x{feff}\x1e\s]+|[\s,]+$", "")
+    rows = spark.read.text(path).select(line.alias("line")).where(F.col("line").rlike(r'"type"\s*:\s*"Feature"'))
+    kind = _feature(properties).replace("struct<", "struct<type:string,", 1)
+    parsed = rows.select(F.inline(F.from_json(F.concat(F.lit("["), "line", F.lit("]")), f"array<{kind}>", {"mode": "FAILFAST"})))
+    whole = F.when(F.col("type") == "Feature", True).otherwise(F.raise_error(F.lit("a line holds something else than whole features")).cast("boolean"))
+    return _columns(parsed.where(whole))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -52,8 +52,14 @@ class Tables:
             return self.spark.createDataFrame([], self.schemas[table])
         return self.spark.read.schema(self.schemas[table]).parquet(*there)
 
-    def commit(self, run: str, rows: dict[str, DataFrame], validate: Callable[[Tables, str], list[str]] | None = None) -> None:
-        """Write all rows of a run, validate them with what is committed, and make them visible."""
+    def commit(self, run: str, rows: dict[str, DataFrame], validate: Callable[[Tables, str], list[str]] | None = None, known: list[str] | None = None) -> None:
+        """Write all rows of a run, validate them with what is committed, and make them visible.
+
+        known: the runs that were read to make the rows, those of now if not told. A run that was
+        committed meanwhile by another writer makes this one fail before it is visible; a scheduler
+        still has to keep two writers from setting their markers at the same moment.
+        """
+        known = self.runs() if known is None else known
         if run in self.runs():
             raise ValueError(f"run {run} is committed already")
         for table, df in rows.items():
@@ -62,6 +68,8 @@ class Tables:
         broken = validate(self, run) if validate else []
         if broken:
             raise ValueError(f"run {run} breaks {', '.join(broken)}")
+        if self.runs() != known:
+            raise ValueError(f"run {run} has not seen {', '.join(sorted(set(self.runs()) - set(known)))}")
         marker, waiting = self._path(f"{self.root}/_commits/{run}.json"), self._path(f"{self.root}/_commits/.{run}.tmp")
         out = self._fs.create(waiting, True)
         out.write(bytearray(json.dumps({"run": run, "tables": sorted(rows)}).encode()))

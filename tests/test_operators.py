@@ -132,10 +132,31 @@ def test_file_sources(spark, tmp_path):
     (tmp_path / "z.geojson").write_text(json.dumps(shape))
     f = snapshot.read_geojson(spark, f"{tmp_path}/z.geojson", "FACILITYID string, ZONING string")
     assert f.select("FACILITYID", F.size(geo.multipolygon(F.col("geometry_type"), F.col("coordinates"))).alias("n")).first().asDict() == {"FACILITYID": "z1", "n": 1}
+    raw = (tmp_path / "z.geojson").read_bytes()
+    known = hashlib.sha256(raw).hexdigest()
+    assert snapshot.read_geojson(spark, f"{tmp_path}/z.geojson", "FACILITYID string, ZONING string", known, len(raw)).collect() == f.collect()
+    for h, n in ((known, len(raw) + 1), ("0" * 64, len(raw))):
+        with pytest.raises(Exception, match="not the snapshot"):
+            snapshot.read_geojson(spark, f"{tmp_path}/z.geojson", "FACILITYID string", h, n).collect()
     props = spark.createDataFrame([('{"a":1,"b":null}',), ('{"a":2}',)], "props string")
     assert {r.k: (r.present, r.null_values) for r in snapshot.property_keys(props, "props").collect()} == {"a": (2, 0), "b": (1, 1)}
 
 
+def test_features_by_line(spark, tmp_path):
+    one = lambda k: json.dumps({"type": "Feature", "properties": {"id": f"z{k}"}, "geometry": {"type": "Point", "coordinates": [k, 0]}})
+    (tmp_path / "a").write_text('{"type": "FeatureCollection",\n"features": [\n' + ",\n".join(map(one, range(5))) + "\n]}\n")
+    (tmp_path / "b").write_text("\ufeff" + "\n".join("\x1e" + one(k) for k in range(5)))
+    (tmp_path / "c").write_text(",".join(map(one, range(5))))
+    for f in "abc":
+        rows = snapshot.read_features(spark, f"{tmp_path}/{f}", "id string").orderBy("id").collect()
+        assert [(r.id, r.geometry_type, r.coordinates) for r in rows] == [(f"z{k}", "Point", f"[{k},0]") for k in range(5)]
+    (tmp_path / "d").write_text('{"type": "FeatureCollection", "features": [' + one(1) + "]}")
+    (tmp_path / "e").write_text(json.dumps(json.loads(one(1)), indent=1))
+    for f in "de":
+        with pytest.raises(Exception):
+            snapshot.read_features(spark, f"{tmp_path}/{f}", "id string").collect()
+
+
 def test_conformance_and_drift(spark, frame):
     pack = frame([("j.a", "active", "open", ["x", "y"]), ("j.b", "active", "gone", ["x"]), ("j.c", "deferred", "open", ["x"]), ("us.z", "active", "open", ["x"]), ("j.d", "active", "open", ["q"])], "id string, phase_status string, licence string, supplies array<string>")
     registry = frame([("j.a", "other", ["x", "w"]), ("j.b", "gone", ["x"])], "id string, licence_id string, expected_fields array<string>")

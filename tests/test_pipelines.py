@@ -127,6 +127,28 @@ def test_a_run_commits_once_and_only_whole(ledger, spark):
     assert ledger.facts().count() == before
 
 
+def test_a_run_is_held_against_the_rows_it_touches(ledger):
+    from factspan.plans.pipelines import _checks, _touched, audit_ledger
+
+    assert all(x.isEmpty() for x in audit_ledger(ledger.tables).values())
+    live = ledger.facts().where("superseded_at is null").limit(1)
+    with pytest.raises(ValueError, match="one_current_per_source"):
+        ledger.tables.commit("9-two", {"fact": live.withColumn("id", F.lit("y")), "fact_supersession": ledger.tables.read("fact_supersession").limit(0)}, _checks)
+    heir = live.withColumns({"supersedes_fact_id": F.lit("nowhere"), "supersession_reason": F.lit("unknown"), "field_key": F.lit("other"), "id": F.lit("z")})
+    with pytest.raises(ValueError, match="supersession_targets"):
+        ledger.tables.commit("9-heir", {"fact": heir}, _checks)
+    key = live.first()
+    near = _touched(ledger.tables.read("fact"), live, ledger.tables.read("fact_supersession").limit(0))
+    assert {(r.parcel_id, r.field_key) for r in near.collect()} == {(key.parcel_id, key.field_key)}
+
+
+def test_a_run_that_missed_another_fails(ledger):
+    known = ledger.tables.runs()
+    with pytest.raises(ValueError, match="has not seen"):
+        ledger.tables.commit("9-late", {}, None, known[:-1])
+    assert ledger.tables.runs() == known
+
+
 def test_reload_changes_nothing(ledger, spark):
     before = ledger.facts().count(), ledger.exceptions().count()
     load_parcels(ledger, spark.createDataFrame(A, "feature_id string, apn string, geometry string"), "src.parcels", "snap3", "3-1", F.lit("2026-01-04").cast("timestamp"))
