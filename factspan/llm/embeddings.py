@@ -135,9 +135,7 @@ def _deal(batches: Iterator[pa.RecordBatch], r: float) -> Iterator[pa.RecordBatc
     for cell, pivot, spans, rows in _in_groups(batches):
         for b, u in _by_length([rows], 6):
             d, p, dist = u.shape[1], pivot.get(u.shape[1]), _reach(pivot, u)
-            cells = spans.get(d, {})  # a length that only visitors have meets nobody
-            if not cells:
-                continue
+            cells = spans[d]  # a cell has members, all of one length
             at = np.array(sorted(cells))
             home = at[dist[:, at].argmin(1)]
             visit, was = b.column(3).to_numpy(), b.column(1).to_numpy()
@@ -173,7 +171,7 @@ def _split(rows: DataFrame, r: float, pivots: int, block: int) -> DataFrame:
     side = lambda c: F.transform("x", lambda x: x[c])
     spans = one.groupBy("cell", "size", "at").agg(F.max("m").alias("own"), F.array_sort(F.collect_list(F.struct("pos", "lo", "hi"))).alias("x")).withColumn("w", F.concat(side("lo"), side("hi")))
     wide = cut(spans.select("cell", "size", "at", "own", "w"), narrow=True)
-    parent = wide.groupBy("cell").agg(F.sum("own").alias("m"))
+    parent = rows.where("visit = 0").groupBy("cell").agg(F.max("m").alias("m"))  # the number that rows choose their group by
     told = wide.join(parent, "cell").select("cell", "size", "at", "own", "w", salts.alias("salt")).select(group("salt").alias("grp"), F.lit(1).alias("kind"), "at", "size", "w", "cell", F.col("own").alias("m"), F.lit(False).alias("stuck"), *empty)
     return in_order(heads.unionByName(told).unionByName(body)).mapInArrow(lambda b: _deal(b, r), _ROW + rows.schema["v"].dataType.simpleString())
 
