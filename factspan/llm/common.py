@@ -79,3 +79,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     # a star forest now: every edge leads to the root
     roots = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
+
+
+def crc32_sql(number: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a number's decimal digits: two table steps of four bits for each byte."""
+    table, c = [], lambda y: f"xor(({y}) >> 4, tbl[(({y}) & 15) + 1])"
+    for k in range(16):
+        for _ in range(4):
+            k = (k >> 1) ^ (0xEDB88320 if k & 1 else 0)
+        table.append(k)
+    step = c(c("xor(c, b)")).replace("tbl", f"cast({table} as bigint[])")
+    return f"xor(list_reduce(list_transform(string_split(cast({number} as varchar), ''), lambda x: cast(ord(x) as bigint)), lambda c, b: {step}, cast(4294967295 as bigint)), 4294967295)"
