@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factspan.llm import chat, decontaminate, embeddings, extract, mixing, pii, quality, runs, sharding, simhash, toxicity
+from factspan.llm import chat, decontaminate, embeddings, extract, licences, mixing, pii, quality, runs, sharding, simhash, toxicity
 from factspan.llm.common import table
 
 
@@ -23,8 +23,9 @@ def queries():
         "op9_decontaminate": lambda spark, sf_dir: decontaminate.op9(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
         "op10_toxicity": lambda spark, sf_dir: toxicity.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op11_periodic_runs": _over("documents", runs.op11),
+        "op12_licence_scan": _over("documents", licences.op12),
     }
 
 
 def oracle_sql():
-    return {"op1_chat_format": chat.ORACLE, "op5_embedding_near_dups": embeddings.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op11_periodic_runs": runs.ORACLE}
+    return {"op1_chat_format": chat.ORACLE, "op5_embedding_near_dups": embeddings.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op11_periodic_runs": runs.ORACLE, "op12_licence_scan": licences.ORACLE}
