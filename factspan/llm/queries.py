@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from factspan.llm import chat, decontaminate, embeddings, extract, licences, mixing, pii, quality, runs, sharding, simhash, toxicity
+from factspan.llm import chat, decontaminate, embeddings, extract, licences, mixing, pii, quality, runs, sharding, simhash, toxicity, trie
 from factspan.llm.common import table
 
 
@@ -24,8 +24,9 @@ def queries():
         "op10_toxicity": lambda spark, sf_dir: toxicity.op10(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
         "op11_periodic_runs": _over("documents", runs.op11),
         "op12_licence_scan": _over("documents", licences.op12),
+        "op13_prefix_trie": _over("conversations", trie.op13),
     }
 
 
 def oracle_sql():
-    return {"op1_chat_format": chat.ORACLE, "op5_embedding_near_dups": embeddings.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op11_periodic_runs": runs.ORACLE, "op12_licence_scan": licences.ORACLE}
+    return {"op1_chat_format": chat.ORACLE, "op5_embedding_near_dups": embeddings.ORACLE, "op9_decontaminate": decontaminate.ORACLE, "op11_periodic_runs": runs.ORACLE, "op12_licence_scan": licences.ORACLE, "op13_prefix_trie": trie.ORACLE}
