@@ -46,6 +46,19 @@ def register_visible_at(spark: SparkSession, view: str, name: str) -> None:
     spark.sql(f"create or replace temporary function {name}(at timestamp_ntz) returns table ({shape}) return select v.* from {view} v where {seen}")
 
 
+def register_current_at(spark: SparkSession, view: str, ranks: str, name: str, entity: str = "parcel_id", field: str = "field_key", fact: str = "id", confidence: str = "confidence_ord") -> None:
+    """A temporary SQL table function ``name(at)``: of a view of facts, the one that holds for each entity and field, as ``current_fact_at`` ranks them.
+
+    ``ranks`` is a view of (field_key, source_id, rank).
+    """
+    register_visible_at(spark, view, f"{name}_visible")
+    columns = spark.table(view).columns
+    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.table(view).schema)
+    order = f"coalesce(r.rank, {UNRANKED}), v.`{confidence}`, v.retrieved_at desc nulls last, v.`{fact}`"
+    ranked = f"select v.*, row_number() over (partition by v.`{entity}`, v.`{field}` order by {order}) _nth from {name}_visible(at) v left join {ranks} r on r.source_id = v.source_id and r.field_key = v.`{field}`"
+    spark.sql(f"create or replace temporary function {name}(at timestamp_ntz) returns table ({shape}) return select {', '.join(f'`{c}`' for c in columns)} from ({ranked}) where _nth = 1")
+
+
 def with_context(current: DataFrame, parcels: DataFrame, snapshots: DataFrame, entity: str = "parcel_id") -> DataFrame:
     """Current facts with their parcel, and with their snapshot where they have one (derived facts don't)."""
     where = parcels.select(F.col("id").alias(entity), *[F.col(c).alias(f"parcel_{c}") for c in parcels.columns if c != "id"])

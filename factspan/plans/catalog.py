@@ -12,15 +12,17 @@ from factspan.plans.registry import query
 from factspan.sources import snapshot
 
 
-def queries():
-    from factspan.plans import ledger_queries  # noqa: F401  registers its queries
+def _register():
+    from factspan.plans import ledger_queries, source_queries, state_queries  # noqa: F401  each registers its queries
+
 
+def queries():
+    _register()
     return dict(registry.QUERIES)
 
 
 def oracle_sql():
-    from factspan.plans import ledger_queries  # noqa: F401
-
+    _register()
     return dict(registry.SQL)
 
 
@@ -34,11 +36,14 @@ _VISIBLE = """recorded_at <= timestamp '2024-01-20' and (superseded_at is null o
  and effective_from <= timestamp '2024-01-20' and (effective_to is null or effective_to > timestamp '2024-01-20')"""
 
 
-@query(f"""with {_LEDGER},
+current_fact_at_sql = f"""with {_LEDGER},
  srank as (select 's0' source_id, 'click' field_key, 2 rnk union all select 's1','click',1 union all select 's2','view',1),
  r as (select l.*, row_number() over (partition by l.entity_id,l.field_key order by coalesce(s.rnk,999), l.conf_ord, l.retrieved_at desc nulls last, l.fact_id) rn
  from ledger l left join srank s on s.source_id=l.source_id and s.field_key=l.field_key where {_VISIBLE})
- select entity_id,field_key,fact_id,value from r where rn=1""")
+ select entity_id,field_key,fact_id,value from r where rn=1"""
+
+
+@query(current_fact_at_sql)
 def current_fact_at(spark, read):
     at = F.lit("2024-01-20").cast("timestamp_ntz")
     found = current.current_fact_at(t.ledger(read("events")), t.source_ranks(spark), at, entity="entity_id", fact="fact_id", confidence="conf_ord")

@@ -7,16 +7,19 @@ exactly where the successor begins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from factspan.functions import geo
 from factspan.functions.json import payload_text
 from factspan.functions.text import canonical_identifier, derived_id, snapshot_id, unresolvable_reason
 from factspan.operators import exceptions as exc
-from factspan.operators import match, reconcile, spatial, validate
+from factspan.operators import match, reconcile, spatial, stored, validate
 from factspan.operators.current import live
-from factspan.plans.vocabulary import ENUMS, EXCEPTION, FACT, IDENTITY
+from factspan.plans.vocabulary import ENUMS, EXCEPTION, FACT, IDENTITY, ordinal
 from factspan.sources.tables import Tables, cut, facts_as_of_now
 
 SCHEMAS = {
@@ -28,7 +31,10 @@ SCHEMAS = {
     "snapshot": "id string, source_id string, object_uri string, content_hash string, media_type string, byte_size long, http_status int, fetched_at timestamp",
     "property_file": "id string, parcel_id string, jurisdiction_id string, channel string, status string, composed_at timestamp, as_of timestamp, ruleset_version string, geometry_tier_used boolean, refusals string, payload string, payload_hash string, unmet_fields array<string>, election string",
     "property_file_fact": "property_file_id string, fact_id string, use string, parcel_id string",
-    "job_run": "id string, job_key string, source_id string, kind string, status string, started_at timestamp, finished_at timestamp, snapshot_id string, rows_in long, metrics string",
+    "job_run": "id string, job_key string, source_id string, kind string, status string, started_at timestamp, finished_at timestamp, snapshot_id string, rows_in long, error string, metrics string",
+    "current_fact": FACT + ", held boolean, event_at timestamp",
+    "fact_calendar": "parcel_id string, field_key string, at timestamp",
+    "refreshed_run": "run string",
 }
 
 
@@ -76,13 +82,40 @@ class Ledger:
         return shape(opened).unionByName(shape(closed.withColumn("event_at", run_ts)))
 
 
-def _apply(ledger: Ledger, steps: DataFrame, source: str, snapshot: str, run_ts: Column) -> dict[str, DataFrame]:
-    """Facts and supersessions that ``successors``' instructions ask for, decided once."""
-    steps = cut(steps)
+def _apply(ledger: Ledger, steps: DataFrame, source: str, snapshot: str, run_ts: Column, fields: tuple[str, ...]) -> tuple[dict[str, DataFrame], dict]:
+    """Facts, supersessions and coming dates that ``successors``' instructions ask for, decided once, and their counts."""
+    did = lambda action: F.col("action") == action
+    flags = {"inserted": did("insert"), "superseded": did("supersede"), "retired": did("retire"), "unchanged": did("keep")}
+    steps, counts = counted(steps, flags | {f"changed_fields/{f}": did("supersede") & (F.col("field_key") == f) for f in fields})
+    fact = ledger.new_facts(steps.where("action in ('insert', 'supersede')"), source, snapshot, run_ts)
     return {
-        "fact": ledger.new_facts(steps.where("action in ('insert', 'supersede')"), source, snapshot, run_ts),
+        "fact": fact,
         "fact_supersession": steps.where("action in ('supersede', 'retire')").select(F.col("live_id").alias("fact_id"), run_ts.alias("superseded_at")),
-    }
+        "fact_calendar": stored.calendar(fact, run_ts),
+    }, counts
+
+
+def counted(rows: DataFrame, flags: dict[str, Column]) -> tuple[DataFrame, dict]:
+    """``rows``, written once, and for how many of them each condition holds, observed in that very pass.
+
+    A name with a slash is a member of a nested object.
+    """
+    seen, out = Observation(), {}
+    rows = cut(rows.observe(seen, F.count("*").alias("rows"), *[F.count_if(c).alias(f"c{k}") for k, c in enumerate(flags.values())]))
+    for k, name in enumerate(flags):
+        group, _, member = name.rpartition("/")
+        (out.setdefault(group, {}) if group else out)[member] = seen.get[f"c{k}"]
+    return rows, out
+
+
+@contextmanager
+def recorded(ledger: Ledger, job: str, source: str, run: str, run_ts: Column) -> Iterator[None]:
+    """A run that fails leaves a row that says so, in a run of its own: nothing of the failed one becomes visible."""
+    try:
+        yield
+    except Exception as e:
+        record_job(ledger, job, source, "failed", f"{run}.failed", run_ts, F.greatest(run_ts, F.current_timestamp()), error=f"{type(e).__name__}: {e}"[:2000])
+        raise
 
 
 def _touched(fact: DataFrame, staged: DataFrame, ended: DataFrame) -> DataFrame:
@@ -122,8 +155,8 @@ def _checks(tables: Tables, run: str) -> list[str]:
     return [name for name, rows in found.items() if not rows.isEmpty()]
 
 
-def _job(ledger: Ledger, job: str, source: str, snapshot: str, run: str, run_ts: Column, rows_in: int) -> DataFrame:
-    return ledger.tables.spark.range(1).select(F.lit(run).alias("id"), F.lit(job).alias("job_key"), F.lit(source).alias("source_id"), F.lit("load").alias("kind"), F.lit("succeeded").alias("status"), run_ts.alias("started_at"), run_ts.alias("finished_at"), F.lit(snapshot).alias("snapshot_id"), F.lit(rows_in).cast("long").alias("rows_in"), F.lit(None).cast("string").alias("metrics"))
+def _job(ledger: Ledger, job: str, source: str, snapshot: str, run: str, run_ts: Column, rows_in: int, metrics: dict) -> DataFrame:
+    return ledger.tables.spark.range(1).select(F.lit(run).alias("id"), F.lit(job).alias("job_key"), F.lit(source).alias("source_id"), F.lit("load").alias("kind"), F.lit("succeeded").alias("status"), run_ts.alias("started_at"), run_ts.alias("finished_at"), F.lit(snapshot).alias("snapshot_id"), F.lit(rows_in).cast("long").alias("rows_in"), F.lit(None).cast("string").alias("error"), F.lit(payload_text(metrics)).alias("metrics"))
 
 
 def parcel_changes(features: DataFrame, identity: DataFrame, live_facts: DataFrame, source: str) -> dict[str, DataFrame]:
@@ -175,12 +208,23 @@ def load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str
     same parcel. An identifier that can no longer be resolved ends without a successor and
     leaves a coverage gap; one that can be again is a new fact and closes the gap.
     """
+    with recorded(ledger, "parcels", source, run, run_ts):
+        _load_parcels(ledger, features, source, snapshot, run, run_ts)
+
+
+def _load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str, run: str, run_ts: Column) -> None:
     ids = features.select(F.trim("feature_id").alias("feature_id"))
     if not ids.where("feature_id is null or feature_id = ''").isEmpty() or not validate.unique(ids, ["feature_id"]).isEmpty():
         raise ValueError("a feature id is blank or repeated")
     known = ledger.tables.runs()
     changes = parcel_changes(features, ledger.identity().where(F.col("source_id") == source), ledger.live(source, "apn", "geometry", "source_parcel_id"), source)
     events, here, steps, unresolved, lost = (changes[k] for k in ("events", "here", "steps", "unresolved", "lost"))
+    became = lambda *e: F.col("event").isin(*e)
+    problems = here.select("source_feature_id", "problem")
+    events, met = counted(events.join(problems, "source_feature_id", "left"), {
+        "new": became("new"), "seen": became("seen"), "reappeared": became("reappeared"), "disappeared": became("disappeared"),
+        "apn_resolvable": ~became("disappeared") & F.col("problem").isNull(), "apn_unresolvable": F.col("problem").isNotNull(),
+        **{f"apn_unresolvable_reasons/{r}": F.col("problem") == r for r in ("blank", "placeholder")}})
     own = ledger.exceptions().where("detector_key = 'parcels'")
     still = unresolved.select("parcel_id", "reason").unionByName(lost.select("parcel_id", "reason"))
     away = ledger.identity().where((F.col("source_id") == source) & F.col("retired_at").isNotNull()).join(here.select("source_feature_id"), "source_feature_id", "left_anti")
@@ -193,11 +237,12 @@ def load_parcels(ledger: Ledger, features: DataFrame, source: str, snapshot: str
     identity = identity.select(
         F.lit(source).alias("source_id"), "source_feature_id", "parcel_id", F.coalesce("first_seen_snapshot_id", F.lit(snapshot)).alias("first_seen_snapshot_id"), F.coalesce("first_seen_at", run_ts).alias("first_seen_at"),
         F.when(out, F.col("last_seen_snapshot_id")).otherwise(snapshot).alias("last_seen_snapshot_id"), F.when(out, F.col("last_seen_at")).otherwise(run_ts).alias("last_seen_at"), F.when(out, F.lit(snapshot)).alias("retired_snapshot_id"), F.when(out, run_ts).alias("retired_at"), F.when(out, F.lit("absent")).alias("retirement_reason"), run_ts.alias("event_at"))
-    tables = _apply(ledger, steps, source, snapshot, run_ts) | {
+    tables, counts = _apply(ledger, steps, source, snapshot, run_ts, ("apn", "geometry", "source_parcel_id"))
+    tables |= {
         "parcel": events.where("event = 'new'").select(F.col("parcel_id").alias("id"), F.lit(ledger.jurisdiction).alias("jurisdiction_id"), run_ts.alias("first_seen_at")),
         "identity_event": identity,
         "exception_event": ledger.exception_events(opened, closed, "parcels", "1", run_ts),
-        "job_run": _job(ledger, "parcels", source, snapshot, run, run_ts, features.count()),
+        "job_run": _job(ledger, "parcels", source, snapshot, run, run_ts, met["apn_resolvable"] + met["apn_unresolvable"], met | {"facts": counts}),
     }
     ledger.tables.commit(run, tables, _checks, known)
 
@@ -214,12 +259,22 @@ def load_zoning(ledger: Ledger, polygons: DataFrame, parcel_source: str, source:
 
     It depends on parcels too, so an unchanged snapshot is reconciled all the same.
     """
+    with recorded(ledger, "zoning", source, run, run_ts):
+        _load_zoning(ledger, polygons, parcel_source, source, snapshot, run, run_ts)
+
+
+def _load_zoning(ledger: Ledger, polygons: DataFrame, parcel_source: str, source: str, snapshot: str, run: str, run_ts: Column) -> None:
     known, points = ledger.tables.runs(), centroids(ledger, parcel_source)
+    polygons, n = counted(polygons, {"polygons": F.lit(True)})
     steps, told = zoning_changes(points, polygons, ledger.live(source, "zoning.district", "zoning.district_verbatim"))
+    reasons = ("no_containing_district", "multiple_containing_districts", "multiple_polygons_agree")
+    told, found = counted(told, {f"matches/{r}": F.col("reason") == r for r in reasons})
     own = ledger.exceptions().where("detector_key = 'zoning'")
     closed = exc.close_resolved(own, told, run_ts)
     opened = exc.not_yet_open(told, own)
-    ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"exception_event": ledger.exception_events(opened, closed, "zoning", "2", run_ts), "job_run": _job(ledger, "zoning", source, snapshot, run, run_ts, polygons.count())}, _checks, known)
+    tables, counts = _apply(ledger, steps, source, snapshot, run_ts, ("zoning.district", "zoning.district_verbatim"))
+    tables |= {"exception_event": ledger.exception_events(opened, closed, "zoning", "2", run_ts), "job_run": _job(ledger, "zoning", source, snapshot, run, run_ts, n["polygons"], found | {"facts": counts})}
+    ledger.tables.commit(run, tables, _checks, known)
 
 
 def load_permits(ledger: Ledger, permits: DataFrame, parcel_source: str, source: str, snapshot: str, run: str, run_ts: Column) -> DataFrame:
@@ -227,10 +282,17 @@ def load_permits(ledger: Ledger, permits: DataFrame, parcel_source: str, source:
 
     A parcel that drops out of the list turns from true to false, once; its earliest date ends.
     """
+    with recorded(ledger, "permits", source, run, run_ts):
+        return _load_permits(ledger, permits, parcel_source, source, snapshot, run, run_ts)
+
+
+def _load_permits(ledger: Ledger, permits: DataFrame, parcel_source: str, source: str, snapshot: str, run: str, run_ts: Column) -> DataFrame:
     known = ledger.tables.runs()
     apn = ledger.live(parcel_source, "apn").select("parcel_id", F.get_json_object("value", "$.v").alias("apn"))
     steps, matched = permit_changes(permits, apn, ledger.live(source, "permits.active", "permits.series_earliest"))
-    ledger.tables.commit(run, _apply(ledger, steps, source, snapshot, run_ts) | {"job_run": _job(ledger, "permits", source, snapshot, run, run_ts, permits.count())}, _checks, known)
+    matched, met = counted(matched, {f"rows/{c}": F.col("cls") == c for c in ("blank", "not_found", "ambiguous", "matched")})
+    tables, counts = _apply(ledger, steps, source, snapshot, run_ts, ("permits.active", "permits.series_earliest"))
+    ledger.tables.commit(run, tables | {"job_run": _job(ledger, "permits", source, snapshot, run, run_ts, sum(met["rows"].values()), met | {"facts": counts})}, _checks, known)
     return match.breakdown(matched, "issued")
 
 
@@ -250,11 +312,11 @@ def record_snapshots(ledger: Ledger, fetched: DataFrame, run: str) -> None:
     ledger.tables.commit(run, {"snapshot": reconcile.insert_if_absent(ledger.tables.read("snapshot"), rows, ["id"])}, lambda *_: [])
 
 
-def record_job(ledger: Ledger, job: str, source: str, status: str, run: str, started: Column, finished: Column | None = None, kind: str = "load", metrics: dict | None = None) -> None:
+def record_job(ledger: Ledger, job: str, source: str, status: str, run: str, started: Column, finished: Column | None = None, kind: str = "load", metrics: dict | None = None, error: str | None = None) -> None:
     """A run that began, was skipped or failed; what loads succeed is committed with their rows."""
     if status not in ENUMS["job_status"] or (status == "running") != (finished is None):
         raise ValueError("a run ends unless it is running")
-    row = ledger.tables.spark.range(1).select(F.lit(run).alias("id"), F.lit(job).alias("job_key"), F.lit(source).alias("source_id"), F.lit(kind).alias("kind"), F.lit(status).alias("status"), started.alias("started_at"), (F.lit(None) if finished is None else finished).alias("finished_at"), F.lit(payload_text(metrics) if metrics else None).alias("metrics"))
+    row = ledger.tables.spark.range(1).select(F.lit(run).alias("id"), F.lit(job).alias("job_key"), F.lit(source).alias("source_id"), F.lit(kind).alias("kind"), F.lit(status).alias("status"), started.alias("started_at"), (F.lit(None) if finished is None else finished).alias("finished_at"), F.lit(error).alias("error"), F.lit(payload_text(metrics) if metrics else None).alias("metrics"))
     ledger.tables.commit(run, {"job_run": _shaped(ledger, "job_run", row)}, lambda *_: [])
 
 
@@ -268,3 +330,28 @@ def record_files(ledger: Ledger, files: DataFrame, links: DataFrame, run: str, r
     if not broken.isEmpty():
         raise ValueError("a file breaks a rule of its table")
     ledger.tables.commit(run, rows, lambda *_: [])
+
+
+def refresh_current(ledger: Ledger, source_rank: DataFrame, run: str, now: Column) -> None:
+    """Bring the stored current facts up to ``now``.
+
+    Looked at again are the entities and fields of the facts and supersessions in runs that no
+    refresh has seen, and those with a date in the calendar since the last one. It is a run of its
+    own: where it fails, what the loads committed stays, and the next one finds the same runs.
+    """
+    with recorded(ledger, "current_fact", "ledger", run, now):
+        tables, known = ledger.tables, ledger.tables.runs()
+        seen = {r.run for r in tables.read("refreshed_run").collect()}  # a row per run
+        new = [r for r in known if r not in seen]
+        facts = ledger.facts()
+        ended = facts.join(tables.read("fact_supersession", new).select(F.col("fact_id").alias("id")), "id", "left_semi")
+        since = F.coalesce(F.lit(tables.read("current_fact").agg(F.max("event_at")).first()[0]), F.lit("0001-01-01")).cast("timestamp")
+        keys = [df.select("parcel_id", "field_key") for df in (tables.read("fact", new), ended, stored.due(tables.read("fact_calendar"), since, now))]
+        changed, met = counted(stored.refresh(facts, source_rank, keys[0].unionByName(keys[1]).unionByName(keys[2]), now, confidence=ordinal("confidence_level", F.col("confidence"))), {"held": F.col("held"), "none": ~F.col("held")})
+        rows = {"current_fact": changed, "refreshed_run": tables.spark.createDataFrame([(r,) for r in new], "run string"), "job_run": _job(ledger, "current_fact", "ledger", None, run, now, met["held"] + met["none"], met).withColumn("kind", F.lit("refresh"))}
+        tables.commit(run, rows, lambda *_: [], known)
+
+
+def stored_current(ledger: Ledger) -> DataFrame:
+    """The current facts as of the last refresh."""
+    return stored.latest(ledger.tables.read("current_fact"))

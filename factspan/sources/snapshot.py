@@ -40,23 +40,23 @@ def verified_text(spark: SparkSession, path: str, content_hash: str, byte_size:
     return fetched(spark, path).select(F.when(right, F.decode("content", "UTF-8")).otherwise(fault).alias("value"))
 
 
-def _feature(properties: str) -> str:
-    return f"struct<properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>"
+def feature_type(properties: str, *more: str) -> str:
+    return f"struct<{''.join(f'{m},' for m in more)}properties:struct<{properties}>,geometry:struct<type:string,coordinates:string>>"
 
 
-def _columns(feature: DataFrame) -> DataFrame:
+def feature_columns(feature: DataFrame) -> DataFrame:
     return feature.select("properties.*", F.col("geometry.type").alias("geometry_type"), F.col("geometry.coordinates").alias("coordinates"))
 
 
 def read_geojson(spark: SparkSession, path: str, properties: str, content_hash: str | None = None, byte_size: int | None = None) -> DataFrame:
     """A FeatureCollection as rows: the properties named in the DDL, geometry_type, coordinates (JSON).
 
-    One document is one task, and at most 2 GB; ``read_features`` takes large ones apart. With a
+    One document is one task, and at most 2 GB; ``geojson.read_collection`` takes large ones apart. With a
     hash and size the bytes parsed are the bytes verified.
     """
     text = spark.read.text(path, wholetext=True) if content_hash is None else verified_text(spark, path, content_hash, byte_size)
-    document = F.from_json(F.regexp_replace("value", r"^\x{feff}", ""), f"features array<{_feature(properties)}>", {"mode": "FAILFAST"})
-    return _columns(text.select(F.inline(document["features"])))
+    document = F.from_json(F.regexp_replace("value", r"^\x{feff}", ""), f"features array<{feature_type(properties)}>", {"mode": "FAILFAST"})
+    return feature_columns(text.select(F.inline(document["features"])))
 
 
 def read_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
@@ -68,10 +68,10 @@ def read_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
     """
     line = F.regexp_replace("value", r"^[\x{feff}\x1e\s]+|[\s,]+$", "")
     rows = spark.read.text(path).select(line.alias("line")).where(F.col("line").rlike(r'"type"\s*:\s*"Feature"'))
-    kind = _feature(properties).replace("struct<", "struct<type:string,", 1)
+    kind = feature_type(properties, "type:string")
     parsed = rows.select(F.inline(F.from_json(F.concat(F.lit("["), "line", F.lit("]")), f"array<{kind}>", {"mode": "FAILFAST"})))
     whole = F.when(F.col("type") == "Feature", True).otherwise(F.raise_error(F.lit("a line holds something else than whole features")).cast("boolean"))
-    return _columns(parsed.where(whole))
+    return feature_columns(parsed.where(whole))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
