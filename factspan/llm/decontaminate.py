@@ -20,8 +20,10 @@ number is within ``broadcast_seeds``; beyond it the token arrays are written onc
 position, seed) is shuffled, and hits find their texts again by row.
 
 Tokens are maximal runs of letters and digits, lower-cased. Items that differ in no token are
-searched once and reported together. Items of fewer than ``least`` tokens say nothing and are not
-searched; with a smaller ``least`` they are, those of under 5 tokens by all their positions. Null
+searched once and reported together. Items of fewer than ``least`` tokens say nothing (a word or two
+stands in most texts) and are not searched; ``unsearched`` lists them, and with a smaller ``least``
+they are searched too, those of under 5 tokens by all their positions. An ``agree`` under 0.8 is
+refused. Null
 or empty texts match nothing; a null item id is reported as null. Repeated rows each count. Long
 texts are exploded like others, and none is cut. Empty tables give an empty result.
 """
@@ -51,6 +53,11 @@ def items(benchmark: DataFrame, item: str = "item_id", text: str = "text", least
     return t.groupBy("_ih").agg(F.sort_array(F.collect_set("_item")).alias("_items")).withColumn("_id", F.xxhash64("_ih"))
 
 
+def unsearched(benchmark: DataFrame, item: str = "item_id", text: str = "text", least: int = 5) -> DataFrame:
+    """(item, n_tokens) of the items that have too few tokens to be searched."""
+    return benchmark.select(item, F.size(tokens(F.coalesce(F.col(text), F.lit("")))).alias("n_tokens")).where(F.col("n_tokens") < max(1, least))
+
+
 def _masks(sizes: list[int]) -> list[tuple[int, tuple[int, ...], int, int]]:
     """(tag, positions, least and most tokens of the items that are searched under it) for the lengths that occur."""
     plans = [(t, m, LONG, 1 << 30) for t, m in enumerate(MASKS)] if any(n >= LONG for n in sizes) else []
@@ -79,6 +86,8 @@ def contaminated(
     stretch: int = 20, agree: float = 0.8, least: int = 5, broadcast_seeds: int = 2_000_000,
 ) -> DataFrame:
     """One row per document that overlaps an item: key, items, n_items, best (share of the item's tokens that agree)."""
+    if agree < 0.8:
+        raise ValueError("the masks find every overlap of 0.8, not of less")
     found = items(benchmark, item, item_text, least)
     facts = found.agg(F.sum(F.size("_ih")), F.collect_set(F.least(F.size("_ih"), F.lit(LONG)))).first()  # ten lengths at most
     plans = _masks(facts[1] or []) or [(0, MASKS[0], LONG, 1 << 30)]

@@ -6,7 +6,9 @@ the number of blocks: paths of running text have long, punctuated blocks, paths
 ones. The ratios are smoothed over the sequence of blocks and fused into one weight, and paths
 whose weight exceeds a share of the page's spread are content. All of it is the answer, and with it
 the headings and short paragraphs in the smallest element around all of it, or in an <article> or
-<main> that holds nine tenths of it.
+<main> that holds nine tenths of it. In an <article> or <main> lists of links come too (sources,
+say); around other elements they don't, for they may be menus. A page that has no text outside of
+links gives what its <article> or <main> holds.
 
 What a page says about its own elements is one more factor of a path's weight, not a verdict:
 navigation, footers, asides and elements whose class, id or role speaks of menus, adverts,
@@ -187,6 +189,18 @@ def path_weights(found: list[tuple[_Block, str]]) -> dict[tuple[str, float], flo
     return {p: p[1] * sqrt(w * max(w, sum(smooth[p]) / len(smooth[p]))) for p, w in own.items()}
 
 
+def _said_to_be(found: list[tuple[_Block, str]]) -> list[tuple[_Block, str]]:
+    """The blocks of the largest <article>, or <main> if there is none, but for what says it is something else."""
+    held, named = defaultdict(int), {}
+    for b, said in found:
+        for e, name in zip(b.chain, b.path[0].split("/"), strict=False):
+            if name in ("article", "main") and b.path[1] == 1:
+                held[e] += len(said)
+                named[e] = name
+    home = max(held, key=lambda e: (named[e] == "article", held[e], -e), default=None)
+    return [(b, said) for b, said in found if home in b.chain and b.path[1] == 1]
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page; empty if there is none."""
     found = []
@@ -202,6 +216,8 @@ def main_text(page: str | None) -> str:
     spread = sqrt(sum((w - mean) ** 2 for w in weights) / len(weights))
     bar = max(min(spread, 0.5 * most), LEAST * most)
     chosen = [(b, said) for b, said in found if fused[b.path] >= bar > 0]
+    if not chosen:  # nothing but links: an element that says it is the article is believed
+        chosen = _said_to_be(found)
     if not chosen:
         return ""
     whole = sum(len(said) for _, said in chosen)
@@ -216,8 +232,10 @@ def main_text(page: str | None) -> str:
     around = [e for e, n in inside.items() if named[e] not in _LEAVES and (held[e] == len(chosen) or named[e] in ("article", "main") and n >= 0.9 * whole)]
     home = max(around, key=lambda e: (named[e] == "article", named[e] == "main", depth[e], -e), default=None)
     taken = {id(b) for b, _ in chosen}
-    # lists of links stay out, wherever they stand, and so does what says it is something else
-    return "\n".join(said for b, said in found if id(b) in taken or home in b.chain and b.path[1] == 1 and b.linked < max(1, len(said) / 2))
+    # lists of links belong to an element that says it is the article (its sources, say); around
+    # anything else they may be menus and stay out, and so does what says it is something else
+    sure = named.get(home) in ("article", "main")
+    return "\n".join(said for b, said in found if id(b) in taken or home in b.chain and b.path[1] == 1 and (sure or b.linked < max(1, len(said) / 2)))
 
 
 def extract(pages: DataFrame, page: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:

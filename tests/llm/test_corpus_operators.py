@@ -387,3 +387,13 @@ def test_op9_finds_all_that_brute_force_finds(spark, frame):
         want = {(i, tuple(k for k, b in bench if k >= options.get("least", 5) and overlaps(t.split(), b.split()))) for i, t in docs}
         got = {(r.doc_id, tuple(r["items"])) for r in decontaminate.contaminated(df, bf, **options).collect()}
         assert got == {x for x in want if x[1]}
+
+
+def test_items_that_are_not_searched_are_told(spark, frame):
+    bench = frame([(1, "one two three four"), (2, "one two three four five"), (3, None)], "item_id long, text string")
+    assert sorted(map(tuple, decontaminate.unsearched(bench).collect())) == [(1, 4), (3, 0)]
+    docs = frame([(9, "zero one two three four")], "doc_id long, text string")
+    assert decontaminate.contaminated(docs, bench).count() == 0
+    assert [list(r["items"]) for r in decontaminate.contaminated(docs, bench, least=1).collect()] == [[1, 2]]
+    with pytest.raises(ValueError):
+        decontaminate.contaminated(docs, bench, agree=0.7)

@@ -184,3 +184,16 @@ def test_op7(spark, frame):
     got = extract.op7(df).collect()
     assert len(got) == len(rows) and all(r.text == extract.main_text(PAGES[r.url][0]) and r.n_chars == len(r.text) for r in got)
     assert extract.op7(df.limit(0)).count() == 0
+
+
+def test_links_inside_an_article_stay():
+    words = "Some running text of an article, with commas, that goes on and on. " * 4
+    cited = "<h2>References</h2><ul><li><a href=a>First work, 1999</a></li><li><a href=b>Second work, 2004</a></li></ul>"
+    menu = "<ul><li><a href=x>Home</a></li><li><a href=y>News</a></li></ul>"
+    page = f"<body>{menu}<article><h1>Title</h1><p>{words}</p><p>{words}</p>{cited}</article><div>{menu}</div></body>"
+    assert extract.main_text(page).split("\n") == ["Title", words.strip(), words.strip(), "References", "First work, 1999", "Second work, 2004"]
+    # around an element that doesn't say what it is a list of links may be a menu
+    plain = extract.main_text(page.replace("article", "div"))
+    assert "Home" not in plain and words.strip() in plain
+    assert extract.main_text(f"<body>{menu}<main><article><a href=z>All the text is a link</a></article></main></body>") == "All the text is a link"
+    assert extract.main_text(f"<body>{menu}</body>") == ""
