@@ -390,10 +390,10 @@ def test_op9_finds_all_that_brute_force_finds(spark, frame):
 
 
 def test_items_that_are_not_searched_are_told(spark, frame):
-    bench = frame([(1, "one two three four"), (2, "one two three four five"), (3, None)], "item_id long, text string")
+    bench = frame([(1, "one two three four"), (2, "aa bb cc dd ee"), (3, None)], "item_id long, text string")
     assert sorted(map(tuple, decontaminate.unsearched(bench).collect())) == [(1, 4), (3, 0)]
     docs = frame([(9, "zero one two three four")], "doc_id long, text string")
     assert decontaminate.contaminated(docs, bench).count() == 0
-    assert [list(r["items"]) for r in decontaminate.contaminated(docs, bench, least=1).collect()] == [[1, 2]]
+    assert [list(r["items"]) for r in decontaminate.contaminated(docs, bench, least=1).collect()] == [[1]]
     with pytest.raises(ValueError):
         decontaminate.contaminated(docs, bench, agree=0.7)

@@ -187,7 +187,7 @@ def test_op7(spark, frame):
 
 
 def test_links_inside_an_article_stay():
-    words = "Some running text of an article, with commas, that goes on and on. " * 4
+    words = "Some running text of an essay, with commas, that goes on and on. " * 4
     cited = "<h2>References</h2><ul><li><a href=a>First work, 1999</a></li><li><a href=b>Second work, 2004</a></li></ul>"
     menu = "<ul><li><a href=x>Home</a></li><li><a href=y>News</a></li></ul>"
     page = f"<body>{menu}<article><h1>Title</h1><p>{words}</p><p>{words}</p>{cited}</article><div>{menu}</div></body>"
