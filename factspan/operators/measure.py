@@ -48,14 +48,25 @@ def deliveries(files: DataFrame, week: Column, full: Column) -> DataFrame:
 def first_within(requests: DataFrame, later: DataFrame, by: str, at: str, request: str, event: str, window: Column) -> DataFrame:
     """(request, event): the first event of the same subject in [at, at + window), null if none.
 
-    One pass over each subject's requests and events together, latest first: the event last met
-    is the next one in time, so no request meets more than one.
+    Two levels of time: a subject's rows are dealt by hour. Within the hour one pass, latest first,
+    has the event last met as the next one in time; where the hour has none, it is the first event
+    of the nearest later hour that has any, found in a table with a row for each subject and hour.
+    So a subject with a large share of all rows is many groups, and no request meets more than one event.
     """
+    hour = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date")) * 24 + F.hour(c)
     both = requests.select(F.col(by).alias("_by"), F.col(at).alias("_at"), F.lit(0).alias("_kind"), F.col(request).alias("_request"), F.lit(None).alias("_event"))
     both = both.unionByName(later.select(F.col(by).alias("_by"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).alias("_request"), F.col(event).alias("_event")))
-    backward = Window.partitionBy("_by").orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("_event").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    met = both.withColumn("_next", F.last(F.when(F.col("_kind") == 1, F.struct("_at", "_event")), ignorenulls=True).over(backward)).where("_kind = 0")
-    return met.select(F.col("_request").alias(request), F.when(F.col("_next._at") < F.col("_at") + window, F.col("_next._event")).alias(event))
+    both = both.where(F.col("_by").isNotNull() & F.col("_at").isNotNull()).withColumn("_hour", hour(F.col("_at")))
+    met = F.when(F.col("_kind") == 1, F.struct("_at", "_event"))
+    backward = Window.partitionBy("_by", "_hour").orderBy(F.col("_at").desc(), F.col("_kind").desc(), F.col("_event").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = both.withColumn("_next", F.last(met, ignorenulls=True).over(backward)).where("_kind = 0")
+    hours = both.groupBy("_by", "_hour").agg(F.min(met).alias("_first"))
+    after = Window.partitionBy("_by").orderBy(F.col("_hour").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    hours = hours.select("_by", "_hour", F.last("_first", ignorenulls=True).over(after).alias("_later"))
+    found = own.join(hours, ["_by", "_hour"]).withColumn("_next", F.coalesce("_next", "_later"))
+    told = found.select(F.col("_request").alias(request), F.when(F.col("_next._at") < F.col("_at") + window, F.col("_next._event")).alias(event))
+    # a request without subject or time meets nothing
+    return told.unionByName(requests.where(F.col(by).isNull() | F.col(at).isNull()).select(F.col(request).alias(request), F.lit(None).cast(later.schema[event].dataType).alias(event)))
 
 
 def captured(rows: DataFrame, plan: str, customer: str, amount: Column) -> DataFrame:
