@@ -2,7 +2,7 @@
 
 A word enters as its own embedding (words of the training sample that occur in two documents or
 more; all others share one) beside its characters: the embeddings of its 3- to 5-grams, of which
-each component's maximum passes. Runs of over ``LETTERS`` letters (scripts without spaces) are read
+each component's maximum passes. Digits in words are read ("k1ll"); numbers and signs by themselves are not. Runs of over ``LETTERS`` letters (scripts without spaces) are read
 in pieces that overlap by ``LAP``, to their end. A text is read in windows of ``WINDOW`` words, each overlapping
 the next by ``WINDOW - STRIDE``, to its end; a window goes through a forward and a backward gated recurrent layer, attention weighs their states, and
 the pooled state gives the window's probability. The text's score is its most toxic window's.
@@ -37,7 +37,8 @@ WINDOW, STRIDE = 32, 16
 #: Letters of a word, and by how many the pieces of a longer run overlap.
 LETTERS, LAP = 40, 20
 WORD_DIM, CHAR_DIM, HIDDEN, ATTENTION, GRAMS = 8, 8, 8, 8, 1 << 16
-_WORDS = re.compile(r"[^\W\d_]+").findall
+#: Words are runs of letters and digits with a letter among them.
+_WORDS = re.compile(r"[^\W_]*[^\W\d_][^\W_]*").findall
 _KEPT = 100_000
 
 
@@ -143,10 +144,29 @@ class Network:
             out.append(self._pool(np.concatenate([self._layer(s, pre[s], part, None) for s in "fb"], axis=2), part)[3])
         return np.concatenate(out)
 
-    def gradients(self, ids, of_words, x, at, y):
-        """Mean logistic loss of windows ``at`` with labels ``y``, and its gradient."""
-        p, kept, pre = self.p, {"f": [], "b": []}, self.project(x)
-        states = np.concatenate([self._layer(s, pre[s], at, kept[s]) for s in "fb"], axis=2)
+    def _both(self, pre: dict[str, np.ndarray], at: np.ndarray):
+        """States of both directions, (steps, windows, 2 * HIDDEN), and what their gradients need, by step and direction."""
+        n, kind = len(at), pre["f"].dtype
+        u = np.stack([self.p["Uf"], self.p["Ub"]])
+        rows = np.stack([at.T, at.T[::-1]], axis=1)  # step, direction, window: the backward layer reads from the end
+        x, live = np.stack([pre["f"][rows[:, 0]], pre["b"][rows[:, 1]]], axis=1), (rows >= 0)[..., None]
+        h, keep = np.zeros((2, n, HIDDEN), kind), [np.empty((WINDOW, 2, n, HIDDEN), kind) for _ in range(6)]
+        for t in range(WINDOW):
+            hu = h @ u
+            gates = _sigmoid(x[t, :, :, : 2 * HIDDEN] + hu[:, :, : 2 * HIDDEN])
+            z, r, hc = gates[:, :, :HIDDEN] * live[t], gates[:, :, HIDDEN:], hu[:, :, 2 * HIDDEN :]
+            c = np.tanh(x[t, :, :, 2 * HIDDEN :] + r * hc)
+            for held, v in zip(keep, (h, z, r, c, hc), strict=False):
+                held[t] = v
+            h = h + z * (c - h)
+            keep[5][t] = h
+        states = keep[5]
+        return np.concatenate([states[:, 0], states[::-1, 1]], axis=2), keep[:5], u, live
+
+    def gradients(self, ids, of_words, x, at, y, once: bool = False):
+        """Mean logistic loss of windows ``at`` with labels ``y``, and its gradient. ``once``: no gram is twice in a word."""
+        p, pre = self.p, self.project(x)
+        states, (hs, zs, rs, cs, hcs), u, live = self._both(pre, at)
         a, w, pooled, logit = self._pool(states, at)
         q = _sigmoid(logit)
         loss = float(np.mean(np.logaddexp(0, logit) - y * logit))
@@ -158,35 +178,50 @@ class Network:
         da = (de[:, :, None] * p["v"]) * (1 - a * a)
         g["v"], g["A"] = (a * de[:, :, None]).sum((0, 1)), np.tensordot(states, da, ([0, 1], [0, 1]))
         dstates = w[:, :, None] * dpool + da @ p["A"].T
-        dx = np.zeros((len(x) + 1, x.shape[1]), x.dtype)
+        dstates = np.stack([dstates[:, :, :HIDDEN], dstates[::-1, :, HIDDEN:]], axis=1)
+        back, dh = u.transpose(0, 2, 1), np.zeros((2, len(at), HIDDEN), x.dtype)
+        pre_x, gu = np.empty((WINDOW, 2, len(at), 3 * HIDDEN), x.dtype), np.zeros_like(u)
+        for t in range(WINDOW - 1, -1, -1):
+            h, z, r, c, hc = hs[t], zs[t], rs[t], cs[t], hcs[t]
+            dh = dh + dstates[t]
+            dc = dh * z * (1 - c * c)
+            dz = dh * (c - h) * live[t] * (z * (1 - z))
+            dr = dc * hc * r * (1 - r)
+            pre_x[t] = np.concatenate([dz, dr, dc], axis=2)
+            pre_h = np.concatenate([dz, dr, dc * r], axis=2)
+            gu += h.transpose(0, 2, 1) @ pre_h
+            dh = dh * (1 - z) + pre_h @ back
+        # what all places of a word add up to: places sorted by word once, for both directions
+        place = at.T.ravel()
+        order = np.argsort(place, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(place[order]) != 0]))
+        which = place[order][first]
         xs = np.concatenate([x, np.zeros((1, x.shape[1]), x.dtype)])
-        for k, s in enumerate("fb"):
-            u, dh = p[f"U{s}"], np.zeros((len(at), HIDDEN), x.dtype)
-            gw, gu, gb = (np.zeros_like(p[f"{n}{s}"]) for n in "WUb")
-            for t, h, z, r, c, hc, live in reversed(kept[s]):
-                dh = dh + dstates[t][:, k * HIDDEN : (k + 1) * HIDDEN]
-                dc = dh * z * (1 - c * c)
-                dz = dh * (c - h) * live * (z * (1 - z))
-                dr = dc * hc * r * (1 - r)
-                pre_x = np.concatenate([dz, dr, dc], axis=1)
-                pre_h = np.concatenate([dz, dr, dc * r], axis=1)
-                here = xs[at[:, t]]
-                gw += here.T @ pre_x
-                gu += h.T @ pre_h
-                gb += pre_x.sum(0)
-                np.add.at(dx, at[:, t], pre_x @ p[f"W{s}"].T)
-                dh = dh * (1 - z) + pre_h @ u.T
-            g |= {f"W{s}": gw, f"U{s}": gu, f"b{s}": gb}
+        dx = np.zeros((len(x) + 1, x.shape[1]), x.dtype)
+        for k, side in enumerate("fb"):
+            steps = pre_x[:, k] if k == 0 else pre_x[::-1, k]
+            total = np.add.reduceat(steps.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
+            g |= {f"W{side}": xs[which].T @ total, f"U{side}": gu[k], f"b{side}": total.sum(0)}
+            dx[which] += total @ p[f"W{side}"].T
         dx = dx[:-1]
         g["word"], g["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
         np.add.at(g["word"], ids, dx[:, :WORD_DIM])
-        pairs = np.unique(of_words[1].astype(np.int64) * GRAMS + of_words[0])  # a gram counts once in a word
-        of, gram = pairs // GRAMS, pairs % GRAMS
+        gram, of = of_words
+        if not once:
+            pairs = np.unique(of.astype(np.int64) * GRAMS + gram)  # a gram counts once in a word
+            of, gram = pairs // GRAMS, pairs % GRAMS
         top = (p["char"][gram] == x[of, WORD_DIM:]) * dx[of, WORD_DIM:]
-        np.add.at(g["char"], gram, top)
+        for k in range(CHAR_DIM):
+            g["char"][:, k] = np.bincount(gram, top[:, k], GRAMS)
         return loss, g
 
 
+def _ranges(begin: np.ndarray, picked: np.ndarray) -> np.ndarray:
+    """The places from ``begin[i]`` to ``begin[i + 1]`` for every i picked, one after the other."""
+    sizes = begin[picked + 1] - begin[picked]
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - begin[picked], sizes)
+
+
 def _log_odds(counts: np.ndarray, texts: np.ndarray) -> np.ndarray:
     """counts: (2, things) texts by label with the thing. What few texts say is mostly chance, and shrinks."""
     odds = np.log((counts[1] + 0.5) / (texts[1] + 1)) - np.log((counts[0] + 0.5) / (texts[0] + 1))
@@ -223,20 +258,26 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 10, rate: float =
         gram.append(at)
         per_word.append(np.bincount(of, minlength=len(distinct[k : k + 20_000])))
     gram, begin = np.concatenate(gram), np.concatenate([[0], np.cumsum(np.concatenate(per_word))])
+    pairs = np.sort(np.repeat(np.arange(len(distinct)), np.diff(begin)) * GRAMS + gram)
+    pairs = pairs[np.diff(pairs, prepend=-1) != 0]  # a gram once in a word
+    gram, begin = (pairs % GRAMS).astype(np.int32), np.searchsorted(pairs // GRAMS, np.arange(len(distinct) + 1))
     for ids, y in zip(placed, labels.astype(int), strict=True):
-        own = np.unique(ids)
+        own = np.flatnonzero(np.bincount(ids, minlength=1))
         word_counts[y, own] += 1
-        if len(own):
-            gram_counts[y, np.unique(np.concatenate([gram[begin[i] : begin[i + 1]] for i in own]))] += 1
+        held = np.zeros(GRAMS, bool)
+        held[gram[_ranges(begin, own)]] = True
+        gram_counts[y] += held
     odds, gram_odds = _log_odds(word_counts, per_label), _log_odds(gram_counts, per_label)
     common = np.flatnonzero(word_counts.sum(0) > 1)
     net = Network([distinct[i] for i in common], odds[common], gram_odds, seed)
+    net.p["char"][gram_counts.sum(0) == 0] = 0  # grams that were never seen say nothing
     of_word = odds.copy()
     if distinct:
         of_word[:-1] = np.maximum(odds[:-1], np.maximum.reduceat(gram_odds[gram], begin[:-1]))
     wins = [windows(ids) for ids in placed]
     sizes = np.array([len(w) for w in wins])
     at, owner, starts = np.concatenate(wins), np.repeat(np.arange(len(wins)), sizes), np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    word_of, sizes_of = np.array([net.index.get(w, 0) for w in distinct], np.int64), np.diff(begin)
     rng, moment, step = np.random.default_rng(seed), {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}, 0
     clean = labels == 0
     batch = int(np.clip((len(labels) + 3 * clean.sum()) / 48, 16, 256))
@@ -254,17 +295,27 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 10, rate: float =
             rows = at[chosen[pick]]
             used, local = np.unique(rows, return_inverse=True)
             local = local.reshape(rows.shape) - (1 if used[0] == -1 else 0)
-            ids, of_words, x = net.inputs([distinct[i] for i in used if i >= 0])
-            if not len(ids):
+            used = used[used >= 0]
+            if not len(used):
                 continue
-            _, g = net.gradients(ids, of_words, x, local, target[pick])
+            of, own = np.repeat(np.arange(len(used)), sizes_of[used]), gram[_ranges(begin, used)]
+            starts_at = np.cumsum(sizes_of[used]) - sizes_of[used]
+            x = np.concatenate([net.p["word"][word_of[used]], np.maximum.reduceat(net.p["char"][own], starts_at, axis=0)], axis=1)
+            _, g = net.gradients(word_of[used], (own, of), x, local, target[pick], once=True)
             step += 1
             now = rate * (1 - epoch / epochs) + 1e-4
             for name, d in g.items():
-                m = moment[name]
-                m[0] += 0.1 * (d - m[0])
-                m[1] += 0.001 * (d * d - m[1])
-                net.p[name] -= now * (m[0] / (1 - 0.9**step)) / (np.sqrt(m[1] / (1 - 0.999**step)) + 1e-7)
+                mean, square = moment[name]
+                mean *= 0.9
+                mean += 0.1 * d
+                square *= 0.999
+                d *= d
+                square += 0.001 * d
+                np.sqrt(square / (1 - 0.999**step), out=d)
+                d += 1e-7
+                np.divide(mean, d, out=d)
+                d *= now / (1 - 0.9**step)
+                net.p[name] -= d
     return net
 
 

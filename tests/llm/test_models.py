@@ -218,3 +218,16 @@ def test_pipeline(spark, tmp_path, frame):
     assert set(seen[3]) <= set(seen[2]) and max(np.unique(seen[3], return_counts=True)[1]) <= 3
     assert sorted(seen[4]) == sorted(seen[3]) and {"shard", "slot"} <= set(d.columns)
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()) == sorted(seen[4])
+
+
+def test_digits_in_words_reach_the_network():
+    assert toxicity.words("K1ll 100% !!! a_b é😀 2nd") == ["k1ll", "a", "b", "é", "2nd"]
+    net = toxicity.Network(["k1ll"], np.array([2.0]), np.zeros(toxicity.GRAMS))
+    ids, (grams, of), _ = net.inputs(["k1ll", "kill"])
+    assert ids.tolist() == [1, 0] and set(grams[of == 0]) != set(grams[of == 1])
+
+
+def test_places_of_ranges():
+    begin = np.array([0, 3, 3, 7, 9])
+    assert toxicity._ranges(begin, np.array([2, 0, 1, 3])).tolist() == [3, 4, 5, 6, 0, 1, 2, 7, 8]
+    assert toxicity._ranges(begin, np.array([], int)).tolist() == []
