@@ -17,7 +17,7 @@ from factspan.functions import geo
 from factspan.functions.json import payload_text
 from factspan.functions.text import canonical_identifier, derived_id, snapshot_id, unresolvable_reason
 from factspan.operators import exceptions as exc
-from factspan.operators import match, reconcile, spatial, stored, validate
+from factspan.operators import derive, match, reconcile, spatial, stored, validate
 from factspan.operators.current import live
 from factspan.plans.vocabulary import ENUMS, EXCEPTION, FACT, IDENTITY, ordinal
 from factspan.sources.tables import Tables, cut, facts_as_of_now
@@ -355,3 +355,46 @@ def refresh_current(ledger: Ledger, source_rank: DataFrame, run: str, now: Colum
 def stored_current(ledger: Ledger) -> DataFrame:
     """The current facts as of the last refresh."""
     return stored.latest(ledger.tables.read("current_fact"))
+
+
+#: The fields of a fact that a writer gives; the ledger sets the others.
+WRITTEN = (
+    "parcel_id", "jurisdiction_id", "field_key", "value", "method", "source_id", "snapshot_id", "retrieved_at", "source_url", "licence_id",
+    "confidence", "confidence_rule_id", "effective_from", "pack_version", "local_verbatim", "supersedes_fact_id", "supersession_reason",
+)
+
+
+def insert_facts(ledger: Ledger, rows: DataFrame, run: str, run_ts: Column) -> None:
+    """Commit facts as they are given. A column that would not be written is refused, as is one that lacks.
+
+    Facts without a breach of the tables' rules become visible together, or none does.
+    """
+    if unwritten := sorted(set(rows.columns) - set(WRITTEN)):
+        raise ValueError(f"not written, so refused: {', '.join(unwritten)}")
+    if lacking := sorted({"parcel_id", "field_key", "value", "method"} - set(rows.columns)):
+        raise ValueError(f"a fact lacks {', '.join(lacking)}")
+    known = ledger.tables.runs()
+    fact = cut(_shaped(ledger, "fact", rows.withColumns({"id": derived_id(F.col("parcel_id"), F.col("field_key"), F.coalesce(*[F.col(c) for c in ("source_id",) if c in rows.columns], F.lit("derived")), run_ts), "recorded_at": run_ts, "conflict": F.lit("agree")})))
+    ended = fact.where("supersedes_fact_id is not null").select(F.col("supersedes_fact_id").alias("fact_id"), run_ts.alias("superseded_at"))
+    ledger.tables.commit(run, {"fact": fact, "fact_supersession": ended, "fact_calendar": stored.calendar(fact, run_ts)}, _checks, known)
+
+
+def flag_geometry(ledger: Ledger, polygons: DataFrame, parcel_source: str, source: str, run: str, run_ts: Column) -> None:
+    """Exceptions for geometry that isn't valid: of parcels, and of zoning polygons (zone_id, geom) that parcels lie in.
+
+    A parcel has one open exception of each detector at most. One whose geometry is valid again, or
+    that lies in no such polygon any more, has it closed.
+    """
+    with recorded(ledger, "geometry", source, run, run_ts):
+        known = ledger.tables.runs()
+        g = ledger.live(parcel_source, "geometry").select("parcel_id", geo.multipolygon(F.get_json_object("value", "$.type"), F.get_json_object("value", "$.coordinates")).alias("geom"))
+        own = derive.invalid_geometry(g.where("geom is not null"), "parcel_id", "geom").withColumns({"type": F.lit("record_to_ground"), "severity": F.lit("warning")})
+        around = derive.touched_by_invalid(centroids(ledger, parcel_source), polygons.select("zone_id", "geom"), "parcel_id", "zone_id", "geom")
+        around = around.select("parcel_id", "reason", F.lit("record_to_ground").alias("type"), F.lit("info").alias("severity"))
+        events, metrics = None, {}
+        for detector, told in (("parcel_geometry", own), ("zoning_geometry", around)):
+            told, met = counted(told, {"invalid": F.lit(True)})
+            before = ledger.exceptions().where(F.col("detector_key") == detector)
+            rows = ledger.exception_events(exc.not_yet_open(told, before), exc.close_resolved(before, told, run_ts), detector, "1", run_ts)
+            events, metrics[detector] = (rows if events is None else events.unionByName(rows)), met["invalid"]
+        ledger.tables.commit(run, {"exception_event": events, "job_run": _job(ledger, "geometry", source, None, run, run_ts, sum(metrics.values()), metrics)}, _checks, known)

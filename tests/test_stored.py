@@ -96,3 +96,37 @@ def test_a_failed_refresh_and_a_failed_load_leave_a_row_and_lose_nothing(spark,
     assert jobs["0-3.failed"][1:] == ("failed", "ValueError: a feature id is blank or repeated")
     refresh_current(ledger, rank, "0-4", at(0, 3))
     assert same(ledger, rank, at(0, 3)) == 3
+
+
+def test_facts_with_unwritten_columns_are_refused(spark):
+    ledger = Ledger(Tables(spark, tempfile.mkdtemp(prefix="spark-"), SCHEMAS), "here")
+    one = spark.range(1).select(F.lit("p").alias("parcel_id"), F.lit("here").alias("jurisdiction_id"), F.lit("zone").alias("field_key"), F.lit('"R"').alias("value"), F.lit("bulk").alias("method"), F.lit("s").alias("source_id"), F.lit("snap").alias("snapshot_id"), at(0).alias("retrieved_at"), F.lit("u").alias("source_url"), F.lit("open").alias("licence_id"), F.lit("high").alias("confidence"), F.lit("r").alias("confidence_rule_id"), at(0).alias("effective_from"), F.lit("p@1").alias("pack_version"))
+    for extra in ("unit", "effective_to", "nonsense"):
+        with pytest.raises(ValueError, match=extra):
+            pipelines.insert_facts(ledger, one.withColumn(extra, F.lit("x")), "0", at(0))
+    with pytest.raises(ValueError, match="value"):
+        pipelines.insert_facts(ledger, one.drop("value"), "0", at(0))
+    pipelines.insert_facts(ledger, one, "1", at(0))
+    with pytest.raises(ValueError, match="one_current_per_source"):
+        pipelines.insert_facts(ledger, one, "2", at(1))
+    heir = one.withColumns({"value": F.lit('"S"'), "supersedes_fact_id": F.lit(ledger.facts().first().id), "supersession_reason": F.lit("world_change")})
+    pipelines.insert_facts(ledger, heir, "3", at(1))
+    assert sorted((r.value, r.superseded_at is None) for r in ledger.facts().collect()) == [('"R"', False), ('"S"', True)]
+
+
+def test_geometry_is_flagged_and_cleared(spark):
+    from factspan.functions import geo
+
+    ledger = Ledger(Tables(spark, tempfile.mkdtemp(prefix="spark-"), SCHEMAS), "here")
+    shape = lambda *ring: json.dumps({"type": "Polygon", "coordinates": [[list(p) for p in ring]]})
+    square = lambda x, d=2: shape((x, 0), (x + d, 0), (x + d, d), (x, d), (x, 0))
+    bow = shape((10, 0), (12, 2), (12, 0), (10, 2), (10, 0))
+    zones = lambda *polygons: spark.createDataFrame([(f"z{k}", [[[[float(a), float(b)] for a, b in ring]]]) for k, ring in enumerate(polygons)], f"zone_id string, geom {geo.MULTIPOLYGON}")
+    bent, fine = ((-5, -5), (5, 5), (5, -5), (-5, 15), (-5, -5)), ((-5, -5), (5, -5), (5, 5), (-5, 5), (-5, -5))
+    for n, (middle, ring) in enumerate(((bow, bent), (bow, bent), (square(10), fine))):
+        load_parcels(ledger, spark.createDataFrame([("1", "A", square(-3)), ("2", "B", middle)], FEATURES), "src", f"s{n}", f"{n}-1", at(n))
+        pipelines.flag_geometry(ledger, zones(ring), "src", "zoning", f"{n}-2", at(n, 1))
+    parcel = {r.source_feature_id: r.parcel_id for r in ledger.identity().collect()}
+    got = sorted((r.detector_key, r.parcel_id, r.reason, r.outcome) for r in ledger.exceptions().where("detector_key like '%geometry'").collect())
+    assert got == [("parcel_geometry", parcel["2"], "self_intersection", "condition_cleared"), ("zoning_geometry", parcel["1"], "self_intersection", "condition_cleared")]
+    assert [json.loads(r.metrics) for r in ledger.tables.read("job_run").where("job_key = 'geometry'").orderBy("id").collect()] == [{"parcel_geometry": 1, "zoning_geometry": 1}] * 2 + [{"parcel_geometry": 0, "zoning_geometry": 0}]
