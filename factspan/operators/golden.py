@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from factspan.operators.difference import differences
+
 
 def positional_tokens(rows: DataFrame, by: str, order: str, label: str = "UUID") -> DataFrame:
     """``rows`` with ``tok``: <label:n> for the n-th group by its first (integer, unique) ``order``.
@@ -66,3 +68,14 @@ def linked_facts(links: DataFrame, facts: DataFrame, by: str = "property_file_id
     """A file's links with the field and value of their facts, one sorted list of 'use field value' per file."""
     rows = links.join(facts.select(F.col("id").alias("fact_id"), "field_key", "value"), "fact_id")
     return rows.groupBy(by).agg(F.array_sort(F.collect_list(F.concat_ws(" ", "use", "field_key", F.col("value").cast("string")))).alias("facts"))
+
+
+def bless(forms: DataFrame, key: str, form: str, path: str) -> None:
+    """Write normal forms (JSON text) as the ones to compare with later, one line for each, in order of their keys within a file."""
+    forms.select(F.col(key).cast("string").alias("key"), F.col(form).alias("form")).repartitionByRange("key").sortWithinPartitions("key").write.mode("overwrite").json(path)
+
+
+def compare(forms: DataFrame, key: str, form: str, path: str) -> DataFrame:
+    """(key, path, kind, was, now, moved_to): how normal forms differ from the blessed ones; empty if they don't."""
+    before = forms.sparkSession.read.schema("key string, form string").json(path)
+    return differences(before, forms.select(F.col(key).cast("string").alias("key"), F.col(form).alias("form")), "key", "form")

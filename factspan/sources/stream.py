@@ -73,3 +73,9 @@ def verify(spark: SparkSession, path: str, content_hash: str, byte_size: int) ->
     found = digests(spark, path).first()
     if found is None or (found.content_hash, found.byte_size) != (content_hash, byte_size):
         raise ValueError(f"{path} is not the snapshot that was recorded")
+
+
+def migration_files(spark: SparkSession, path: str) -> DataFrame:
+    """(version, file_sha256) of the migrations in a folder: SQL files whose names begin with their number."""
+    number = F.regexp_extract("path", r"/(\d+)_[^/]*\.sql$", 1)
+    return digests(spark, f"{path}/*.sql").select(number.alias("version"), F.col("content_hash").alias("file_sha256")).where("version <> ''")

@@ -6,7 +6,8 @@ import random
 
 import pytest
 
-from factspan.operators import difference, schema
+from factspan.operators import deferral, difference, golden, schema
+from factspan.sources import stream
 
 SOURCE = {"id": "j.a", "display_name": "A", "steward": "s", "method": "bulk", "licence": "open", "phase_status": "active", "phase_status_reason": "r", "supplies": ["x", "y"], "active": True, "earliest_record_date": None, "url_verified_at": "2026-01-31"}
 PACK = {"jurisdiction": "j", "pack_version": "j@0.1.0", "portals": {"main": "https://example.org/x"}, "sources": [SOURCE, dict(SOURCE, id="j.b")]}
@@ -90,3 +91,32 @@ def test_differences_account_for_every_leaf(spark, frame):
     assert not [r for r in got if 60 <= r.id < 70]
     assert sorted((r.path, r.moved_to) for r in got if r.id == 80) == [('$."l"[0]', '$."l"[1]'), ('$."l"[1]', '$."l"[2]'), ('$."l"[2]', '$."l"[0]')]
     assert sorted((r.path, r.kind) for r in got if r.id == 81) == [('$."l"[0]', "removed"), ('$."l"[2]', "added"), ('$."l"[2]', "moved")]
+
+
+def test_blessed_forms_are_compared(spark, frame, tmp_path):
+    rows = [(1, '{"a":[1,2],"b":"x"}'), (2, "{}")]
+    golden.bless(frame(rows, "id long, form string"), "id", "form", f"{tmp_path}/golden")
+    assert golden.compare(frame(rows, "id long, form string"), "id", "form", f"{tmp_path}/golden").isEmpty()
+    now = [(1, '{"a":[2,1],"b":"y"}'), (3, "1")]
+    got = sorted((r.key, r.path, r.kind) for r in golden.compare(frame(now, "id long, form string"), "id", "form", f"{tmp_path}/golden").collect())
+    assert got == [("1", '$."a"[0]', "moved"), ("1", '$."a"[1]', "moved"), ("1", '$."b"', "changed"), ("2", "$", "removed"), ("3", "$", "added")]
+
+
+def test_migration_files(spark, tmp_path):
+    import hashlib
+
+    for name in ("0001_first.sql", "0002_b.sql", "notes.sql", "0003_c.txt"):
+        (tmp_path / name).write_text(name)
+    got = sorted(map(tuple, stream.migration_files(spark, str(tmp_path)).collect()))
+    assert got == [(n[:4], hashlib.sha256(n.encode()).hexdigest()) for n in ("0001_first.sql", "0002_b.sql")]
+
+
+def test_deferred_fields_take_their_conclusions_along(spark, frame):
+    manifest = frame([("size", "creek"), ("yard", "size"), ("yard", "lot")], "conclusion string, input string")
+    fields = frame([("creek", True, "water"), ("lot", False, "s"), ("school", True, None)], "field_key string, deferred boolean, source_id string")
+    lacking = deferral.lacking_fields(frame([(1,), (2,)], "parcel_id long"), fields, frame([(1, "lot"), (2, "creek")], "parcel_id long, field_key string"))
+    told = sorted((r.parcel_id, r.field_key, r.source_id, list(r.cascades_to)) for r in deferral.source_deferred(lacking, manifest).collect())
+    assert told == [(1, "creek", "water", ["size", "yard"]), (1, "school", None, []), (2, "school", None, [])]
+    refused = sorted((r.parcel_id, r.conclusion, list(r.missing)) for r in deferral.refused_conclusions(lacking, manifest).collect())
+    assert refused == [(1, "size", ["creek"]), (1, "yard", ["creek"]), (2, "yard", ["lot"])]
+    assert deferral.lacking_fields(frame([(1,)], "parcel_id long"), fields.limit(0), manifest.selectExpr("1L parcel_id", "input field_key")).count() == 0
