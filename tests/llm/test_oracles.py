@@ -2,6 +2,7 @@
 
 import os
 
+import pandas as pd
 import pytest
 
 from factspan.llm import queries
@@ -12,7 +13,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables
 
 def plain(v):
     v = v.tolist() if hasattr(v, "tolist") else v
-    return tuple(map(plain, v)) if isinstance(v, list) else round(v, 6) if isinstance(v, float) else v
+    if v is None or v is pd.NA or isinstance(v, float) and v != v:  # pandas has a null of its own for each type
+        return None
+    return tuple(map(plain, v)) if isinstance(v, list) else (int(v) if v == int(v) else round(v, 6)) if isinstance(v, float) else v
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
