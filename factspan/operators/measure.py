@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -53,7 +54,10 @@ def first_within(requests: DataFrame, later: DataFrame, by: str, at: str, reques
     of the nearest later hour that has any, found in a table with a row for each subject and hour.
     So a subject with a large share of all rows is many groups, and no request meets more than one event.
     """
-    hour = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date")) * 24 + F.hour(c)
+    if isinstance(requests.schema[at].dataType, NumericType):  # seconds, say
+        hour = lambda c: F.floor(c / 3600)
+    else:
+        hour = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date")) * 24 + F.hour(c)
     both = requests.select(F.col(by).alias("_by"), F.col(at).alias("_at"), F.lit(0).alias("_kind"), F.col(request).alias("_request"), F.lit(None).alias("_event"))
     both = both.unionByName(later.select(F.col(by).alias("_by"), F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(None).alias("_request"), F.col(event).alias("_event")))
     both = both.where(F.col("_by").isNotNull() & F.col("_at").isNotNull()).withColumn("_hour", hour(F.col("_at")))
