@@ -133,9 +133,8 @@ def first_unique_keys(spark, read):
  cand as (select p.pid, z.zid, z.zoning from p left join z on p.x>z.x0 and p.x<z.x0+12 and p.y>z.y0 and p.y<z.y0+12)
  select pid, count(distinct zoning) n_distinct, count(zid) n_cand, case when count(distinct zoning)=0 then 'zero_match' when count(distinct zoning)>1 then 'ambiguous' else 'matched' end kind, case when count(distinct zoning)=1 then min(zoning) end zoning from cand group by pid""")
 def point_in_polygon_classify(spark, read):
-    points = t.places(read("customer"))
-    pairs = spatial.point_in_polygon(points, t.squares(read("supplier")), "geom", "x", "y")
-    return spatial.classify(points, pairs, "pid", "zid", "zoning").select("pid", "n_distinct", "n_cand", "kind", "zoning")
+    found = spatial.classified(t.places(read("customer")), t.squares(read("supplier")), "geom", "x", "y", "pid", "zid", "zoning")
+    return found.select("pid", "n_distinct", "n_cand", "kind", "zoning")
 
 
 @query("""with chan as (select p_brand lic, 'api' channel, (p_size%2=0) allowed from (select p_brand, min(p_size) p_size from part group by p_brand) t where p_brand<>'Brand#11')
