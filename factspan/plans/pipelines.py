@@ -181,12 +181,12 @@ def parcel_changes(features: DataFrame, identity: DataFrame, live_facts: DataFra
 
 def zoning_changes(points: DataFrame, polygons: DataFrame, live_facts: DataFrame, cell: float = 0.01) -> tuple[DataFrame, DataFrame]:
     """(steps, told): what happens to each parcel's district facts, and what there is to say of its match."""
-    pairs = spatial.point_in_polygon(points, polygons, "geom", "x", "y", cell=cell)
-    found = cut(spatial.classify(points, pairs, "parcel_id", "zone_id", "zoning", "abbreviation"))  # both results read it
+    found = spatial.classified(points, polygons, "geom", "x", "y", "parcel_id", "zone_id", "zoning", "abbreviation", cell=cell)
+    found = cut(found.select("parcel_id", "kind", "n_cand", "zoning", "abbreviation"))  # both results read it; lists of polygons are not needed
     text = lambda c: F.to_json(F.struct(F.col(c).alias("v")))
     fresh = found.where("kind = 'matched'").select("parcel_id", F.explode(F.array(F.struct(F.lit("zoning.district").alias("field_key"), text("zoning").alias("value")), F.struct(F.lit("zoning.district_verbatim").alias("field_key"), F.when(F.col("abbreviation").isNotNull(), text("abbreviation")).alias("value")))).alias("f")).select("parcel_id", "f.*").where("value is not null")
     steps = reconcile.successors(live_facts.select("parcel_id", "field_key", "id", "value"), fresh, ["parcel_id", "field_key"], F.lit("unknown"))
-    reason = F.when(F.col("kind") == "zero_match", "no_containing_district").when(F.col("kind") == "ambiguous", "multiple_containing_districts").when(F.col("anomaly_ids").isNotNull(), "multiple_polygons_agree")
+    reason = F.when(F.col("kind") == "zero_match", "no_containing_district").when(F.col("kind") == "ambiguous", "multiple_containing_districts").when(F.col("n_cand") > 1, "multiple_polygons_agree")
     told = found.withColumn("reason", reason).where("reason is not null").select("parcel_id", "reason", F.lit("cross_source").alias("type"), F.when(F.col("kind") == "matched", "info").otherwise("warning").alias("severity"))
     return steps, told
 
