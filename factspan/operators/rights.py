@@ -26,6 +26,11 @@ def with_new_channels(licence: DataFrame, channels: DataFrame, names: tuple[str,
     return held.unionByName(new.join(held.select("licence_id", "channel"), ["licence_id", "channel"], "left_anti"))
 
 
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """By key over all partitions of a shuffle: these rows shrink so much when written that merging them by size makes large sorts."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def over_permitted(derived: DataFrame, inputs: DataFrame, input_channels: DataFrame, key: str, channel: str = "channel", licence: str = "licence_id") -> DataFrame:
     """(key, over_permitted): derived things that claim a channel which some input's licence lacks.
 
@@ -38,6 +43,27 @@ def over_permitted(derived: DataFrame, inputs: DataFrame, input_channels: DataFr
     return lacking.groupBy(key).agg(F.min(channel).alias("over_permitted"))
 
 
+def _profiles(licence: DataFrame, channels: DataFrame) -> tuple[list[str], int, DataFrame]:
+    """(channel names in order, n, profiles): one row a licence with its terms and its allowed channels as bits of n numbers.
+
+    Licences and channels are registries. Facts are many and share few licences, so they are
+    never shuffled by licence: profiles are broadcast.
+    """
+    allowed = channels.where(F.col("allowed") & F.col("channel").isNotNull())
+    names = allowed.agg(F.array_sort(F.collect_set("channel"))).first()[0]
+    n = -(-len(names) // 63)
+    rows = licence.select(F.col("id").alias("licence_id"), "commercial_use", "redistribution", "restriction", F.lit(True).alias("_known"))
+    if n:
+        at = (F.array_position(F.lit(names), F.col("channel")) - 1).cast("int")
+        bit = lambda k: F.when(F.floor(at / 63) == k, F.call_function("shiftleft", F.lit(1).cast("long"), at % 63)).otherwise(F.lit(0).cast("long"))
+        rows = rows.join(allowed.groupBy("licence_id").agg(*[F.bit_or(bit(k)).alias(f"_c{k}") for k in range(n)]), "licence_id", "full")
+    return names, n, rows
+
+
+def _has(mask: str, i: int):
+    return F.call_function("getbit", F.coalesce(F.col(f"{mask}{i // 63}"), F.lit(0).cast("long")), F.lit(i % 63)) == 1
+
+
 def inheritance_violations(fact_input: DataFrame, fact: DataFrame, licence: DataFrame, channels: DataFrame) -> DataFrame:
     """(fact_id, dimension, detail): derived facts whose licence grants more than their inputs' do.
 
@@ -46,21 +72,21 @@ def inheritance_violations(fact_input: DataFrame, fact: DataFrame, licence: Data
     """
     own = fact.select(F.col("id").alias("fact_id"), F.col("licence_id").alias("own"))
     theirs = fact.select(F.col("id").alias("input_fact_id"), "licence_id")
-    edges = fact_input.join(own, "fact_id").join(theirs, "input_fact_id").select("fact_id", "own", "licence_id").distinct()
-    granted = channels.where("allowed").select(F.col("licence_id").alias("own"), "channel")
-    allowed = channels.where("allowed").select("licence_id", "channel")
-    by_channel = over_permitted(edges.select("fact_id", "own").distinct().join(granted, "own"), edges.select("fact_id", "licence_id"), allowed, "fact_id")
-    grants = licence.select(F.col("id").alias("_l"), "commercial_use", "redistribution", "restriction")
-    mine, its = grants.toDF("_m", "m_commercial", "m_redistribution", "m_restriction"), grants.toDF("_i", "i_commercial", "i_redistribution", "i_restriction")
-    pairs = edges.join(mine, F.col("own") == F.col("_m")).join(its, F.col("licence_id") == F.col("_i"))
+    edges = _dealt(_dealt(fact_input, "input_fact_id").join(theirs, "input_fact_id").select("fact_id", "licence_id"), "fact_id").join(own, "fact_id")
+    names, n, profiles = _profiles(licence, channels)
+    mine, its = (profiles.select(*[F.col(c).alias(p + c) for c in profiles.columns]) for p in ("m_", "i_"))
+    pairs = edges.join(F.broadcast(mine), F.col("own") == F.col("m_licence_id"), "left").join(F.broadcast(its), F.col("licence_id") == F.col("i_licence_id"), "left")
+    lacks = lambda k: F.coalesce(F.col(f"m__c{k}"), F.lit(0).cast("long")).bitwiseAND(F.bitwise_not(F.coalesce(F.col(f"i__c{k}"), F.lit(0).cast("long"))))
     checks = pairs.groupBy("fact_id").agg(
-        F.bool_or((F.col("m_commercial") == "allowed") & (F.col("i_commercial") != "allowed")).alias("commercial_use"),
+        F.bool_or((F.col("m_commercial_use") == "allowed") & (F.col("i_commercial_use") != "allowed")).alias("commercial_use"),
         F.bool_or((F.col("m_redistribution") == "allowed") & (F.col("i_redistribution") != "allowed")).alias("redistribution"),
         F.bool_or((F.col("m_restriction") != "attribution") & (F.col("i_restriction") == "attribution")).alias("attribution"),
+        *[F.bit_or(lacks(k)).alias(f"_l{k}") for k in range(n)],
     )
-    dimensions = F.array(*[F.when(F.col(d), F.lit(d)) for d in ("commercial_use", "redistribution", "attribution")])
-    others = checks.select("fact_id", F.explode(F.filter(dimensions, lambda d: d.isNotNull())).alias("dimension")).withColumn("detail", F.lit(None).cast("string"))
-    return by_channel.select("fact_id", F.lit("channel").alias("dimension"), F.col("over_permitted").alias("detail")).unionByName(others)
+    breach = lambda d, detail: F.struct(F.lit(d).alias("dimension"), detail.cast("string").alias("detail"))
+    first = F.coalesce(*[F.when(_has("_l", i), F.lit(c)) for i, c in enumerate(names)]) if names else F.lit(None)
+    found = [F.when(F.col(d), breach(d, F.lit(None))) for d in ("commercial_use", "redistribution", "attribution")] + [F.when(first.isNotNull(), breach("channel", first))]
+    return checks.select("fact_id", F.inline(F.array_compact(F.array(*found))))
 
 
 def inherited_licence(fact_input: DataFrame, fact: DataFrame, licence: DataFrame, channels: DataFrame) -> DataFrame:

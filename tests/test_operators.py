@@ -3,6 +3,7 @@
 import datetime as dt
 import hashlib
 import json
+import re
 import tempfile
 import time
 
@@ -43,6 +44,19 @@ def test_licence_inheritance(spark, frame):
     assert {(r.licence_id, r.allowed, tuple(r.field_keys)) for r in gate} == {("open", True, ("x",)), ("none", False, ("a", "y"))}
 
 
+def test_facts_are_not_shuffled_by_licence_or_channel(spark, frame):
+    """70 channels, licences without terms, without channels and none at all; no shuffle of facts by what few of them differ in."""
+    fact = frame([("d1", "all"), ("d2", "all"), ("d3", "some"), ("d4", None), ("d5", "all"), ("i1", "all"), ("i2", "some"), ("i3", "bare"), ("i4", None), ("i5", "odd")], "id string, licence_id string")
+    edges = frame([("d1", "i1"), ("d1", "i1"), ("d2", "i1"), ("d2", "i2"), ("d3", "i1"), ("d3", "i3"), ("d4", "i2"), ("d5", "i4"), ("d6", "i5")], "fact_id string, input_fact_id string")
+    licence = frame([("all", "allowed", "allowed", "open"), ("some", "allowed", "prohibited", "attribution"), ("bare", None, "allowed", "open")], "id string, commercial_use string, redistribution string, restriction string")
+    channels = frame([("all", f"c{k:02}", True) for k in range(70)] + [("some", f"c{k:02}", k not in (66, 68)) for k in range(2, 69)] + [("odd", "c05", True)], "licence_id string, channel string, allowed boolean")
+    broken = rights.inheritance_violations(edges, fact, licence, channels)
+    assert {tuple(r) for r in broken.collect()} == {("d2", "channel", "c00"), ("d2", "redistribution", None), ("d2", "attribution", None), ("d3", "channel", "c02"), ("d5", "channel", "c00")}
+    assert rights.inheritance_violations(edges, fact, licence, channels.where("not allowed")).where("dimension = 'channel'").count() == 0
+    plan = broken._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\((own#|\w+#\d+L?, \w+#)", plan)
+
+
 def test_fact_validators_pass_unknown_and_find_breaches(spark, frame):
     base = {"id": "1", "parcel_id": "p", "field_key": "f", "value": "1", "source_id": "s", "source_url": "u", "snapshot_id": "n", "method": "bulk", "retrieved_at": T(1), "effective_from": T(1), "recorded_at": T(1)}
     rows = [base, base | {"id": "2", "method": "manual"}, base | {"id": "3", "source_id": None}, base | {"id": "4", "superseded_at": T(1) - dt.timedelta(1)}, base | {"id": "5", "effective_to": T(1)}, base | {"id": "6", "supersedes_fact_id": "6"}, base | {"id": "7", "supersedes_fact_id": "1", "supersession_reason": "unknown"}]
