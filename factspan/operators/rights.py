@@ -91,10 +91,11 @@ def inheritance_violations(fact_input: DataFrame, fact: DataFrame, licence: Data
 
 def inherited_licence(fact_input: DataFrame, fact: DataFrame, licence: DataFrame, channels: DataFrame) -> DataFrame:
     """What a derived fact may grant: the intersection of its inputs' grants, attribution if any asks for it."""
-    inputs = fact_input.join(fact.select(F.col("id").alias("input_fact_id"), "licence_id"), "input_fact_id").select("fact_id", "licence_id").distinct()
-    size = inputs.groupBy("fact_id").agg(F.count("*").alias("n"))
-    allowed = inputs.join(channels.where("allowed").select("licence_id", "channel").distinct(), "licence_id").groupBy("fact_id", "channel").agg(F.count("*").alias("k"))
-    shared = allowed.join(size, "fact_id").where("k = n").groupBy("fact_id").agg(F.array_sort(F.collect_set("channel")).alias("channels"))
-    grants = inputs.join(licence.withColumnRenamed("id", "licence_id"), "licence_id").groupBy("fact_id").agg(
-        F.bool_and(F.col("commercial_use") == "allowed").alias("commercial_use"), F.bool_and(F.col("redistribution") == "allowed").alias("redistribution"), F.bool_or(F.col("restriction") == "attribution").alias("attribution"))
-    return grants.join(shared, "fact_id", "left").withColumn("channels", F.coalesce("channels", F.array().cast("array<string>")))
+    theirs = fact.select(F.col("id").alias("input_fact_id"), "licence_id")
+    names, n, profiles = _profiles(licence, channels)
+    inputs = _dealt(_dealt(fact_input, "input_fact_id").join(theirs, "input_fact_id").select("fact_id", "licence_id"), "fact_id").join(F.broadcast(profiles), "licence_id", "left")
+    grants = inputs.groupBy("fact_id").agg(
+        F.bool_and(F.col("commercial_use") == "allowed").alias("commercial_use"), F.bool_and(F.col("redistribution") == "allowed").alias("redistribution"), F.bool_or(F.col("restriction") == "attribution").alias("attribution"),
+        F.bool_or("_known").alias("_known"), *[F.bit_and(F.coalesce(F.col(f"_c{k}"), F.lit(0).cast("long"))).alias(f"_c{k}") for k in range(n)])
+    shared = F.array_compact(F.array(*[F.when(_has("_c", i), F.lit(c)) for i, c in enumerate(names)])) if names else F.array()
+    return grants.where("_known").select("fact_id", "commercial_use", "redistribution", "attribution", shared.cast("array<string>").alias("channels"))

@@ -52,9 +52,16 @@ def test_facts_are_not_shuffled_by_licence_or_channel(spark, frame):
     channels = frame([("all", f"c{k:02}", True) for k in range(70)] + [("some", f"c{k:02}", k not in (66, 68)) for k in range(2, 69)] + [("odd", "c05", True)], "licence_id string, channel string, allowed boolean")
     broken = rights.inheritance_violations(edges, fact, licence, channels)
     assert {tuple(r) for r in broken.collect()} == {("d2", "channel", "c00"), ("d2", "redistribution", None), ("d2", "attribution", None), ("d3", "channel", "c02"), ("d5", "channel", "c00")}
+    may = rights.inherited_licence(edges, fact, licence, channels)
+    want = [f"c{k:02}" for k in range(70)]
+    some = [c for c in want[2:69] if c not in ("c66", "c68")]
+    got = {r.fact_id: tuple(r)[1:] for r in may.collect()}
+    assert got == {"d1": (True, True, False, want), "d2": (True, False, True, some), "d3": (True, True, False, []), "d4": (True, False, True, some)}
+    assert rights.inherited_licence(edges, fact, licence, channels.where("not allowed")).where("size(channels) = 0").count() == 4
     assert rights.inheritance_violations(edges, fact, licence, channels.where("not allowed")).where("dimension = 'channel'").count() == 0
-    plan = broken._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"hashpartitioning\((own#|\w+#\d+L?, \w+#)", plan)
+    for df in (broken, may):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search(r"hashpartitioning\((own#|\w+#\d+L?, \w+#)", plan)
 
 
 def test_fact_validators_pass_unknown_and_find_breaches(spark, frame):
