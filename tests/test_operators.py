@@ -59,7 +59,10 @@ def test_facts_are_not_shuffled_by_licence_or_channel(spark, frame):
     assert got == {"d1": (True, True, False, want), "d2": (True, False, True, some), "d3": (True, True, False, []), "d4": (True, False, True, some)}
     assert rights.inherited_licence(edges, fact, licence, channels.where("not allowed")).where("size(channels) = 0").count() == 4
     assert rights.inheritance_violations(edges, fact, licence, channels.where("not allowed")).where("dimension = 'channel'").count() == 0
-    for df in (broken, may):
+    claims, inputs, allowed = frame([("a", 1), ("a", 2), ("b", 1), ("c", 3), (None, 1)], "k string, ch int"), frame([("a", "x"), ("a", "x"), ("a", "y"), ("b", "x"), ("c", None)], "k string, l string"), frame([("x", 1), ("x", 1), ("x", 2), ("y", 1), ("y", None)], "l string, ch int")
+    over = rights.over_permitted(claims, inputs, allowed, "k", "ch", "l")
+    assert {tuple(r) for r in over.collect()} == {("a", 2), ("c", 3)}
+    for df in (broken, may, over):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"hashpartitioning\((own#|\w+#\d+L?, \w+#)", plan)
 
