@@ -1,28 +1,28 @@
-"""Embedding near-duplicates: an exact metric range join over pivot cells.
+"""Embedding near-duplicates: an exact metric range join over blocks of pivot cells.
 
 Cosine >= ``cos`` between vectors is Euclidean distance <= r = sqrt(2 - 2 cos) between their unit
-vectors. Each unit vector lives in the cell of its nearest pivot. By the triangle inequality a
-vector can have a partner at home in another cell only if its distance to every pivot lies
-within r of the range that the cell's members span, and if it is within r of the hyperplane
-between the two pivots; exactly then it is copied there. So every vector meets all its partners
-in its own cell, cells join without each other, and the links of a vector are counted at home.
-
-Cells are split again by pivots of their own, members and visitors alike, until they hold
-``SPREAD`` blocks of ``BLOCK`` members at most, so the number of pivots grows with the vectors and
-no table of all pivots exists: a cell's pivots and ranges travel in front of its rows, once for
-each ``4 * BLOCK`` members. A cell that its pivots can't split (many vectors of one direction), or
-that is still full after ``levels``, is joined in as many blocks as it needs, each met by all its rows.
+vectors. Each unit vector lives in the cell of its nearest pivot, and nowhere else. Cells are split
+again by pivots of their own until they hold ``SPREAD`` blocks of ``BLOCK`` members at most, so the
+number of pivots grows with the vectors; a cell that its pivots can't split (many vectors of one
+direction), one so narrow that all its members link, or one still full after ``levels`` stays.
+
+Each cell is packed into blocks, one row each, with a middle and the range of its members' distances
+to it. By the triangle inequality two blocks can hold links only if their middles are at most r
+farther apart than both reach, and a vector can have partners in a block only if its distance to the
+block's middle lies within r of the block's range. Blocks that may meet do so once, as a cartesian
+product of partitions of blocks: blocks are read again for it, but never copied, so disk grows as
+the vectors do, whatever they are. A task's memory is a partition of ``TOGETHER`` blocks in the JVM and
+a batch of pairs in Python. Blocks hold fewer members where vectors are long.
 
 Copies collapse first, so the join sees each distinct vector once, with its number of copies.
-Spark sorts each block's members before the vectors that visit it, and the visitors stream past:
-memory is one block and one batch, however full a cell is. Single precision only preselects, by a
-margin over its rounding error; every link is decided in double precision. A block gives back
-counts and links that connect what it found connected, at most one per visitor and member, never
-all pairs of a group.
+Single precision decides all but what lies within a margin over its rounding error of ``cos``; that
+is decided in double precision. A task gives back sums of counts, one for a vector, and the links
+that connect what it has found not yet connected, fewer than its vectors: never all pairs of a group.
 
-No vector comes to the driver. How much is copied depends on the data: clustered vectors stay near
-home, while directions without any structure in many dimensions are within reach of most cells, and
-their join tends to n * n / 2 products, done as matrix products. Caps would lose links, so there are none.
+Only pivots come to the driver, one for a block of vectors. How many pairs of blocks are met depends
+on the data: clustered vectors meet few, while directions without any structure in many dimensions
+are within reach of most blocks, and their join tends to n * n / 2 products, done as matrix
+products. Caps would lose links, so there are none.
 
 Vectors that are null, empty, zero, or hold a null or non-finite component, link with nothing and
 are components of their own, as are rows with a null id (their component is null). Vectors of
@@ -31,12 +31,13 @@ different lengths never link. Repeated ids count once for each row. Empty tables
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from factspan.llm.common import connected_components, cut
@@ -44,16 +45,20 @@ from factspan.llm.common import connected_components, cut
 BLOCK = 4096
 #: A cell of so many blocks is joined as it is.
 SPREAD = 4
+#: So many blocks are a partition of the join, and so many bytes of doubles a block at most.
+TOGETHER = 32
+BLOCK_BYTES = 1 << 22
 _MARGIN = 1e-4
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    """Rows of equal length as doubles."""
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+    """Rows of equal length, single precision as it is and all else as doubles."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float32 if flat.dtype == np.float32 else np.float64).reshape(len(column), -1)
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow or underflow in the norm
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -62,214 +67,210 @@ def _distances(u: np.ndarray, p: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0, 2 - 2 * (u @ p.T)))
 
 
-def _by_length(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Each batch in parts of vectors of one length, with their unit vectors."""
-    for b in batches:
-        sizes = np.diff(b.column(at).offsets.to_numpy())
-        for d in np.unique(sizes):
-            part = b.filter(pa.array(sizes == d)) if (sizes != d).any() else b
-            yield part, _unit(_matrix(part.column(at)))
+def _linkable(key: str, vector: str) -> Column:
+    v, finite = F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
+    return v.isNotNull() & F.col(key).isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0)
 
 
-def distinct_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
-    """(rep, n, v): each distinct linkable vector, its smallest id and how many rows hold it."""
-    v, finite = F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
-    ok = v.isNotNull() & F.col(key).isNotNull() & (F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0)
-    return rows.where(ok).groupBy(v.alias("v")).agg(F.min(key).alias("rep"), F.count("*").alias("n")).select("rep", "n", "v")
+def _digest(vector: str) -> Column:
+    """32 bytes that stand for a linkable vector where only equality counts; zeros are equal, whatever their sign."""
+    return F.unhex(F.sha2(F.array_join(F.transform(vector, lambda x: F.when(x == 0, "0").otherwise(x.cast("string"))), ","), 256))
 
 
-_ROW = "cell string, m long, stuck boolean, visit int, rep long, n long, v "
+def distinct_vectors(rows: DataFrame, key: str, vector: str) -> DataFrame:
+    """(rep, n, v): each distinct linkable vector, its smallest id and how many rows hold it."""
+    v = F.col(vector)
+    return rows.where(_linkable(key, vector)).groupBy(v.alias("v")).agg(F.min(key).alias("rep"), F.count("*").alias("n")).select("rep", "n", "v")
 
 
-def _in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[int, np.ndarray], dict[int, dict], pa.RecordBatch]]:
-    """Sorted rows of groups, each with its cell, the cell's pivots and its spans, which stand before its rows."""
-    now, pivot, spans = None, {}, {}
+def _home(batches: Iterator[pa.RecordBatch], pivot: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Each row (cell, was, ..., v) to the cell of its nearest pivot, with its distance from that; a cell's vectors are of one length."""
     for b in batches:
-        names, kinds = np.array(b.column(0).to_pylist(), dtype=object), b.column(1).to_numpy()
-        cuts = [0, *(np.flatnonzero((names[1:] != names[:-1]) | (kinds[1:] != kinds[:-1])) + 1).tolist(), len(names)] if len(names) else []
-        for s, e in pairwise(cuts):
-            part = b.slice(s, e - s)
-            if names[s] != now:
-                now, pivot, spans = names[s], {}, {}
-            if kinds[s] == 0:
-                for x in part.column(4).to_pylist():
-                    pivot.setdefault(len(x), []).append(x)
-            elif kinds[s] == 1:
-                for at, d, w, m in zip(*(part.column(c).to_pylist() for c in (2, 3, 4, 6)), strict=True):
-                    spans.setdefault(d, {})[at] = (m, *np.split(np.array(w), 2))
-            else:
-                pivot = {d: _unit(np.array(x)) if isinstance(x, list) else x for d, x in pivot.items()}
-                yield part.column(5)[0].as_py(), pivot, spans, part.select(range(5, 12))
-
-
-def _reach(pivot: dict[int, np.ndarray], u: np.ndarray) -> np.ndarray:
-    p = pivot.get(u.shape[1])
-    return np.zeros((len(u), 1)) if p is None else _distances(u, p)
-
-
-def _ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, size, at, m, lo, hi): members that a pivot is nearest to, and the range of their distances to each pivot."""
-    seen: dict[tuple[int, int], tuple] = {}
-
-    def told(cell):
-        for (d, c), (m, lo, hi) in seen.items():
-            yield pa.RecordBatch.from_pylist([{"cell": cell, "size": d, "at": c, "m": m, "lo": lo.tolist(), "hi": hi.tolist()}], schema=pa.schema([("cell", pa.string()), ("size", pa.int32()), ("at", pa.int32()), ("m", pa.int64()), ("lo", pa.list_(pa.float64())), ("hi", pa.list_(pa.float64()))]))
-        seen.clear()
-
-    now = None
-    for cell, pivot, _, rows in _in_groups(batches):
-        if cell != now:
-            yield from told(now)
-            now = cell
-        for _, u in _by_length([rows], 6):
-            dist = _reach(pivot, u)
+        cells = b.column(0).dictionary_encode()
+        codes = cells.indices.to_numpy()
+        for k, cell in enumerate(cells.dictionary.to_pylist()):
+            part = b.filter(pa.array(codes == k))
+            dist = _distances(_unit(_matrix(part.column("v"))), pivot[cell]) if cell in pivot else np.full((len(part), 1), 2.0)
             home = dist.argmin(1)
-            for c in np.unique(home).tolist():
-                own, (m, lo, hi) = dist[home == c], seen.get((u.shape[1], c), (0, np.inf, -np.inf))
-                seen[u.shape[1], c] = (m + len(own), np.minimum(lo, own.min(0)), np.maximum(hi, own.max(0)))
-    yield from told(now)
-
-
-def _deal(batches: Iterator[pa.RecordBatch], r: float) -> Iterator[pa.RecordBatch]:
-    """Each row to the cell of its nearest pivot, and as a visitor to the others where it may have partners."""
-    for cell, pivot, spans, rows in _in_groups(batches):
-        for b, u in _by_length([rows], 6):
-            d, p, dist = u.shape[1], pivot.get(u.shape[1]), _reach(pivot, u)
-            cells = spans[d]  # a cell has members, all of one length
-            at = np.array(sorted(cells))
-            home = at[dist[:, at].argmin(1)]
-            visit, was = b.column(3).to_numpy(), b.column(1).to_numpy()
-            nearest = dist[np.arange(len(u)), home] ** 2
-            for c, (m, lo, hi) in cells.items():
-                near = home == c
-                if p is not None:
-                    near |= dist[:, c] ** 2 - nearest <= 2 * np.linalg.norm(p[home] - p[c], axis=1) * r + 1e-7
-                k = np.flatnonzero(near)
-                k = k[(home[k] == c) | ((dist[k] >= lo - r) & (dist[k] <= hi + r)).all(1)]
-                if len(k):
-                    taken, n = b.take(pa.array(k)), len(k)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([f"{cell}/{d}.{c}"] * n), pa.array(np.full(n, m, np.int64)), pa.array(was[k] == m), pa.array(np.where((home[k] == c) & (visit[k] == 0), 0, 1).astype(np.int32)), *taken.columns[4:]],
-                        names=["cell", "m", "stuck", "visit", "rep", "n", "v"],
-                    )
+            yield pa.RecordBatch.from_arrays([pa.array([f"{cell}/{c}" for c in home.tolist()], pa.string()), part.column(1), pa.array(dist.min(1)), *part.columns[2:]], names=["cell", "was", "far", *part.schema.names[2:]])
 
 
 def _split(rows: DataFrame, r: float, pivots: int, block: int) -> DataFrame:
     """Rows of full cells in the cells of those cells' own pivots."""
-    many, k = F.ceil(F.col("m") / (4 * block)), F.least(F.lit(pivots), F.ceil(F.col("m") / block))
-    salts = F.explode(F.sequence(F.lit(0).cast("long"), many - 1))
+    k = F.least(F.lit(pivots), F.ceil(F.col("m") / block))
     share = F.pmod(F.xxhash64("v"), F.lit(1 << 40)) / float(1 << 40)  # a few times as many as needed, before any sorting
     order = Window.partitionBy("cell").orderBy(F.xxhash64("v"), "rep")
-    picked = rows.where("visit = 0").where(share * F.col("m") < 4 * k).withColumn("at", F.row_number().over(order) - 1).where(F.col("at") < k)
-    empty = [F.lit(None).cast(t).alias(c) for c, t in (("visit", "int"), ("rep", "long"), ("n", "long"), ("v", rows.schema["v"].dataType))]
-    group = lambda salt: F.concat_ws("#", "cell", salt)
-    heads = picked.select("cell", "m", "at", F.col("v").cast("array<double>").alias("w"), salts.alias("salt")).select(group("salt").alias("grp"), F.lit(0).alias("kind"), "at", F.lit(0).alias("size"), "w", "cell", "m", F.lit(False).alias("stuck"), *empty)
-    body = rows.select(group(F.pmod(F.xxhash64("rep"), many)).alias("grp"), F.lit(2).alias("kind"), F.lit(0).alias("at"), F.lit(0).alias("size"), F.lit(None).cast("array<double>").alias("w"), "cell", "m", "stuck", "visit", "rep", "n", "v")
-    in_order = lambda df: df.repartition("grp").sortWithinPartitions("grp", "kind", "at")
-    found = in_order(heads.unionByName(body.where("visit = 0"))).mapInArrow(_ranges, "cell string, size int, at int, m long, lo array<double>, hi array<double>")
-    one = found.select("cell", "size", "at", "m", F.posexplode(F.arrays_zip("lo", "hi"))).groupBy("cell", "size", "at", "pos").agg(F.sum("m").alias("m"), F.min("col.lo").alias("lo"), F.max("col.hi").alias("hi"))
-    side = lambda c: F.transform("x", lambda x: x[c])
-    spans = one.groupBy("cell", "size", "at").agg(F.max("m").alias("own"), F.array_sort(F.collect_list(F.struct("pos", "lo", "hi"))).alias("x")).withColumn("w", F.concat(side("lo"), side("hi")))
-    wide = cut(spans.select("cell", "size", "at", "own", "w"), narrow=True)
-    parent = rows.where("visit = 0").groupBy("cell").agg(F.max("m").alias("m"))  # the number that rows choose their group by
-    told = wide.join(parent, "cell").select("cell", "size", "at", "own", "w", salts.alias("salt")).select(group("salt").alias("grp"), F.lit(1).alias("kind"), "at", "size", "w", "cell", F.col("own").alias("m"), F.lit(False).alias("stuck"), *empty)
-    return in_order(heads.unionByName(told).unionByName(body)).mapInArrow(lambda b: _deal(b, r), _ROW + rows.schema["v"].dataType.simpleString())
+    picked = rows.where(share * F.col("m") < 4 * k).withColumn("at", F.row_number().over(order) - 1).where(F.col("at") < k)
+    pivot: dict[str, list] = {}
+    for x in picked.select("cell", F.col("v").cast("array<double>").alias("w")).toLocalIterator():
+        pivot.setdefault(x.cell, []).append(np.array(x.w))
+    near = {c: _unit(np.stack(x)) for c, x in pivot.items()}
+    others = [c for c in rows.columns if c not in ("cell", "m", "stuck")]
+    kinds = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in others)
+    placed = cut(rows.select("cell", F.col("m").alias("was"), *others).mapInArrow(lambda b: _home(b, near), "cell string, was long, far double" + kinds))
+    own = cut(placed.groupBy("cell").agg(F.count("*").alias("m"), F.max("far").alias("reach")), narrow=True)
+    stuck = (F.col("m") == F.col("was")) | (F.col("reach") <= r / 2)
+    return placed.join(F.broadcast(own), "cell").select("cell", "m", stuck.alias("stuck"), *others)
+
+
+_BLOCK = "block string, d int, mid array<double>, lo double, hi double, rep binary, n binary, x binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows (block, rep, n, v) as one row for each block, with its middle and the range of its members' distances from it."""
+
+    def packed(name, parts):
+        rep, n, x = (np.concatenate(y) for y in zip(*parts, strict=True))
+        u = _unit(x)
+        mid = u.mean(0, keepdims=True)
+        mid = _unit(mid if np.linalg.norm(mid) > 1e-6 else u[:1])
+        dist = _distances(u, mid)
+        told = [name], [x.shape[1]], [mid[0].tolist()], [dist.min()], [dist.max()], [rep.tobytes()], [n.tobytes()], [x.tobytes()]
+        kinds = pa.string(), pa.int32(), pa.list_(pa.float64()), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(told, kinds, strict=True)], names=["block", "d", "mid", "lo", "hi", "rep", "n", "x"])
+
+    now, parts = None, []
+    for b in batches:
+        names = np.array(b.column(0).to_pylist(), dtype=object)
+        cuts = [0, *(np.flatnonzero(names[1:] != names[:-1]) + 1).tolist(), len(names)] if len(names) else []
+        for s, e in pairwise(cuts):
+            if names[s] != now:
+                if parts:
+                    yield packed(now, parts)
+                now, parts = names[s], []
+            part = b.slice(s, e - s)
+            parts.append((part.column(1).to_numpy(), part.column(2).to_numpy(), _matrix(part.column(3))))
+    if parts:
+        yield packed(now, parts)
+
+
+def _may_meet(r: float) -> Column:
+    """Of blocks a and b: once for each two whose members may link, by the triangle inequality, and for each with itself; either may come first."""
+    c = F.col
+    dot = F.aggregate(F.zip_with("a.mid", "b.mid", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    apart = F.sqrt(F.greatest(2 - 2 * dot, F.lit(0.0)))
+    even = F.pmod(F.xxhash64("a.block"), F.lit(2)) == F.pmod(F.xxhash64("b.block"), F.lit(2))
+    once = (c("a.block") == c("b.block")) | ((c("a.block") != c("b.block")) & ((c("a.block") < c("b.block")) == even))
+    return once & (c("a.d") == c("b.d")) & (apart <= c("a.hi") + c("b.hi") + r)
 
 
 def links(vectors: DataFrame, cos: float = 0.9, pivots: int = 256, block: int = BLOCK, spread: int = SPREAD, levels: int = 8) -> DataFrame:
-    """(kind, a, b): kind 0: vector ``a`` has links with ``b`` more rows; kind 1: vectors a and b link."""
-    r = float(np.sqrt(2 - 2 * cos)) + 1e-7
+    """(kind, a, b): kind 0: vector ``a`` has links with ``b`` more rows, in one or more rows; kind 1: vectors a and b link."""
+    r = float(np.sqrt(2 - 2 * cos)) + 1e-6
     full = (F.col("m") > spread * block) & ~F.col("stuck")
-    rows = vectors.select(F.size("v").cast("string").alias("cell"), F.lit(vectors.count()).cast("long").alias("m"), F.lit(False).alias("stuck"), F.lit(0).alias("visit"), "rep", "n", "v")
+    rows = vectors.select(F.size("v").cast("string").alias("cell"), F.lit(vectors.count()).cast("long").alias("m"), F.lit(False).alias("stuck"), "rep", "n", "v")
     ready = []  # a table of several lengths counts them together here, and each length alone from the first level on
     for _ in range(levels):
         if rows.where(full).isEmpty():
             break
         ready.append(rows.where(~full))
-        rows = cut(_split(rows.where(full), r, pivots, block))
+        rows = _split(rows.where(full), r, pivots, block)
     for part in ready:
         rows = rows.unionByName(part)
-    blocks = F.greatest(F.ceil(F.col("m") / block), F.lit(1))
-    dealt = rows.select("cell", "visit", "rep", "n", "v", F.pmod(F.xxhash64("rep"), blocks).alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("k"))
-    dealt = dealt.select(F.concat_ws("#", "cell", "k").alias("block"), F.when(F.col("k") == F.col("own"), F.col("visit")).otherwise(1).alias("visit"), "rep", "n", "v")
-    found = dealt.repartition("block").sortWithinPartitions("block", "visit").mapInArrow(lambda b: _join(b, cos), "kind int, a long, b long")
-    return cut(found)
-
-
-def _join(batches: Iterator[pa.RecordBatch], cos: float) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (block, visit, rep, n, v) to counts and links."""
+    members = F.least(F.lit(block), F.greatest(F.lit(64), F.floor(BLOCK_BYTES / (8 * F.size("v")))))
+    blocks = F.greatest(F.ceil(F.col("m") / members), F.lit(1))
+    count = rows.groupBy("cell").agg(F.max(blocks).alias("k")).agg(F.sum("k")).first()[0] or 1
+    dealt = rows.select(F.concat_ws("#", "cell", F.pmod(F.xxhash64("rep"), blocks)).alias("block"), "rep", "n", "v")
+    # even partitions; each meets each, so a few make enough tasks
+    parts = max(math.ceil(count / TOGETHER), min(count, math.ceil(math.sqrt(4 * rows.sparkSession.sparkContext.defaultParallelism))))
+    # sorted in full: a task that runs again packs the same bytes, which are dealt by what they are
+    packed = dealt.repartition("block").sortWithinPartitions("block", "rep", "v").mapInArrow(_pack, _BLOCK).repartition(parts).hint("shuffle_replicate_nl")
+    pairs = packed.alias("a").join(packed.alias("b"), _may_meet(r))
+    sides = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in packed.columns]
+    return cut(pairs.select(*sides).mapInArrow(lambda b: _join(b, cos, r), "kind int, a long, b long"))
+
+
+def _connect(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places i and j link: gives places they connect one label, the least, and returns links that do so and close no circle."""
+    used = []
+    while len(k := np.flatnonzero(label[i] != label[j])):
+        i, j = i[k], j[k]
+        high, low = np.maximum(label[i], label[j]), np.minimum(label[i], label[j])
+        order = np.lexsort((low, high))
+        first = order[np.flatnonzero(np.diff(high[order], prepend=-1))]
+        used.append((i[first], j[first]))
+        to = np.arange(len(label))
+        to[high[first]] = low[first]
+        while (to[to] != to).any():
+            to = to[to]
+        label[:] = to[label]
+    return used
+
+
+def _join(batches: Iterator[pa.RecordBatch], cos: float, r: float) -> Iterator[pa.RecordBatch]:
+    """Pairs of blocks to counts and links."""
+    starts, reps, label, met = {}, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    waiting, edges = [], []
 
     def packed(kind, a, b):
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(np.asarray(a, np.int64)), pa.array(np.asarray(b, np.int64))], names=["kind", "a", "b"])
-
-    def meet(block, rep, n, x, step=2048):
-        """Count the links of the block's members with these vectors; keep links that connect."""
-        unit = _unit(x)
-        for k in range(0, len(rep), step):
-            close = unit[k : k + step].astype(np.float32) @ block["unit32"].T >= cos - _MARGIN
-            i, j = np.nonzero(close)
-            i += k
-            for s in range(0, len(i), 1 << 18):
-                ii, jj = i[s : s + (1 << 18)], j[s : s + (1 << 18)]
-                link = (np.einsum("ij,ij->i", unit[ii], block["unit"][jj]) >= cos) & (rep[ii] != block["rep"][jj])
-                ii, jj = ii[link], jj[link]
-                np.add.at(block["met"], jj, n[ii])
-                # one link from each vector to each group of members not yet known to connect
-                for v, members in zip(*_runs(ii, jj), strict=True):
-                    roots = np.unique(block["root"][members])
-                    block["edges"] += [(rep[v], block["rep"][m]) for m in roots]
-                    if len(roots) > 1:
-                        block["root"][np.isin(block["root"], roots)] = roots[0]
-
-    def gathered(block, least=1):
-        if block and len(block.get("edges", ())) >= least:
-            yield packed(1, *zip(*block["edges"], strict=True))
-            block["edges"] = []
-
-    def done(block):
-        if block and "unit" in block:
-            yield packed(0, block["rep"], block["met"])
-            yield from gathered(block)
-
-    def begin(block):
-        block["rep"], block["n"], x = (np.concatenate(y) for y in zip(*block["parts"], strict=True))
-        block["unit"] = _unit(x)
-        block["unit32"] = block["unit"].astype(np.float32)
-        block["met"], block["root"], block["edges"] = block["n"] - 1, np.arange(len(x)), []
-        meet(block, block["rep"], block["n"], x)
-
-    now, block = None, None
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+
+    def settle():
+        if waiting:
+            edges.extend(_connect(label, *(np.concatenate(x) for x in zip(*waiting, strict=True))))
+            waiting.clear()
+
+    def opened(name, d, mid, lo, hi, rep, n, x):
+        """The block, and a place for each of its members among all that this task has seen."""
+        nonlocal label, met
+        rep, n = np.frombuffer(rep, np.int64), np.frombuffer(n, np.int64)
+        if name not in starts:
+            starts[name] = len(label)
+            reps.append(rep)
+            label, met = np.concatenate([label, np.arange(len(label), len(label) + len(rep))]), np.concatenate([met, np.zeros(len(rep), np.int64)])
+        x = np.frombuffer(x, np.float32 if len(x) == 4 * d * len(rep) else np.float64).reshape(len(rep), d)
+        return {"name": name, "rep": rep, "n": n, "unit": _unit(x), "mid": np.array([mid]), "lo": lo, "hi": hi, "start": starts[name]}
+
+    def near(one, other):
+        """Members of one block that may have partners in the other."""
+        dist = _distances(one["unit"], other["mid"])[:, 0]
+        return np.flatnonzero((dist >= other["lo"] - r) & (dist <= other["hi"] + r))
+
+    def meet(one, other):
+        mine, others = near(one, other), near(other, one)
+        if not len(mine) or not len(others):
+            return
+        d, same = one["unit"].shape[1], one["name"] == other["name"]
+        margin = max(_MARGIN, 2e-7 * d)
+        left, right = one["unit"][mine].astype(np.float32), other["unit"][others].astype(np.float32).T
+        step = max(1, (1 << 20) // len(others))
+        for k in range(0, len(mine), step):
+            close = left[k : k + step] @ right
+            some = np.flatnonzero(close.max(1) >= cos - margin)
+            if not len(some):
+                continue
+            close = close[some]
+            i, j = np.nonzero(close >= cos - margin)
+            link = close[i, j] >= cos + margin
+            i, j = mine[k + some[i]], others[j]
+            unsure = np.flatnonzero(~link)
+            for s in range(0, len(unsure), max(1, (1 << 21) // d)):
+                u = unsure[s : s + max(1, (1 << 21) // d)]
+                link[u] = np.einsum("ij,ij->i", one["unit"][i[u]], other["unit"][j[u]]) >= cos
+            link &= one["rep"][i] != other["rep"][j]
+            i, j = i[link], j[link]
+            met[one["start"] : one["start"] + len(one["rep"])] += np.bincount(i, other["n"][j], len(one["rep"])).astype(np.int64)
+            i, j = i + one["start"], j + other["start"]
+            if not same:
+                met[other["start"] : other["start"] + len(other["rep"])] += np.bincount(j - other["start"], one["n"][i - one["start"]], len(other["rep"])).astype(np.int64)
+            new = label[i] != label[j]
+            waiting.append((i[new], j[new]))
+            if sum(len(x) for x, _ in waiting) >= 1 << 16:
+                settle()
+
+    one = None
     for b in batches:
-        ids = np.array(b.column(0).to_pylist(), dtype=object)
-        cuts = [0, *(np.flatnonzero(ids[1:] != ids[:-1]) + 1).tolist(), len(ids)] if len(ids) else []
-        for s, e in pairwise(cuts):
-            part = b.slice(s, e - s)
-            if ids[s] != now:
-                if block and "unit" not in block and block["parts"]:
-                    begin(block)
-                yield from done(block)
-                now, block = ids[s], {"parts": []}
-            rep, n, x = part.column(2).to_numpy(), part.column(3).to_numpy(), _matrix(part.column(4))
-            visit = part.column(1).to_numpy()
-            m = int(np.searchsorted(visit, 1))
-            if m:
-                block["parts"].append((rep[:m], n[:m], x[:m]))
-            if m < len(rep) and block["parts"]:
-                if "unit" not in block:
-                    begin(block)
-                meet(block, rep[m:], n[m:], x[m:])
-                yield from gathered(block, 1 << 16)
-    if block and "unit" not in block and block["parts"]:
-        begin(block)
-    yield from done(block)
-
-
-def _runs(i: np.ndarray, j: np.ndarray) -> tuple[list, list]:
-    """The distinct values of sorted ``i``, and the ``j`` that go with each."""
-    if not len(i):
-        return [], []
-    edge = np.flatnonzero(np.diff(i)) + 1
-    return i[np.concatenate([[0], edge])].tolist(), np.split(j, edge)
+        for k in range(b.num_rows):
+            a, c = ([b.column(x)[k].as_py() for x in side] for side in (range(8), range(8, 16)))
+            one = one if one and one["name"] == a[0] else opened(*a)
+            meet(one, one if c[0] == a[0] else opened(*c))
+    settle()
+    if reps:
+        rep = np.concatenate(reps)
+        k = np.flatnonzero(met)
+        yield packed(0, rep[k], met[k])
+        for i, j in edges:
+            yield packed(1, rep[i], rep[j])
 
 
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", cos: float = 0.9, **options) -> DataFrame:
@@ -277,10 +278,11 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     narrow = rows.select(F.col(key).alias("_key"), F.col(vector).alias("_v"))
     classes = cut(distinct_vectors(narrow, "_key", "_v"))
     found = links(classes, cos, **options)
-    counts = found.where("kind = 0").select(F.col("a").alias("rep"), F.col("b").alias("met"))
+    counts = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("met"))
     parts = connected_components(found.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    told = classes.join(counts, "rep").join(parts, F.col("rep") == F.col("node"), "left").select(F.col("v"), "met", F.coalesce("component", "rep").alias("component"))
-    out = narrow.join(told, F.col("_v") == F.col("v"), "left")
+    met = F.col("n") - 1 + F.coalesce("met", F.lit(0))
+    told = classes.join(counts, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left").select(_digest("v").alias("_same"), met.alias("met"), F.coalesce("component", "rep").alias("component"))
+    out = narrow.select("_key", F.when(_linkable("_key", "_v"), _digest("_v")).alias("_same")).join(told, "_same", "left")
     linked = F.col("_key").isNotNull()
     component = F.when(linked, F.coalesce("component", "_key"))
     return out.select(

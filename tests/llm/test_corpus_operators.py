@@ -235,6 +235,49 @@ def test_cells_split_level_by_level(spark, frame):
     assert many > 2 * few and second.count() < 2 * first.count() < 512 * few  # copies don't grow with the cells
 
 
+def test_vectors_without_structure_are_not_copied(spark, frame, tmp_path):
+    """Every block may hold partners of every vector, and still what is written grows as the vectors do; results are brute force's."""
+    g = np.random.default_rng(11)
+    g_rows = lambda n: [(k, v) for k, v in enumerate(x for c in g.standard_normal((n // 2, 24)) for x in (c.tolist(), (c + 0.05 * g.standard_normal(24)).tolist()))]
+    context, kept = spark.sparkContext, spark.sparkContext.getCheckpointDir()
+    written = []
+    try:
+        for n in (1000, 4000):
+            rows = g_rows(n)
+            context.setCheckpointDir(str(tmp_path / str(n)))
+            out = embeddings.near_duplicates(frame(rows, "vec_id long, embedding array<double>"), block=32, spread=1).collect()
+            written.append(sum(p.stat().st_size for p in (tmp_path / str(n)).rglob("part-*")))
+            x = np.array([v for _, v in rows])
+            x /= np.linalg.norm(x, axis=1, keepdims=True)
+            met = (x @ x.T >= 0.9).sum(1) - 1
+            assert met.max() == 1 and sorted((r.vec_id, r.n_links, r.component) for r in out) == [(k, m, k - k % 2 if m else k) for k, m in enumerate(met)]
+    finally:
+        context.setCheckpointDir(kept)
+    assert written[1] < 6 * written[0] and written[1] < 4000 * 24 * 8 * 8
+
+
+def test_links_of_a_cell_that_cannot_split_and_of_copies(spark, frame):
+    """One narrow group over many blocks: each link counts once for each row, whichever block comes first, and all are one component."""
+    g = np.random.default_rng(12)
+    group = [(c / np.linalg.norm(c)).tolist() for c in np.array([1.0, 1.0, 0.0, 0.0]) + 0.02 * g.standard_normal((150, 4))]
+    ring = [[float(np.cos(a)), float(np.sin(a)), 0.0, 0.0, 5.0] for a in np.arange(0, 2 * np.pi, 0.03)]
+    rows = list(enumerate(group + group[:40] + [[-x for x in v] for v in group[:5]] + ring + [[0.0, 1.0], [-0.0, 1.0]]))
+    df = frame(rows, "vec_id long, embedding array<double>")
+    for options in ({"block": 16, "spread": 1}, {"block": 7, "spread": 2, "pivots": 3}):
+        got = sorted((r.vec_id, r.n_links, r.component) for r in embeddings.near_duplicates(df, **options).collect())
+        assert got == brute_vectors(rows)
+
+
+def test_connect_keeps_one_link_for_each_merge():
+    g = np.random.default_rng(13)
+    for links in (1, 40, 400):
+        i, j = g.integers(0, 120, (2, links))
+        label = np.arange(120)
+        kept = embeddings._connect(label, i[: links // 2], j[: links // 2]) + embeddings._connect(label, i, j)
+        part, same = groups(120, list(zip(i.tolist(), j.tolist()))), groups(120, [(int(a), int(b)) for x, y in kept for a, b in zip(x, y)])
+        assert len(set(zip(part, same))) == len(set(part)) == len(set(same)) == len(set(label.tolist())) == 120 - sum(len(x) for x, _ in kept)
+
+
 def test_op6(spark, frame):
     docs = [(i, "x" * (i % 7) + "é") for i in range(333)] + [(None, None), (None, None), (5, "again"), (5, "again"), (-1, None)]
     df = frame(docs, "doc_id long, text string").selectExpr("*", "7 as shard", "'s' as slot", "1 as _slot", "2 as _row")
