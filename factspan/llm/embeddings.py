@@ -281,7 +281,8 @@ def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embeddi
     counts = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("met"))
     parts = connected_components(found.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     met = F.col("n") - 1 + F.coalesce("met", F.lit(0))
-    told = classes.join(counts, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left").select(_digest("v").alias("_same"), met.alias("met"), F.coalesce("component", "rep").alias("component"))
+    short = classes.select("rep", "n", _digest("v").alias("_same"))
+    told = short.join(counts, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left").select("_same", met.alias("met"), F.coalesce("component", "rep").alias("component"))
     out = narrow.select("_key", F.when(_linkable("_key", "_v"), _digest("_v")).alias("_same")).join(told, "_same", "left")
     linked = F.col("_key").isNotNull()
     component = F.when(linked, F.coalesce("component", "_key"))
