@@ -113,21 +113,21 @@ def _split(rows: DataFrame, r: float, pivots: int, block: int) -> DataFrame:
     return placed.join(F.broadcast(own), "cell").select("cell", "m", stuck.alias("stuck"), *others)
 
 
-_BLOCK = "block string, d int, mid array<double>, lo double, hi double, rep binary, n binary, x binary"
+_BLOCK = "block string, d int, mid array<double>, lo double, hi double, cls binary, rep binary, n binary, x binary"
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted rows (block, rep, n, v) as one row for each block, with its middle and the range of its members' distances from it."""
+    """Sorted rows (block, cls, rep, n, v) as one row for each block, with its middle and the range of its members' distances from it."""
 
     def packed(name, parts):
-        rep, n, x = (np.concatenate(y) for y in zip(*parts, strict=True))
+        cls, rep, n, x = (np.concatenate(y) for y in zip(*parts, strict=True))
         u = _unit(x)
         mid = u.mean(0, keepdims=True)
         mid = _unit(mid if np.linalg.norm(mid) > 1e-6 else u[:1])
         dist = _distances(u, mid)
-        told = [name], [x.shape[1]], [mid[0].tolist()], [dist.min()], [dist.max()], [rep.tobytes()], [n.tobytes()], [x.tobytes()]
-        kinds = pa.string(), pa.int32(), pa.list_(pa.float64()), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary()
-        return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(told, kinds, strict=True)], names=["block", "d", "mid", "lo", "hi", "rep", "n", "x"])
+        told = [name], [x.shape[1]], [mid[0].tolist()], [dist.min()], [dist.max()], [cls.tobytes()], [rep.tobytes()], [n.tobytes()], [x.tobytes()]
+        kinds = pa.string(), pa.int32(), pa.list_(pa.float64()), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()
+        return pa.RecordBatch.from_arrays([pa.array(v, kind) for v, kind in zip(told, kinds, strict=True)], names=["block", "d", "mid", "lo", "hi", "cls", "rep", "n", "x"])
 
     now, parts = None, []
     for b in batches:
@@ -139,7 +139,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     yield packed(now, parts)
                 now, parts = names[s], []
             part = b.slice(s, e - s)
-            parts.append((part.column(1).to_numpy(), part.column(2).to_numpy(), _matrix(part.column(3))))
+            parts.append((*(part.column(c).to_numpy() for c in (1, 2, 3)), _matrix(part.column(4))))
     if parts:
         yield packed(now, parts)
 
@@ -155,10 +155,10 @@ def _may_meet(r: float) -> Column:
 
 
 def links(vectors: DataFrame, cos: float = 0.9, pivots: int = 256, block: int = BLOCK, spread: int = SPREAD, levels: int = 8) -> DataFrame:
-    """(kind, a, b): kind 0: vector ``a`` has links with ``b`` more rows, in one or more rows; kind 1: vectors a and b link."""
+    """Of (cls, rep, n, v), (kind, a, b): kind 0: the vector of number ``a`` has links with ``b`` more rows, in one or more rows; kind 1: ids a and b link."""
     r = float(np.sqrt(2 - 2 * cos)) + 1e-6
     full = (F.col("m") > spread * block) & ~F.col("stuck")
-    rows = vectors.select(F.size("v").cast("string").alias("cell"), F.lit(vectors.count()).cast("long").alias("m"), F.lit(False).alias("stuck"), "rep", "n", "v")
+    rows = vectors.select(F.size("v").cast("string").alias("cell"), F.lit(vectors.count()).cast("long").alias("m"), F.lit(False).alias("stuck"), "cls", "rep", "n", "v")
     ready = []  # a table of several lengths counts them together here, and each length alone from the first level on
     for _ in range(levels):
         if rows.where(full).isEmpty():
@@ -170,11 +170,11 @@ def links(vectors: DataFrame, cos: float = 0.9, pivots: int = 256, block: int =
     members = F.least(F.lit(block), F.greatest(F.lit(64), F.floor(BLOCK_BYTES / (8 * F.size("v")))))
     blocks = F.greatest(F.ceil(F.col("m") / members), F.lit(1))
     count = rows.groupBy("cell").agg(F.max(blocks).alias("k")).agg(F.sum("k")).first()[0] or 1
-    dealt = rows.select(F.concat_ws("#", "cell", F.pmod(F.xxhash64("rep"), blocks)).alias("block"), "rep", "n", "v")
+    dealt = rows.select(F.concat_ws("#", "cell", F.pmod(F.xxhash64("cls"), blocks)).alias("block"), "cls", "rep", "n", "v")
     # even partitions; each meets each, so a few make enough tasks
     parts = max(math.ceil(count / TOGETHER), min(count, math.ceil(math.sqrt(4 * rows.sparkSession.sparkContext.defaultParallelism))))
     # sorted in full: a task that runs again packs the same bytes, which are dealt by what they are
-    packed = dealt.repartition("block").sortWithinPartitions("block", "rep", "v").mapInArrow(_pack, _BLOCK).repartition(parts).hint("shuffle_replicate_nl")
+    packed = dealt.repartition("block").sortWithinPartitions("block", "cls").mapInArrow(_pack, _BLOCK).repartition(parts).hint("shuffle_replicate_nl")
     pairs = packed.alias("a").join(packed.alias("b"), _may_meet(r))
     sides = [F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "ab" for c in packed.columns]
     return cut(pairs.select(*sides).mapInArrow(lambda b: _join(b, cos, r), "kind int, a long, b long"))
@@ -199,7 +199,7 @@ def _connect(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[np.n
 
 def _join(batches: Iterator[pa.RecordBatch], cos: float, r: float) -> Iterator[pa.RecordBatch]:
     """Pairs of blocks to counts and links."""
-    starts, reps, label, met = {}, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
+    starts, seen, label, met = {}, [], np.zeros(0, np.int64), np.zeros(0, np.int64)
     waiting, edges = [], []
 
     def packed(kind, a, b):
@@ -210,13 +210,13 @@ def _join(batches: Iterator[pa.RecordBatch], cos: float, r: float) -> Iterator[p
             edges.extend(_connect(label, *(np.concatenate(x) for x in zip(*waiting, strict=True))))
             waiting.clear()
 
-    def opened(name, d, mid, lo, hi, rep, n, x):
+    def opened(name, d, mid, lo, hi, cls, rep, n, x):
         """The block, and a place for each of its members among all that this task has seen."""
         nonlocal label, met
         rep, n = np.frombuffer(rep, np.int64), np.frombuffer(n, np.int64)
         if name not in starts:
             starts[name] = len(label)
-            reps.append(rep)
+            seen.append((np.frombuffer(cls, np.int64), rep))
             label, met = np.concatenate([label, np.arange(len(label), len(label) + len(rep))]), np.concatenate([met, np.zeros(len(rep), np.int64)])
         x = np.frombuffer(x, np.float32 if len(x) == 4 * d * len(rep) else np.float64).reshape(len(rep), d)
         return {"name": name, "rep": rep, "n": n, "unit": _unit(x), "mid": np.array([mid]), "lo": lo, "hi": hi, "start": starts[name]}
@@ -261,14 +261,14 @@ def _join(batches: Iterator[pa.RecordBatch], cos: float, r: float) -> Iterator[p
     one = None
     for b in batches:
         for k in range(b.num_rows):
-            a, c = ([b.column(x)[k].as_py() for x in side] for side in (range(8), range(8, 16)))
+            a, c = ([b.column(x)[k].as_py() for x in side] for side in (range(9), range(9, 18)))
             one = one if one and one["name"] == a[0] else opened(*a)
             meet(one, one if c[0] == a[0] else opened(*c))
     settle()
-    if reps:
-        rep = np.concatenate(reps)
+    if seen:
+        cls, rep = (np.concatenate(x) for x in zip(*seen, strict=True))
         k = np.flatnonzero(met)
-        yield packed(0, rep[k], met[k])
+        yield packed(0, cls[k], met[k])
         for i, j in edges:
             yield packed(1, rep[i], rep[j])
 
@@ -276,13 +276,13 @@ def _join(batches: Iterator[pa.RecordBatch], cos: float, r: float) -> Iterator[p
 def near_duplicates(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", cos: float = 0.9, **options) -> DataFrame:
     """One row per vector: key, n_links, component, kept."""
     narrow = rows.select(F.col(key).alias("_key"), F.col(vector).alias("_v"))
-    classes = cut(distinct_vectors(narrow, "_key", "_v"))
+    classes = cut(distinct_vectors(narrow, "_key", "_v").withColumn("cls", F.monotonically_increasing_id()))  # vectors of a repeated id may share rep
     found = links(classes, cos, **options)
-    counts = found.where("kind = 0").groupBy(F.col("a").alias("rep")).agg(F.sum("b").alias("met"))
+    counts = found.where("kind = 0").groupBy(F.col("a").alias("cls")).agg(F.sum("b").alias("met"))
     parts = connected_components(found.where("kind = 1").select(F.col("a").alias("src"), F.col("b").alias("dst")))
     met = F.col("n") - 1 + F.coalesce("met", F.lit(0))
-    short = classes.select("rep", "n", _digest("v").alias("_same"))
-    told = short.join(counts, "rep", "left").join(parts, F.col("rep") == F.col("node"), "left").select("_same", met.alias("met"), F.coalesce("component", "rep").alias("component"))
+    short = classes.select("cls", "rep", "n", _digest("v").alias("_same"))
+    told = short.join(counts, "cls", "left").join(parts, F.col("rep") == F.col("node"), "left").select("_same", met.alias("met"), F.coalesce("component", "rep").alias("component"))
     out = narrow.select("_key", F.when(_linkable("_key", "_v"), _digest("_v")).alias("_same")).join(told, "_same", "left")
     linked = F.col("_key").isNotNull()
     component = F.when(linked, F.coalesce("component", "_key"))

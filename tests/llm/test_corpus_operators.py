@@ -268,6 +268,13 @@ def test_links_of_a_cell_that_cannot_split_and_of_copies(spark, frame):
         assert got == brute_vectors(rows)
 
 
+def test_vectors_of_a_repeated_id(frame):
+    """One row for each vector, with that vector's own links, also where two vectors of one id are the first of theirs."""
+    df = frame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (None, [1.0, 0.0]), (3, [-0.0, 1.0])], "vec_id long, embedding array<double>")
+    got = sorted(((r.vec_id or 0, r.n_links, r.component_id) for r in embeddings.op5(df).collect()))
+    assert got == [(0, 0, None), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
 def test_connect_keeps_one_link_for_each_merge():
     g = np.random.default_rng(13)
     for links in (1, 40, 400):
